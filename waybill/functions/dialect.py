@@ -33,6 +33,9 @@ _ESCAPES = {
     r"\b": f"(?:(?<=[{WORD_CLASS}])(?![{WORD_CLASS}])|(?<![{WORD_CLASS}])(?=[{WORD_CLASS}]))",
 }
 
+# Letters outside ASCII that equal an ASCII letter when case is ignored.
+_CASE_PARTNERS = {"i": r"\u0130\u0131", "k": r"\u212a", "s": r"\u017f"}
+
 
 class Pattern(NamedTuple):
     """A pattern in Python ``re`` syntax with its flags.
@@ -53,14 +56,31 @@ class Pattern(NamedTuple):
         return re.compile(self.text).groups
 
 
+def _fold(token: re.Match) -> str:
+    """One token of a pattern that ignores case.
+
+    ``I``, ``K`` and ``S`` have partners outside ASCII.  Naming them lets Java compare
+    letters with its ASCII rule, which is much cheaper than its Unicode one.
+    """
+    text = token.group()
+    if text.startswith("\\"):
+        return text
+    if text.startswith("["):
+        letters = re.sub(r"\\.", "", text)
+        ranges = "A-Z" in letters or "a-z" in letters
+        partners = [p for letter, p in _CASE_PARTNERS.items() if ranges or letter in letters.lower()]
+        return text[:-1] + "".join(partners) + "]"
+    return f"[{text}{_CASE_PARTNERS[text.lower()]}]"
+
+
 def java(pattern: Pattern) -> str:
     """The pattern for Spark's regex functions, flags included."""
-    body = re.sub(r"\\.", lambda m: _ESCAPES.get(m.group(), m.group()), pattern.text)
+    body = pattern.text
     flags = "d"
     if pattern.ignore_case:
-        flags += "iu"
-        # Folded to lower case, dotted I and the Kelvin sign only fall into a-z.
-        body = re.sub(r"A-Z(?!a-z)", "A-Za-z", body)
+        flags += "i"
+        body = re.sub(r"\\.|\[(?:\\.|[^\]])*\]|[iks]", _fold, body, flags=re.IGNORECASE)
+    body = re.sub(r"\\.", lambda m: _ESCAPES.get(m.group(), m.group()), body)
     if pattern.dot_all:
         flags += "s"
     if pattern.multiline:

@@ -48,6 +48,9 @@ def _gaps(*segments: str) -> str:
     return "".join(f"(?>(?s:.*?){java(Pattern(segment))})" for segment in segments)
 
 
+# What fails behind the first of these labels fails behind the later ones as well.
+_CARRIER_TAIL = Pattern(r"Trailer VIN Number.*", dot_all=True)
+
 # The carrier pattern matches exactly where its labels follow each other with the
 # shortest possible values, since any text may lie between them.
 _CARRIER = P.CARRIER._replace(
@@ -109,8 +112,12 @@ def load_columns(groups: Column) -> dict[str, Column]:
     }
 
 
-def carrier_groups(text: Column) -> Column:
-    return capture(text, _CARRIER)
+def carrier_scope(text: Column) -> Column:
+    return extract(text, _CARRIER_TAIL, 0)
+
+
+def carrier_groups(scope: Column) -> Column:
+    return capture(scope, _CARRIER)
 
 
 def carrier_columns(groups: Column) -> dict[str, Column]:

@@ -6,6 +6,7 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from waybill.functions import fields as R
 from waybill.functions.normalize import normalize_text
@@ -77,7 +78,7 @@ def extract_loads(
         {
             "_scope": R.broker_scope(F.col("_text")),
             "_load": R.load_groups(F.col("_text")),
-            "_carrier": R.carrier_groups(F.col("_text")),
+            "_carrier": R.carrier_groups(R.carrier_scope(F.col("_text"))),
             **{
                 f"_{t}_{i}": R.stop_groups(
                     R.clean_block(F.get(f"_{t}_blocks", i - 1), _is_marked(t)), t
@@ -172,6 +173,8 @@ def typed_loads(loads: DataFrame) -> DataFrame:
     """The load table with money and times typed and blanks as NULL."""
 
     def typed(name: str) -> Column:
+        if not isinstance(loads.schema[name].dataType, T.StringType):
+            return F.col(name)
         value = F.nullif(F.col(name), F.lit(""))
         if name == "totalCarrierPay":
             value = value.try_cast("decimal(12,2)")

@@ -58,7 +58,7 @@ FROM stop
 
 # One row per order: what broker, load and carrier sections say.
 HEADERS_SQL = """
-SELECT o.o_orderkey AS order_key, o.o_orderstatus AS source, o.o_orderkey % 8 AS style,
+SELECT o.o_orderkey AS order_key, o.o_orderstatus AS source, {style} AS style,
   'source=' || o.o_orderstatus || '/order%20' || CAST(o.o_orderkey AS STRING) || '.txt'
     AS source_file,
   'USA Truck Brokers Inc.' AS b_name,
@@ -86,6 +86,13 @@ LEFT JOIN {supplier} s ON s.s_suppkey = c.supp
 """
 
 
+STYLE_OF_ORDER = "o_orderkey % 8"
+
+
+def _headers_sql(style: str) -> str:
+    return HEADERS_SQL.replace("{style}", style)
+
+
 def _tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     return {
         name: spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -99,7 +106,7 @@ def _pickup_text(stop: Column, number: Column, last: Column) -> Column:
         F.concat(stop["from_time"], F.lit(" - "), stop["to_time"])
     )
     marked = F.concat(
-        F.lit("Pickup # "), number, F.lit("\nCustomer: "), stop["p_customer"],
+        F.lit("Pickup # "), number.cast("string"), F.lit("\nCustomer: "), stop["p_customer"],
         F.lit("\nPickup Date: "), stop["us_date"],
         F.lit("\nAddress #1: "), stop["p_address"], F.lit(" Pickup Time: "), window,
         F.lit("\nCity: "), stop["p_city"], F.lit(", "), stop["p_state"],
@@ -122,7 +129,7 @@ def _delivery_text(stop: Column, number: Column) -> Column:
         F.concat(stop["from_time"], F.lit(" - "), stop["to_time"])
     )
     marked = F.concat(
-        F.lit("Delivery # "), number, F.lit("\nCustomer: "), stop["d_customer"],
+        F.lit("Delivery # "), number.cast("string"), F.lit("\nCustomer: "), stop["d_customer"],
         F.lit("\nDelivery Date: "), stop["us_date"],
         F.lit("\nAddress #1: "), stop["d_address"], F.lit(" Delivery Time: "), window,
         F.lit("\nCity: "), stop["d_city"], F.lit(", "), stop["d_state"],
@@ -185,7 +192,7 @@ def _carrier_text() -> Column:
     return F.when(F.col("carrier_key").isNotNull(), text).otherwise("")
 
 
-def load_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
+def load_docs(spark: SparkSession, sf_dir: str, style: str = STYLE_OF_ORDER) -> DataFrame:
     """One document per order: ``order_key, source, source_file, text``."""
     tables = _tables(spark, sf_dir)
     names = (
@@ -198,21 +205,17 @@ def load_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
         .groupBy(F.col("order_key").alias("stop_key"))
         .agg(F.array_sort(F.collect_list(F.struct(*names))).alias("stops"))
     )
-    docs = spark.sql(HEADERS_SQL, **tables).join(
+    docs = spark.sql(_headers_sql(style), **tables).join(
         stops, F.col("order_key") == F.col("stop_key"), "left"
     )
-    docs = docs.withColumn("stops", F.coalesce("stops", F.array().cast(docs.schema["stops"].dataType)))
-    number = lambda i: (i + 1).cast("string")
+    no_stops = F.array().cast(docs.schema["stops"].dataType)
+    docs = docs.withColumn("stops", F.coalesce("stops", no_stops))
     lines = F.concat(
-        F.array(
-            F.lit("Load Confirmation"), _load_line(), F.lit("Schedule")
-        ),
+        F.array(F.lit("Load Confirmation"), _load_line(), F.lit("Schedule")),
         F.transform("stops", _schedule_text),
         F.array(F.concat(F.lit("Trip # "), F.col("order_key").cast("string"))),
-        F.transform(
-            "stops", lambda s, i: _pickup_text(s, number(i), i + 1 == F.size("stops"))
-        ),
-        F.transform("stops", lambda s, i: _delivery_text(s, number(i))),
+        F.transform("stops", lambda s, i: _pickup_text(s, i + 1, i + 1 == F.size("stops"))),
+        F.transform("stops", lambda s, i: _delivery_text(s, i + 1)),
     )
     docs = docs.withColumn(
         "text",
@@ -244,9 +247,10 @@ def _styled(text: Column) -> Column:
 # ---- the rows behind the documents, in SQL that Spark and DuckDB both read ----
 
 
-def numbered_stops_sql() -> str:
+def numbered_stops_sql(style: str = STYLE_OF_ORDER) -> str:
+    style = style.replace("o_orderkey", "s.order_key")
     return (
-        "SELECT s.*, s.order_key % 8 AS style, "
+        f"SELECT s.*, {style} AS style, "
         "row_number() OVER (PARTITION BY order_key ORDER BY line_no) AS stop_no, "
         "count(*) OVER (PARTITION BY order_key) AS n_stops "
         f"FROM ({STOPS_SQL}) s"
@@ -259,7 +263,7 @@ _STOP_TARGETS = (
 )
 
 
-def long_stops_sql() -> str:
+def long_stops_sql(style: str = STYLE_OF_ORDER) -> str:
     """One row per stop block a document shows, in the long form of ``extract_stops``.
 
     Without markers every delivery shows up as two blocks, the second one blank, because
@@ -289,7 +293,7 @@ SELECT order_key, 'delivery' AS stop_type, CAST(2 * stop_no AS INT) AS stop_no,
 FROM numbered WHERE style = 3
 """
     return (
-        f"WITH numbered AS ({numbered_stops_sql()})"
+        f"WITH numbered AS ({numbered_stops_sql(style)})"
         f"{pickup} UNION ALL {delivery} UNION ALL {blank}"
     )
 
@@ -330,21 +334,18 @@ def wide_rows_sql(fields: tuple[str, ...] | None = None) -> str:
         f"{t}_{name}_{i}"
         for t in ("pickup", "delivery") for name in _STOP_TARGETS for i in (1, 2, 3)
     ]
-    columns = {name: sql for name, sql in header.items()}
-    columns |= {name: f"coalesce(w.{name}, '')" for name in stop_names}
+    columns = header | {name: f"coalesce(w.{name}, '')" for name in stop_names}
     chosen = fields or tuple(columns)
     select = ",\n  ".join(f"{columns[name]} AS {name}" for name in chosen)
     return (
-        f"SELECT h.order_key,\n  {select}\nFROM ({HEADERS_SQL}) h LEFT JOIN (\n"
+        f"SELECT h.order_key,\n  {select}\nFROM ({_headers_sql(STYLE_OF_ORDER)}) h LEFT JOIN (\n"
         f"SELECT order_key, {', '.join(slots)}\nFROM ({long_stops_sql()}) l GROUP BY order_key\n"
         ") w ON w.order_key = h.order_key"
     )
 
 
 def for_duckdb(sql: str) -> str:
-    return sql.format(
-        lineitem="lineitem", orders="orders", supplier="supplier"
-    )
+    return sql.format(lineitem="lineitem", orders="orders", supplier="supplier")
 
 
 def truth_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -360,7 +361,7 @@ def truth_sql() -> str:
         "totalCarrierPay": "CASE WHEN order_key % 7 = 0 THEN totalCarrierPay || '9' "
                            "ELSE totalCarrierPay END",
         "loadConfirmationNumber": "CASE WHEN order_key % 11 = 0 "
-                                  "THEN loadConfirmationNumber || '000000' "
+                                  "THEN loadConfirmationNumber || '-0' "
                                   "ELSE loadConfirmationNumber END",
         "broker_fax": "CASE WHEN order_key % 2 = 0 THEN nullif(broker_fax, '') ELSE broker_fax END",
     }

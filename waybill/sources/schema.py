@@ -64,6 +64,3 @@ def load_schema() -> T.StructType:
         ]
     )
 
-
-def truth_schema() -> T.StructType:
-    return T.StructType([T.StructField(name, T.StringType()) for name in TRUTH_FIELDS])
