@@ -1,7 +1,8 @@
 """Field rules: which pattern fills which column of the load table.
 
-Each rule set is one :func:`~waybill.functions.dialect.capture` over its scope, plus the
-columns read from the captured groups.  Column names are fixed values.
+Patterns with one or two groups are searched directly; the two with many groups are read
+by one :func:`~waybill.functions.dialect.capture` over their small scope.  Column names
+are fixed values.
 """
 
 from __future__ import annotations
@@ -10,7 +11,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from waybill.functions import patterns as P
-from waybill.functions.datetimes import date_time_parts, iso_from_parts
+from waybill.functions.datetimes import iso_from_parts
 from waybill.functions.dialect import (
     SPACE_CLASS,
     Pattern,
@@ -82,17 +83,17 @@ def broker_scope(text: Column) -> Column:
     return extract(text, P.BROKER_SCOPE)
 
 
-def broker_groups(scope: Column) -> Column:
-    return capture(scope, P.BROKER_NAME, P.BROKER_PHONE, P.BROKER_FAX, _BROKER_ADDRESS)
+def broker_address_groups(scope: Column) -> Column:
+    return capture(scope, _BROKER_ADDRESS)
 
 
-def broker_columns(groups: Column, scope: Column) -> dict[str, Column]:
-    name, phone, fax, address, city, state, zipcode = (F.get(groups, i) for i in range(7))
+def broker_columns(scope: Column, address_groups: Column) -> dict[str, Column]:
+    address, city, state, zipcode = (F.get(address_groups, i) for i in range(4))
     typo, repaired = P.BROKER_CITY_TYPO
     return {
-        "broker_name": strip(name),
-        "broker_phone": strip(phone),
-        "broker_fax": strip(fax),
+        "broker_name": strip(extract(scope, P.BROKER_NAME)),
+        "broker_phone": strip(extract(scope, P.BROKER_PHONE)),
+        "broker_fax": strip(extract(scope, P.BROKER_FAX)),
         "broker_address": F.regexp_replace(strip(address), f"[{SPACE_CLASS}]+", " "),
         "broker_city": strip(replace(city, typo, repaired)),
         "broker_state": strip(state),
@@ -101,14 +102,11 @@ def broker_columns(groups: Column, scope: Column) -> dict[str, Column]:
     }
 
 
-def load_groups(text: Column) -> Column:
-    return capture(text, P.LOAD_CONFIRMATION, P.TOTAL_CARRIER_PAY)
-
-
-def load_columns(groups: Column) -> dict[str, Column]:
+def load_columns(text: Column) -> dict[str, Column]:
+    pay = extract(text, P.TOTAL_CARRIER_PAY)
     return {
-        "loadConfirmationNumber": strip(F.get(groups, 0)),
-        "totalCarrierPay": strip(F.replace(F.get(groups, 1), F.lit(","), F.lit(""))),
+        "loadConfirmationNumber": strip(extract(text, P.LOAD_CONFIRMATION)),
+        "totalCarrierPay": strip(F.replace(pay, F.lit(","), F.lit(""))),
     }
 
 
@@ -137,41 +135,40 @@ def stop_blocks(text: Column, parts: Column, stop_type: str) -> Column:
 
 def clean_block(block: Column, marked: Column) -> Column:
     """A block without the sections after the last stop (marked blocks only)."""
+    block = F.coalesce(block, F.lit(""))
     return strip(F.when(marked, replace(block, P.STOP_CUTOFF, "")).otherwise(block))
 
 
-def stop_groups(block: Column, stop_type: str) -> Column:
-    """Captured groups of one block; customer, address, city, state, zip, date, window."""
-    if stop_type == "pickup":
-        chosen = (P.PICKUP_CUSTOMER, P.PICKUP_ADDRESS, P.STOP_CITY, P.STOP_ZIP,
-                  P.PICKUP_DATE, P.PICKUP_WINDOW)
-    else:
-        chosen = (P.DELIVERY_CUSTOMER, P.DELIVERY_ADDRESS, P.STOP_CITY, P.STOP_ZIP,
-                  P.DELIVERY_DATE, P.DELIVERY_WINDOW)
-    return capture(F.coalesce(block, F.lit("")), *chosen)
+_STOP_PATTERNS = {
+    "pickup": (P.PICKUP_CUSTOMER, P.PICKUP_ADDRESS, P.PICKUP_DATE, P.PICKUP_WINDOW),
+    "delivery": (P.DELIVERY_CUSTOMER, P.DELIVERY_ADDRESS, P.DELIVERY_DATE, P.DELIVERY_WINDOW),
+}
 
 
-def stop_time_parts(groups: Column) -> tuple[Column, Column]:
-    """Digits of the window's start and end; both need a date and a full window."""
-    return (
-        date_time_parts(F.get(groups, 5), F.get(groups, 6)),
-        date_time_parts(F.get(groups, 5), F.get(groups, 7)),
-    )
+def stop_times(block: Column, stop_type: str) -> dict[str, Column]:
+    """Date and window texts of one block."""
+    _, _, date, window = _STOP_PATTERNS[stop_type]
+    return {
+        "date": extract(block, date),
+        "from": extract(block, window, 1),
+        "to": extract(block, window, 2),
+    }
 
 
 def stop_columns(
-    groups: Column, start_parts: Column, end_parts: Column, stop_type: str
+    block: Column, start_parts: Column, end_parts: Column, stop_type: str
 ) -> dict[str, Column]:
-    address = F.get(groups, 1)
+    customer, address, _, _ = _STOP_PATTERNS[stop_type]
+    address_text = extract(block, address)
     if stop_type == "delivery":
         tail, nothing = P.DELIVERY_ADDRESS_TAIL
-        address = replace(address, tail, nothing)
+        address_text = replace(address_text, tail, nothing)
     return {
-        "customer": strip(F.get(groups, 0)),
-        "address": strip(address),
-        "city": strip(F.get(groups, 2)),
-        "state": strip(F.get(groups, 3)),
-        "zipcode": strip(F.get(groups, 4)),
+        "customer": strip(extract(block, customer)),
+        "address": strip(address_text),
+        "city": strip(extract(block, P.STOP_CITY, 1)),
+        "state": strip(extract(block, P.STOP_CITY, 2)),
+        "zipcode": strip(extract(block, P.STOP_ZIP)),
         "start_datetime": iso_from_parts(start_parts),
         "end_datetime": iso_from_parts(end_parts),
     }

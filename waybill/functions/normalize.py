@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -13,19 +16,37 @@ from waybill.functions.patterns import LINE_BREAK_CLASS, NORMALIZE_RULES
 # The same rule, found by its line break instead of by testing every character before one.
 _SAME_BUT_FASTER = {r"(?<=\w)\n(?=[A-Z0-9])": r"\n(?=[A-Z0-9])(?<=\w\n)"}
 
+# Text without which a rule cannot apply; looking for it is far cheaper than the pattern.
+# A lower-case text is looked for in the lowered document.
+_NEEDS = {
+    r"\*{2,}": ("**",),
+    r"Del\.\s*Date": ("del.",),
+    r"Miami Lake,s": ("lake,",),
+    r"[ \t\u00A0]+": ("  ", "\t", "\u00a0"),
+    r"\r\n?": ("\r",),
+    r"\n{3,}": ("\n\n\n",),
+}
+
 
-def normalize_text(text: Column) -> Column:
-    """Document text with marks, labels, spaces and line breaks made uniform.
+def normalize_text(df: DataFrame, text: str, into: str = "text") -> DataFrame:
+    """``into``: document text with marks, labels, spaces and line breaks made uniform.
 
     After the ordered rules every line is stripped and blank lines go: a run of white
     space holding a line break is one ``\\n``, and the ends are trimmed.
     """
-    out = F.coalesce(text, F.lit(""))
+    df = df.withColumn(into, F.coalesce(F.col(text), F.lit("")))
+    current = F.col(into)
     for pattern, replacement in NORMALIZE_RULES:
-        pattern = pattern._replace(text=_SAME_BUT_FASTER.get(pattern.text, pattern.text))
-        out = replace(out, pattern, replacement)
+        faster = _SAME_BUT_FASTER.get(pattern.text, pattern.text)
+        changed = replace(current, pattern._replace(text=faster), replacement)
+        needs = _NEEDS.get(pattern.text)
+        if needs:
+            searched = F.lower(current) if pattern.ignore_case else current
+            possible = reduce(or_, [F.contains(searched, F.lit(need)) for need in needs])
+            changed = F.when(possible, changed).otherwise(current)
+        df = df.withColumn(into, changed)
     line_ends = f"[{SPACE_CLASS}]+(?<=[{LINE_BREAK_CLASS}])[{SPACE_CLASS}]*"
-    return strip(F.regexp_replace(out, line_ends, "\n"))
+    return df.withColumn(into, strip(F.regexp_replace(current, line_ends, "\n")))
 
 
 def normalize_strings(df: DataFrame, case_sensitive: bool = False) -> DataFrame:

@@ -99,7 +99,7 @@ TIME_WINDOW = Pattern(r"from\s+(\d{2}:\d{2})\s+-\s+(\d{2}:\d{2})")
 CITY_STATE_ZIP = Pattern(
     r"([A-Za-z\s]+),\s+([A-Z]{2})\s+(\d{5}(?:-\d{4})?)", ignore_case=False
 )
-MARKDOWN_ELEMENT = Pattern(r"[#*\[\]`]", ignore_case=False)
+MARKDOWN_ELEMENTS = "#*[]`"
 MARKDOWN_HEADER = Pattern(r"^#+\s", ignore_case=False, multiline=True)
 MARKDOWN_LIST = Pattern(r"^\s*[-*+]\s", ignore_case=False, multiline=True)
 

@@ -8,8 +8,9 @@ from pyspark.sql import functions as F
 from waybill.functions import patterns as P
 from waybill.functions.dialect import (
     SPACE_CLASS,
-    capture,
+    Pattern,
     count_matches,
+    extract,
     extract_all,
     java,
     strip,
@@ -25,10 +26,13 @@ _CITY_STATE_ZIP = java(
 )
 
 
+# Without a comma, a state and five digits there is no address.
+_STATE_ZIP = java(Pattern(r",\s+[A-Z]{2}\s+\d{5}", ignore_case=False))
+
+
 def load_number(text: Column) -> Column:
     """The first pattern, in order of priority, that occurs anywhere in the text."""
-    groups = capture(text, *P.LOAD_NUMBER_BY_PRIORITY)
-    found = [F.nullif(F.get(groups, i), F.lit("")) for i in range(len(P.LOAD_NUMBER_BY_PRIORITY))]
+    found = [F.nullif(extract(text, p), F.lit("")) for p in P.LOAD_NUMBER_BY_PRIORITY]
     return F.coalesce(*found, F.lit(P.LOAD_NUMBER_MISSING))
 
 
@@ -56,27 +60,33 @@ def addresses(text: Column) -> Column:
 
 
 def count_dates(text: Column) -> Column:
-    return count_matches(text, P.WEEKDAY_DATE)
+    return F.when(F.contains(text, F.lit("/")), count_matches(text, P.WEEKDAY_DATE)).otherwise(0)
 
 
 def count_time_windows(text: Column) -> Column:
-    return count_matches(text, P.TIME_WINDOW)
+    return F.when(F.contains(text, F.lit(":")), count_matches(text, P.TIME_WINDOW)).otherwise(0)
 
 
 def count_addresses(text: Column) -> Column:
-    return F.regexp_count(text, F.lit(_CITY_STATE_ZIP))
+    found = F.regexp_count(text, F.lit(_CITY_STATE_ZIP))
+    return F.when(F.rlike(text, F.lit(_STATE_ZIP)), found).otherwise(0)
 
 
-def markdown_counts(text: Column, is_markdown: Column) -> dict[str, Column]:
-    """Marks, headers and list items; zero for text that is not Markdown."""
+def markdown_elements(text: Column) -> Column:
+    """How many Markdown marks the text holds, as the length that goes with them."""
+    bare = text
+    for mark in P.MARKDOWN_ELEMENTS:
+        bare = F.replace(bare, F.lit(mark), F.lit(""))
+    return F.length(text) - F.length(bare)
 
-    def counted(pattern) -> Column:
-        return F.when(is_markdown, count_matches(text, pattern)).otherwise(0)
 
+def markdown_counts(text: Column, is_markdown: Column) -> dict[str, Column]:
+    """Marks, headers and list items; zero for text that is not Markdown."""
+    headers = is_markdown & F.contains(text, F.lit("#"))
     return {
-        "markdown_elements": counted(P.MARKDOWN_ELEMENT),
-        "markdown_headers": counted(P.MARKDOWN_HEADER),
-        "markdown_lists": counted(P.MARKDOWN_LIST),
+        "markdown_elements": F.when(is_markdown, markdown_elements(text)).otherwise(0),
+        "markdown_headers": F.when(headers, count_matches(text, P.MARKDOWN_HEADER)).otherwise(0),
+        "markdown_lists": F.when(is_markdown, count_matches(text, P.MARKDOWN_LIST)).otherwise(0),
     }
 
 

@@ -7,15 +7,14 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from waybill.functions.dialect import count_matches
 from waybill.functions.html import html_to_markdown, html_to_plain
 from waybill.functions.patterns import (
-    MARKDOWN_ELEMENT,
     PREVIEW_CHARS,
     PREVIEW_SHORT_CHARS,
     SAMPLE_SEED,
     SAMPLE_SIZE,
 )
+from waybill.functions.quality import markdown_elements
 
 PLAIN, MARKDOWN = "plain", "markdown"
 
@@ -89,5 +88,5 @@ def preview(df: DataFrame, text: str, keep: Sequence[str]) -> DataFrame:
         *keep,
         "preview",
         F.substring("preview", 1, PREVIEW_SHORT_CHARS).alias("short_preview"),
-        count_matches(F.col("preview"), MARKDOWN_ELEMENT).alias("markdown_elements"),
+        markdown_elements(F.col("preview")).alias("markdown_elements"),
     )

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from waybill.functions import fields as R
+from waybill.functions.datetimes import date_time_parts
 from waybill.functions.normalize import normalize_text
 from waybill.functions.patterns import STOPS_KEPT
 from waybill.sources.schema import EXTRACTION_FIELDS, PROCESSED_AT
@@ -33,20 +34,37 @@ def get_extractor(name: str) -> Extractor:
     return _EXTRACTORS[name]
 
 
-def _with(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
-    # A select of its own per step: Catalyst then keeps a value that several later
-    # columns read as one computed column, and drops the ones nobody reads.
-    return df.withColumns(columns)
+# Steps are columns of their own: Catalyst then computes a value that several later columns
+# read only once, and drops the ones nobody reads.
+
+
+def _normalized(df: DataFrame, text: str, keep: Sequence[str]) -> DataFrame:
+    return normalize_text(df.select(*keep, F.col(text).alias("_text")), "_text", "_text")
 
 
 def _with_stop_blocks(df: DataFrame) -> DataFrame:
-    df = _with(df, {f"_{t}_parts": R.stop_parts(F.col("_text"), t) for t in R.STOP_TYPES})
-    return _with(
-        df,
+    text = F.col("_text")
+    df = df.withColumns({f"_{t}_parts": R.stop_parts(text, t) for t in R.STOP_TYPES})
+    return df.withColumns(
+        {f"_{t}_blocks": R.stop_blocks(text, F.col(f"_{t}_parts"), t) for t in R.STOP_TYPES}
+    )
+
+
+def _with_times(df: DataFrame, blocks: Sequence[tuple[str, str]]) -> DataFrame:
+    """The digits of each block's start and end; both need a date and a full window."""
+    df = df.withColumns(
+        {
+            f"{block}_{part}": column
+            for block, t in blocks
+            for part, column in R.stop_times(F.col(block), t).items()
+        }
+    )
+    return df.withColumns(
         {
-            f"_{t}_blocks": R.stop_blocks(F.col("_text"), F.col(f"_{t}_parts"), t)
-            for t in R.STOP_TYPES
-        },
+            f"{block}_{end}": date_time_parts(F.col(f"{block}_date"), F.col(f"{block}_{time}"))
+            for block, _ in blocks
+            for end, time in (("start", "from"), ("end", "to"))
+        }
     )
 
 
@@ -69,39 +87,29 @@ def extract_loads(
     One map-only stage.  Selecting a few fields from the result leaves only the patterns
     of those fields in the plan.
     """
-    df = df.select(*keep, normalize_text(F.col(text)).alias("_text"))
-    df = _with_stop_blocks(df)
-
+    df = _with_stop_blocks(_normalized(df, text, keep))
     slots = [(t, i) for t in R.STOP_TYPES for i in range(1, STOPS_KEPT + 1)]
-    df = _with(
-        df,
+    df = df.withColumns(
         {
-            "_scope": R.broker_scope(F.col("_text")),
-            "_load": R.load_groups(F.col("_text")),
+            "_broker": R.broker_scope(F.col("_text")),
             "_carrier": R.carrier_groups(R.carrier_scope(F.col("_text"))),
             **{
-                f"_{t}_{i}": R.stop_groups(
-                    R.clean_block(F.get(f"_{t}_blocks", i - 1), _is_marked(t)), t
-                )
+                f"_{t}_{i}": R.clean_block(F.get(f"_{t}_blocks", i - 1), _is_marked(t))
                 for t, i in slots
             },
-        },
+        }
     )
-    steps = {"_broker": R.broker_groups(F.col("_scope"))}
-    for t, i in slots:
-        start, end = R.stop_time_parts(F.col(f"_{t}_{i}"))
-        steps |= {f"_{t}_{i}_start": start, f"_{t}_{i}_end": end}
-    df = _with(df, steps)
+    df = df.withColumn("_address", R.broker_address_groups(F.col("_broker")))
+    df = _with_times(df, [(f"_{t}_{i}", t) for t, i in slots])
 
     columns = {
-        **R.broker_columns(F.col("_broker"), F.col("_scope")),
-        **R.load_columns(F.col("_load")),
+        **R.broker_columns(F.col("_broker"), F.col("_address")),
+        **R.load_columns(F.col("_text")),
         **R.carrier_columns(F.col("_carrier")),
     }
     for t, i in slots:
-        stop = R.stop_columns(
-            F.col(f"_{t}_{i}"), F.col(f"_{t}_{i}_start"), F.col(f"_{t}_{i}_end"), t
-        )
+        block = f"_{t}_{i}"
+        stop = R.stop_columns(F.col(block), F.col(f"{block}_start"), F.col(f"{block}_end"), t)
         columns |= {f"{t}_{name}_{i}": column for name, column in stop.items()}
     columns[PROCESSED_AT] = processed_at()
     return df.select(
@@ -114,18 +122,16 @@ def extract_stops(
     df: DataFrame, text: str = "text", keep: Sequence[str] = ("source_file",)
 ) -> DataFrame:
     """Every stop, none dropped: ``keep, stop_type, stop_no`` and its attributes."""
-    df = _with_stop_blocks(df.select(*keep, normalize_text(F.col(text)).alias("_text")))
-    both = F.array(
-        *[
-            F.struct(
-                F.lit(t).alias("stop_type"),
-                _is_marked(t).alias("marked"),
-                F.col(f"_{t}_blocks").alias("blocks"),
-            )
-            for t in R.STOP_TYPES
-        ]
-    )
-    df = df.select(*keep, F.inline(both))
+    df = _with_stop_blocks(_normalized(df, text, keep))
+    per_type = [
+        F.struct(
+            F.lit(t).alias("stop_type"),
+            _is_marked(t).alias("marked"),
+            F.col(f"_{t}_blocks").alias("blocks"),
+        )
+        for t in R.STOP_TYPES
+    ]
+    df = df.select(*keep, F.inline(F.array(*per_type)))
     df = df.select(
         *keep, "stop_type", "marked", F.posexplode("blocks").alias("position", "block")
     )
@@ -136,18 +142,25 @@ def extract_stops(
         R.clean_block(F.col("block"), F.col("marked")).alias("_block"),
     )
     # The two types read different labels, so the right one is chosen per row.
-    df = _with(df, {"_groups": _by_type(lambda t: R.stop_groups(F.col("_block"), t))})
-    start, end = R.stop_time_parts(F.col("_groups"))
-    df = _with(df, {"_start": start, "_end": end})
-    per_type = {
-        t: R.stop_columns(F.col("_groups"), F.col("_start"), F.col("_end"), t)
+    times = {t: R.stop_times(F.col("_block"), t) for t in R.STOP_TYPES}
+    df = df.withColumns(
+        {f"_{part}": _by_type(lambda t: times[t][part]) for part in ("date", "from", "to")}
+    )
+    df = df.withColumns(
+        {
+            "_start": date_time_parts(F.col("_date"), F.col("_from")),
+            "_end": date_time_parts(F.col("_date"), F.col("_to")),
+        }
+    )
+    stops = {
+        t: R.stop_columns(F.col("_block"), F.col("_start"), F.col("_end"), t)
         for t in R.STOP_TYPES
     }
     return df.select(
         *keep,
         "stop_type",
         "stop_no",
-        *[_by_type(lambda t, a=a: per_type[t][a]).alias(a) for a in R.STOP_ATTRIBUTES],
+        *[_by_type(lambda t: stops[t][name]).alias(name) for name in R.STOP_ATTRIBUTES],
     )
 
 
@@ -160,7 +173,7 @@ def count_stops(
     df: DataFrame, text: str = "text", keep: Sequence[str] = ("source_file",)
 ) -> DataFrame:
     """Stops found per document, and whether the wide table leaves any out."""
-    df = _with_stop_blocks(df.select(*keep, normalize_text(F.col(text)).alias("_text")))
+    df = _with_stop_blocks(_normalized(df, text, keep))
     df = df.select(
         *keep, *[F.size(f"_{t}_blocks").alias(f"n_{t}") for t in R.STOP_TYPES]
     )

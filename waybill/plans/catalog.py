@@ -7,6 +7,8 @@ from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
 
+from waybill.sources.files import spread
+
 Run = Callable[[SparkSession, str], DataFrame]
 
 
@@ -28,3 +30,8 @@ def query(sql: str | None = None, name: str | None = None) -> Callable[[Run], Ru
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def texts(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table whose rows take long to work on."""
+    return spread(table(spark, sf_dir, name))

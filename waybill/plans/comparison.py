@@ -10,7 +10,7 @@ from waybill.functions.html import markdown_sql, plain_sql
 from waybill.functions.patterns import LOAD_NUMBER_MISSING, SUMMARY_METRICS
 from waybill.operators import compare as C
 from waybill.operators.documents import MARKDOWN, PLAIN, render_methods
-from waybill.plans.catalog import query, table
+from waybill.plans.catalog import query, table, texts
 from waybill.plans.load_docs import for_duckdb, load_docs, numbered_stops_sql
 
 FAILED_EVERY = 5
@@ -109,7 +109,7 @@ def precision_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every 5th document fails under the Markdown method and counts as an empty text."""
     docs = load_docs(spark, sf_dir)
     markdown = F.when(F.col("order_key") % FAILED_EVERY != 0, F.col("text")).otherwise("")
-    texts = docs.select(
+    both = docs.select(
         F.col("order_key").alias("file"),
         F.inline(
             F.array(
@@ -118,7 +118,7 @@ def precision_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
             )
         ),
     ).withColumn("run_order", F.col("file"))
-    stats = C.precision_stats(C.method_metrics(texts, keep=("file", "run_order")))
+    stats = C.precision_stats(C.method_metrics(both, keep=("file", "run_order")))
     return _rounded(stats)
 
 
@@ -174,9 +174,9 @@ _METRICS_SQL = (
 
 
 def _page_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pages = table(spark, sf_dir, "pages")
-    texts = render_methods(pages, "html", [F.col("page_id").alias("file"), "url"])
-    return C.method_metrics(texts, keep=("file", "url")).withColumn("run_order", F.col("file"))
+    pages = texts(spark, sf_dir, "pages")
+    rendered = render_methods(pages, "html", [F.col("page_id").alias("file"), "url"])
+    return C.method_metrics(rendered, keep=("file", "url")).withColumn("run_order", F.col("file"))
 
 
 @query(
@@ -198,7 +198,7 @@ def markdown_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
 def line_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = F.coalesce("text", F.lit(""))
     return _rounded(
-        table(spark, sf_dir, "documents").select(
+        texts(spark, sf_dir, "documents").select(
             "doc_id",
             Q.total_lines(text).alias("total_lines"),
             Q.blank_lines(text).alias("blank_lines"),

@@ -10,7 +10,7 @@ from waybill.functions.patterns import PREVIEW_CHARS, PREVIEW_SHORT_CHARS, SAMPL
 from waybill.operators import documents as D
 from waybill.operators.status import document_status
 from waybill.operators.status import extraction_status as status_counts
-from waybill.plans.catalog import query, table
+from waybill.plans.catalog import query, table, texts
 from waybill.plans.load_docs import load_docs
 from waybill.sources import files, sinks
 
@@ -21,13 +21,13 @@ PRUNED_SOURCE = "src7"
 
 @query(f"SELECT page_id, {H.plain_sql('html')} AS text FROM pages")
 def html_to_plain(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pages = table(spark, sf_dir, "pages")
+    pages = texts(spark, sf_dir, "pages")
     return pages.select("page_id", H.html_to_plain(F.col("html")).alias("text"))
 
 
 @query(f"SELECT page_id, {H.markdown_sql('html')} AS text FROM pages")
 def html_to_markdown(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pages = table(spark, sf_dir, "pages")
+    pages = texts(spark, sf_dir, "pages")
     return pages.select("page_id", H.html_to_markdown(F.col("html")).alias("text"))
 
 
@@ -38,7 +38,7 @@ def html_to_markdown(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def method_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stored texts of both methods, read back from the table they are written to."""
-    rendered = D.render_methods(table(spark, sf_dir, "pages"), "html", ["page_id"])
+    rendered = D.render_methods(texts(spark, sf_dir, "pages"), "html", ["page_id"])
     path = files.shared_folder(spark, "method_texts")
     sinks.write_partitioned(D.method_texts(rendered), path, "method")
     return spark.read.parquet(path).select("page_id", "method", "text")
@@ -78,7 +78,7 @@ _STEM = r"^((?:.*/)?\.*[^./][^/]*)\.[^./]*$"
 )
 def path_mapping(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = D.output_path(F.col("url"), "https://", "txt/")
-    return table(spark, sf_dir, "pages").select("page_id", "url", path.alias("text_path"))
+    return texts(spark, sf_dir, "pages").select("page_id", "url", path.alias("text_path"))
 
 
 @query(

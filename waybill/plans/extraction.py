@@ -15,7 +15,7 @@ from waybill.operators.extract import (
     extract_stops,
 )
 from waybill.operators.extract import typed_loads as as_typed
-from waybill.plans.catalog import query, table
+from waybill.plans.catalog import query, table, texts
 from waybill.plans.load_docs import for_duckdb, load_docs, long_stops_sql, wide_rows_sql
 from waybill.sources.files import shared_folder
 from waybill.sources.schema import EXTRACTION_FIELDS, PROCESSED_AT
@@ -58,9 +58,7 @@ _JOIN = (r"([\p{L}\p{N}_])\n([A-Z0-9])", r"\1 \2")
     + " AS text FROM documents"
 )
 def normalize_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "documents").select(
-        "doc_id", clean_text(F.col("text")).alias("text")
-    )
+    return clean_text(texts(spark, sf_dir, "documents").select("doc_id", "text"), "text")
 
 
 def _strings_sql(clean: str) -> str:
@@ -171,7 +169,7 @@ FROM (
 
 @query(for_duckdb(_DATE_TIMES_SQL))
 def combine_datetime(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = spark.sql(_DATE_TIMES_SQL, lineitem=table(spark, sf_dir, "lineitem"))
+    lines = spark.sql(_DATE_TIMES_SQL, lineitem=texts(spark, sf_dir, "lineitem"))
     iso = iso_datetime(F.col("date_text"), F.col("time_text"))
     return lines.drop("iso").withColumn("iso", iso)
 
@@ -182,7 +180,7 @@ def combine_datetime(spark: SparkSession, sf_dir: str) -> DataFrame:
     r"AS emails FROM documents"
 )
 def emails_sorted(spark: SparkSession, sf_dir: str) -> DataFrame:
-    documents = table(spark, sf_dir, "documents")
+    documents = texts(spark, sf_dir, "documents")
     return documents.select("doc_id", emails(F.coalesce("text", F.lit(""))).alias("emails"))
 
 

@@ -34,6 +34,19 @@ def shared_folder(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """A small input over all cores; a large one, whose splits already are, as it is.
+
+    Text work costs far more than its bytes suggest, so an input of a few splits would
+    leave most cores idle.  Only an input below one split per core is moved at all.
+    """
+    spark = df.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    split = spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
+    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    return df.repartition(cores) if size < cores * split else df
+
+
 def scan_text_files(
     spark: SparkSession, path: str, glob: str = "*.txt", recursive: bool = False
 ) -> DataFrame:
