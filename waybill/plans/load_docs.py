@@ -7,9 +7,12 @@ document must give back come from SQL over the same tables, never from its text.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from waybill.sources.files import spread
 from waybill.sources.schema import TRUTH_FIELDS
 
 STYLES = {
@@ -23,68 +26,87 @@ STYLES = {
     7: "last pickup without zip: the block runs on into the first delivery's zip",
 }
 
-# SQL that Spark and DuckDB both read.  One row per stop: line numbers repeat within an
-# order, so they are reduced first (partial aggregation keeps a hot order small).
-STOPS_SQL = """
-WITH line AS (
-  SELECT l_orderkey, l_linenumber, min(l_shipdate) AS ship, min(l_suppkey) AS supp
-  FROM {lineitem} GROUP BY l_orderkey, l_linenumber
-), stop AS (
-  SELECT l_orderkey, l_linenumber, ship, supp, o_custkey, o_orderstatus,
-         CAST(6 + (l_linenumber + l_orderkey) % 6 AS INT) AS hour
-  FROM line JOIN {orders} ON o_orderkey = l_orderkey
+# What a stop says, in SQL that Spark and DuckDB both read.
+_LETTERS = "'0123456789', 'ABCDEFGHIJ'"
+_STATES = "'FLGATXMENCSCVAAL'"
+_HOUR = "CAST(6 + (line_no + o_orderkey) % 6 AS INT)"
+_TO_HOUR = f"({_HOUR} + 8)"
+
+
+def _hours(hour: str, rest: str) -> str:
+    return f"lpad(CAST({hour} AS STRING), 2, '0') || '{rest}'"
+
+
+STOP_VALUES = {
+    "p_customer": f"'Shipper ' || translate(CAST(supp AS STRING), {_LETTERS})",
+    "p_address": "CAST(100 + (supp * 7 + line_no) % 9000 AS STRING) || ' Dock Road'",
+    "p_city": f"'Port ' || translate(CAST(supp % 1000 AS STRING), {_LETTERS})",
+    "p_state": f"substr({_STATES}, CAST(1 + 2 * (supp % 8) AS INT), 2)",
+    "p_zip": "CAST(10000 + (supp * 37 + line_no * 11) % 90000 AS STRING)",
+    "d_customer": "'Customer ' || CAST(o_custkey AS STRING)",
+    "d_address": "CAST(100 + (o_custkey * 3 + line_no) % 9000 AS STRING) || ' Market Street'",
+    "d_city": f"'Town ' || translate(CAST(o_custkey % 1000 AS STRING), {_LETTERS})",
+    "d_state": f"substr({_STATES}, CAST(1 + 2 * (o_custkey % 8) AS INT), 2)",
+    "d_zip": "CAST(10000 + (o_custkey * 53 + line_no * 13) % 90000 AS STRING)",
+    "us_date": "CAST(month(ship) AS STRING) || '/' || CAST(day(ship) AS STRING) || '/' "
+               "|| CAST(year(ship) AS STRING)",
+    "from_time": _hours(_HOUR, ":00"),
+    "to_time": _hours(_TO_HOUR, ":30"),
+}
+_ISO = {
+    "start_iso": "CAST(CAST(ship AS DATE) AS STRING) || 'T' || " + _hours(_HOUR, ":00:00"),
+    "end_iso": "CAST(CAST(ship AS DATE) AS STRING) || 'T' || " + _hours(_TO_HOUR, ":30:00"),
+}
+
+# What broker, load and carrier sections say.
+HEADER_VALUES = {
+    "source_file": "'source=' || o_orderstatus || '/order%20' || CAST(o_orderkey AS STRING) "
+                   "|| '.txt'",
+    "b_name": "'USA Truck Brokers Inc.'",
+    "b_phone": "'305-555-' || lpad(CAST(o_orderkey % 10000 AS STRING), 4, '0')",
+    "b_fax": "'305-556-' || lpad(CAST(o_orderkey % 10000 AS STRING), 4, '0')",
+    "b_address": "CAST(1000 + o_orderkey % 9000 AS STRING) || ' NW 77 Court Suite ' "
+                 "|| CAST(100 + o_orderkey % 900 AS STRING)",
+    "b_mail_1": "'desk' || CAST(o_orderkey % 5 AS STRING) || '@example.com'",
+    "b_mail_2": "'bills' || CAST(o_orderkey % 3 AS STRING) || '@example.com'",
+    "pay": "CAST(CAST(o_totalprice AS DECIMAL(18, 2)) AS STRING)",
+    "c_name": "replace(s_name, '#', ' ')",
+    "c_mc": "CAST(100000 + carrier_key AS STRING)",
+    "c_address": "CAST(1 + carrier_key % 900 AS STRING) || ' Harbor st #' "
+                 "|| CAST(carrier_key AS STRING)",
+    "c_city": f"'SAN ' || translate(CAST(carrier_key % 1000 AS STRING), {_LETTERS})",
+    "c_state": f"substr({_STATES}, CAST(1 + 2 * (carrier_key % 8) AS INT), 2)",
+    "c_zip": "CAST(10000 + carrier_key * 41 % 90000 AS STRING)",
+    "c_phone": "'786-555-' || lpad(CAST(carrier_key % 10000 AS STRING), 4, '0')",
+    "c_fax": "'786-556-' || lpad(CAST(carrier_key % 10000 AS STRING), 4, '0')",
+    "c_contact": f"'Ana ' || translate(CAST(carrier_key % 1000 AS STRING), {_LETTERS}) "
+                 "|| ' (dispatcher'",
+}
+
+# Line numbers repeat within an order, so they are reduced to one row each.
+LINES_SQL = (
+    "SELECT l_orderkey, l_linenumber AS line_no, min(l_shipdate) AS ship, min(l_suppkey) AS supp "
+    "FROM {lineitem} GROUP BY l_orderkey, l_linenumber"
 )
-SELECT l_orderkey AS order_key, l_linenumber AS line_no, supp, ship,
-  'Shipper ' || translate(CAST(supp AS STRING), '0123456789', 'ABCDEFGHIJ') AS p_customer,
-  CAST(100 + (supp * 7 + l_linenumber) % 9000 AS STRING) || ' Dock Road' AS p_address,
-  'Port ' || translate(CAST(supp % 1000 AS STRING), '0123456789', 'ABCDEFGHIJ') AS p_city,
-  substr('FLGATXMENCSCVAAL', CAST(1 + 2 * (supp % 8) AS INT), 2) AS p_state,
-  CAST(10000 + (supp * 37 + l_linenumber * 11) % 90000 AS STRING) AS p_zip,
-  'Customer ' || CAST(o_custkey AS STRING) AS d_customer,
-  CAST(100 + (o_custkey * 3 + l_linenumber) % 9000 AS STRING) || ' Market Street' AS d_address,
-  'Town ' || translate(CAST(o_custkey % 1000 AS STRING), '0123456789', 'ABCDEFGHIJ') AS d_city,
-  substr('FLGATXMENCSCVAAL', CAST(1 + 2 * (o_custkey % 8) AS INT), 2) AS d_state,
-  CAST(10000 + (o_custkey * 53 + l_linenumber * 13) % 90000 AS STRING) AS d_zip,
-  CAST(month(ship) AS STRING) || '/' || CAST(day(ship) AS STRING) || '/'
-    || CAST(year(ship) AS STRING) AS us_date,
-  lpad(CAST(hour AS STRING), 2, '0') || ':00' AS from_time,
-  lpad(CAST(hour + 8 AS STRING), 2, '0') || ':30' AS to_time,
-  CAST(CAST(ship AS DATE) AS STRING) || 'T' || lpad(CAST(hour AS STRING), 2, '0') || ':00:00'
-    AS start_iso,
-  CAST(CAST(ship AS DATE) AS STRING) || 'T' || lpad(CAST(hour + 8 AS STRING), 2, '0') || ':30:00'
-    AS end_iso
-FROM stop
-"""
 
-# One row per order: what broker, load and carrier sections say.
-HEADERS_SQL = """
-SELECT o.o_orderkey AS order_key, o.o_orderstatus AS source, {style} AS style,
-  'source=' || o.o_orderstatus || '/order%20' || CAST(o.o_orderkey AS STRING) || '.txt'
-    AS source_file,
-  'USA Truck Brokers Inc.' AS b_name,
-  '305-555-' || lpad(CAST(o.o_orderkey % 10000 AS STRING), 4, '0') AS b_phone,
-  '305-556-' || lpad(CAST(o.o_orderkey % 10000 AS STRING), 4, '0') AS b_fax,
-  CAST(1000 + o.o_orderkey % 9000 AS STRING) || ' NW 77 Court Suite '
-    || CAST(100 + o.o_orderkey % 900 AS STRING) AS b_address,
-  'desk' || CAST(o.o_orderkey % 5 AS STRING) || '@example.com' AS b_mail_1,
-  'bills' || CAST(o.o_orderkey % 3 AS STRING) || '@example.com' AS b_mail_2,
-  CAST(CAST(o.o_totalprice AS DECIMAL(18, 2)) AS STRING) AS pay,
-  c.supp AS carrier_key, replace(s.s_name, '#', ' ') AS c_name,
-  CAST(100000 + c.supp AS STRING) AS c_mc,
-  CAST(1 + c.supp % 900 AS STRING) || ' Harbor st #' || CAST(c.supp AS STRING) AS c_address,
-  'SAN ' || translate(CAST(c.supp % 1000 AS STRING), '0123456789', 'ABCDEFGHIJ') AS c_city,
-  substr('FLGATXMENCSCVAAL', CAST(1 + 2 * (c.supp % 8) AS INT), 2) AS c_state,
-  CAST(10000 + c.supp * 41 % 90000 AS STRING) AS c_zip,
-  '786-555-' || lpad(CAST(c.supp % 10000 AS STRING), 4, '0') AS c_phone,
-  '786-556-' || lpad(CAST(c.supp % 10000 AS STRING), 4, '0') AS c_fax,
-  'Ana ' || translate(CAST(c.supp % 1000 AS STRING), '0123456789', 'ABCDEFGHIJ')
-    || ' (dispatcher' AS c_contact
-FROM {orders} o
-LEFT JOIN (SELECT l_orderkey, min(l_suppkey) AS supp FROM {lineitem} GROUP BY l_orderkey) c
-  ON c.l_orderkey = o.o_orderkey
-LEFT JOIN {supplier} s ON s.s_suppkey = c.supp
-"""
 
+def _values(values: dict[str, str]) -> str:
+    return ",\n  ".join(f"{sql} AS {name}" for name, sql in values.items())
+
+
+# One row per stop.
+STOPS_SQL = (
+    f"SELECT o_orderkey AS order_key, line_no, supp, ship,\n  {_values(STOP_VALUES | _ISO)}\n"
+    f"FROM ({LINES_SQL}) line JOIN {{orders}} ON o_orderkey = l_orderkey"
+)
+
+# One row per order; its carrier is the supplier with the lowest key.
+HEADERS_SQL = (
+    "SELECT o_orderkey AS order_key, {style} AS style, carrier_key,\n  "
+    f"{_values(HEADER_VALUES)}\nFROM {{orders}}\nLEFT JOIN "
+    "(SELECT l_orderkey, min(l_suppkey) AS carrier_key FROM {lineitem} GROUP BY l_orderkey) c "
+    "ON l_orderkey = o_orderkey\nLEFT JOIN {supplier} ON s_suppkey = carrier_key"
+)
 
 STYLE_OF_ORDER = "o_orderkey % 8"
 
@@ -193,23 +215,33 @@ def _carrier_text() -> Column:
 
 
 def load_docs(spark: SparkSession, sf_dir: str, style: str = STYLE_OF_ORDER) -> DataFrame:
-    """One document per order: ``order_key, source, source_file, text``."""
+    """One document per order: ``order_key, source, source_file, text``.
+
+    Line items are reduced before they are shuffled, so a hot order stays small, and every
+    table is read once.
+    """
     tables = _tables(spark, sf_dir)
-    names = (
-        "line_no", "ship", "us_date", "from_time", "to_time", "p_customer", "p_address",
-        "p_city", "p_state", "p_zip", "d_customer", "d_address", "d_city", "d_state", "d_zip",
+    lines = spark.sql(LINES_SQL, lineitem=tables["lineitem"])
+    # One entry per distinct line number of an order.
+    lines = lines.groupBy("l_orderkey").agg(
+        F.array_sort(F.collect_list(F.struct("line_no", "ship", "supp"))).alias("lines")
     )
-    stops = (
-        spark.sql(STOPS_SQL, lineitem=tables["lineitem"], orders=tables["orders"])
-        # Bounded: one entry per distinct line number of an order, already reduced.
-        .groupBy(F.col("order_key").alias("stop_key"))
-        .agg(F.array_sort(F.collect_list(F.struct(*names))).alias("stops"))
+    docs = spread(tables["orders"]).join(lines, F.col("o_orderkey") == F.col("l_orderkey"), "left")
+    docs = docs.withColumn("carrier_key", F.array_min("lines.supp")).join(
+        tables["supplier"], F.col("s_suppkey") == F.col("carrier_key"), "left"
     )
-    docs = spark.sql(_headers_sql(style), **tables).join(
-        stops, F.col("order_key") == F.col("stop_key"), "left"
+    # Inside the lambda a line's own values are fields of ``line``.
+    fields = re.sub(r"\b(line_no|ship|supp)\b", r"line.\1", _values({"ship": "ship"} | STOP_VALUES))
+    fields = fields.replace("AS line.ship", "AS ship")
+    stops = f"transform(coalesce(lines, array()), line -> struct({fields}))"
+    docs = docs.select(
+        F.col("o_orderkey").alias("order_key"),
+        F.col("o_orderstatus").alias("source"),
+        F.expr(style).alias("style"),
+        "carrier_key",
+        *[F.expr(sql).alias(name) for name, sql in HEADER_VALUES.items()],
+        F.expr(stops).alias("stops"),
     )
-    no_stops = F.array().cast(docs.schema["stops"].dataType)
-    docs = docs.withColumn("stops", F.coalesce("stops", no_stops))
     lines = F.concat(
         F.array(F.lit("Load Confirmation"), _load_line(), F.lit("Schedule")),
         F.transform("stops", _schedule_text),
