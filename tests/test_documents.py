@@ -1,0 +1,159 @@
+import pytest
+from pyspark.sql import functions as F
+
+from waybill.operators import documents as D
+from waybill.operators import status as S
+from waybill.operators.extract import extract_loads
+from waybill.sources import files, sinks
+from waybill.sources.schema import EXTRACTION_FIELDS, TABLE_FIELDS, TRUTH_FIELDS, load_schema
+
+
+def test_schema():
+    assert len(TABLE_FIELDS) == 63 and len(EXTRACTION_FIELDS) == 62 and len(TRUTH_FIELDS) == 41
+    assert set(TABLE_FIELDS) == {"source_file", *EXTRACTION_FIELDS}
+    schema = load_schema()
+    assert schema.names[:2] == ["source_file", "processed_at"]
+    assert schema.names[-1] == "delivery_end_datetime_3"
+    assert schema["source_file"].metadata["comment"]
+    assert {f.dataType.simpleString() for f in schema} == {"string"}
+
+
+@pytest.fixture
+def folder(tmp_path):
+    for name, data in {
+        "source=A/one file.txt": b"Trip # 1",
+        "source=B/two.txt": "café".encode(),
+        "source=B/bad.txt": b"\xff\xfe",
+        "source=B/other.md": b"no",
+        "source=B/deep/x.PDF": b"12",
+        "source=B/y.pdf": b"1",
+    }.items():
+        path = tmp_path / name
+        path.parent.mkdir(parents=True, exist_ok=True)
+        path.write_bytes(data)
+    return str(tmp_path)
+
+
+def test_scan_is_not_recursive_and_keeps_the_encoded_address(spark, folder):
+    rows = files.scan_text_files(spark, folder + "/source=A").collect()
+    assert [r.text for r in rows] == ["Trip # 1"]
+    assert rows[0].source_file.endswith("/one%20file.txt")
+    shown = files.scan_text_files(spark, folder + "/source=A").select(files.display_path(F.col("source_file")))
+    assert shown.first()[0].endswith("/one file.txt")
+
+
+def test_scan_of_sources_sets_bad_text_aside(spark, folder):
+    df = S.document_status(files.scan_text_files(spark, folder))
+    rows = {r.source_file.rsplit("/", 1)[1]: r for r in df.collect()}
+    assert set(rows) == {"one%20file.txt", "two.txt", "bad.txt"}
+    assert (rows["two.txt"].source, rows["two.txt"].text) == ("B", "café")
+    assert (rows["bad.txt"].status, rows["bad.txt"].text) == (S.FAILED, None)
+    good, bad = S.split_status(df)
+    assert (good.count(), bad.count()) == (2, 1)
+
+
+def test_discover_any_depth_any_case(spark, folder):
+    found = files.discover_documents(spark, folder).collect()
+    assert sorted((r.path.rsplit("/", 1)[1], r.length) for r in found) == [("x.PDF", 2), ("y.pdf", 1)]
+
+
+def test_status_gate_and_observation(spark):
+    df = spark.createDataFrame([("a",), ("",), (None,)], "text string")
+    status = S.document_status(df)
+    row = S.extraction_status(status).first()
+    assert (row.n_documents, row.n_ok, row.n_empty, row.n_failed, row.passed) == (3, 1, 1, 1, True)
+    S.require_processed(S.extraction_status(status))
+    with pytest.raises(S.NothingProcessed):
+        S.require_processed(S.extraction_status(status.filter("status <> 'ok'")))
+    observed, observation = S.observe_status(status)
+    observed.write.format("noop").mode("overwrite").save()
+    assert observation.get["n_documents"] == 3 and observation.get["n_ok"] == 1
+
+
+@pytest.mark.parametrize(
+    "path, expected",
+    [
+        ("in/a/b.pdf", "out/a/b.txt"), ("in/a.b/c", "out/a.b/c.txt"), ("in/.hidden", "out/.hidden.txt"),
+        ("in/a.tar.gz", "out/a.tar.txt"), ("in/..x.y", "out/..x.txt"), ("in/a..b", "out/a..txt"),
+        ("in/x.", "out/x.txt"), ("else/z.PDF", "out/else/z.txt"),
+    ],
+)
+def test_output_path(spark, path, expected):
+    row = spark.range(1).select(D.output_path(F.lit(path), "in/", "out/").alias("p")).first()
+    assert row.p == expected
+
+
+def test_join_pages_splits_long_documents(spark):
+    pages = [(1, i, f"p{i}") for i in range(10)] + [(2, 0, ""), (2, 1, "x"), (2, 2, None)]
+    df = spark.createDataFrame(pages, "doc int, page int, text string").repartition(4)
+    whole = {r.doc: r.text for r in D.join_pages(df, "doc", "page", "text").collect()}
+    assert whole == {1: "".join(f"p{i}\n" for i in range(10)), 2: "x\n"}
+    parts = D.join_pages(df, "doc", "page", "text", pages_per_part=4).orderBy("doc", "part").collect()
+    assert [(r.doc, r.part, r.text.count("\n")) for r in parts] == [(1, 0, 4), (1, 1, 4), (1, 2, 2), (2, 0, 1)]
+
+
+def test_seeded_sample_is_stable(spark):
+    df = spark.range(100)
+    first = [r.id for r in D.seeded_sample(df, "id").collect()]
+    again = [r.id for r in D.seeded_sample(df.repartition(7), "id").collect()]
+    assert first == again and len(set(first)) == 15
+    assert [r.id for r in D.seeded_sample(df, "id", seed=1).collect()] != first
+    assert D.seeded_sample(spark.range(3), "id").count() == 3
+
+
+def test_first_listing(spark):
+    rows = D.first_listing(spark.range(8), "id").collect()
+    assert [(r.id, r.n_more) for r in rows] == [(i, 3) for i in range(5)]
+    assert D.first_listing(spark.range(2), "id").first().n_more == 0
+
+
+def test_write_loads_by_path_and_name(spark, tmp_path):
+    df = spark.createDataFrame([("f", "Trip # 9 Total To Pay: $1.00")], "source_file string, text string")
+    loads = extract_loads(df)
+    path = str(tmp_path / "loads")
+    sinks.write_loads(loads.withColumn("extra", F.lit("x")), path=path)
+    back = spark.read.parquet(path)
+    assert back.columns == [*TABLE_FIELDS, "extra"]
+    assert back.schema["loadConfirmationNumber"].metadata["comment"]
+    sinks.write_loads(loads, table="loads_by_name")
+    sinks.write_loads(loads, table="loads_by_name")
+    assert spark.table("loads_by_name").count() == 1
+    spark.sql("DROP TABLE loads_by_name")
+
+
+def test_one_text_file_per_document(spark, tmp_path):
+    df = spark.createDataFrame([("A", "one\ntwo"), ("A", "x"), ("B", "y")], "source string, text string")
+    path = str(tmp_path / "texts")
+    sinks.write_text(df, path, "source")
+    back = files.scan_text_files(spark, path).collect()
+    assert sorted((r.source, r.text) for r in back) == [("A", "one\ntwo\n"), ("A", "x\n"), ("B", "y\n")]
+
+
+def test_partitioned_reads_are_pruned(spark, tmp_path):
+    path = str(tmp_path / "docs")
+    df = spark.createDataFrame([("A", 1), ("B", 2)], "source string, n int")
+    sinks.write_partitioned(df, path, "source")
+    one = files.read_source(spark, path, "B")
+    assert [r.n for r in one.collect()] == [2]
+    assert "PartitionFilters: [isnotnull(source" in one._jdf.queryExecution().executedPlan().toString()
+
+
+def test_csv(spark, tmp_path):
+    path = str(tmp_path / "csv")
+    sinks.write_csv(spark.createDataFrame([("é", 1)], "`Métrica` string, n int"), path)
+    back = spark.read.option("header", True).csv(path)
+    assert back.columns == ["Métrica", "n"] and back.first()[0] == "é"
+
+
+def test_shared_folder_follows_the_cluster_setting(spark):
+    assert files.shared_folder(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir"))
+
+
+def test_spread_moves_only_small_inputs(spark):
+    small = spark.range(10).coalesce(1)
+    assert files.spread(small).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    spark.conf.set("spark.sql.files.maxPartitionBytes", 1)
+    try:
+        assert files.spread(small).rdd.getNumPartitions() == 1
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")

@@ -23,8 +23,8 @@ def date_time_parts(date: Column, time: Column) -> Column:
 def iso_from_parts(parts: Column) -> Column:
     """``yyyy-MM-ddTHH:mm:ss``, or ``''`` for text that is no date or no calendar day."""
     month, day, year, hour, minute, second = (F.get(parts, i) for i in range(6))
-    month_start = F.make_date(year.try_cast("int"), month.try_cast("int"), F.lit(1))
-    valid = day.try_cast("int") <= F.day(F.last_day(month_start))
+    month_start = F.make_date(year.cast("int"), month.cast("int"), F.lit(1))
+    valid = day.cast("int") <= F.day(F.last_day(month_start))
 
     def two(digits: Column) -> Column:
         return F.lpad(digits, 2, "0")
@@ -33,7 +33,8 @@ def iso_from_parts(parts: Column) -> Column:
         year, F.lit("-"), two(month), F.lit("-"), two(day),
         F.lit("T"), two(hour), F.lit(":"), two(minute), F.lit(":"), two(second),
     )
-    return F.when(valid, iso).otherwise("")
+    # Digits that were not found are not cast: a failing cast costs more than the parsing.
+    return F.when(day == "", "").when(valid, iso).otherwise("")
 
 
 def combine_datetime(date: Column, time: Column) -> Column:

@@ -19,7 +19,8 @@ WHITESPACE = (
     "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
     "\u2028\u2029\u202f\u205f\u3000"
 )
-SPACE_CLASS = r"\t-\r\x1c-\x20\x85\xa0\p{Z}"
+# The same set for Java; printable ASCII, which most text is, is ruled out by one comparison.
+SPACE_CLASS = r"[^!-~]&&[\t-\r\x1c-\x20\x85\xa0\p{Z}]"
 WORD_CLASS = r"\p{L}\p{N}_"
 
 # Separates captured groups.  It is a control character outside every class that the
@@ -73,8 +74,8 @@ def _fold(token: re.Match) -> str:
     return f"[{text}{_CASE_PARTNERS[text.lower()]}]"
 
 
-def java(pattern: Pattern) -> str:
-    """The pattern for Spark's regex functions, flags included."""
+def _translate(pattern: Pattern) -> tuple[str, str]:
+    """Flags and body of a pattern for Java."""
     body = pattern.text
     flags = "d"
     if pattern.ignore_case:
@@ -85,6 +86,18 @@ def java(pattern: Pattern) -> str:
         flags += "s"
     if pattern.multiline:
         flags += "m"
+    return flags, body
+
+
+def java(pattern: Pattern) -> str:
+    """The pattern for Spark's regex functions, flags included."""
+    flags, body = _translate(pattern)
+    return f"(?{flags}){body}"
+
+
+def embedded(pattern: Pattern) -> str:
+    """The pattern as a part of a larger one."""
+    flags, body = _translate(pattern)
     return f"(?{flags}:{body})"
 
 
@@ -121,7 +134,7 @@ def capture(col: Column, *patterns: Pattern) -> Column:
     parts = []
     for pattern in patterns:
         guard = f"(?={pattern.guard})" if pattern.guard else ""
-        parts.append(f"(?:{guard}(?=(?s:.*?){java(pattern)})|)")
+        parts.append(f"(?:{guard}(?=(?s:.*?){embedded(pattern)})|)")
     total = sum(pattern.groups for pattern in patterns)
     replacement = GROUP_SEPARATOR.join(f"${i}" for i in range(1, total + 1))
     whole = r"\A" + "".join(parts) + r"(?s:.*)\z"

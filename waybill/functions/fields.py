@@ -16,6 +16,7 @@ from waybill.functions.dialect import (
     SPACE_CLASS,
     Pattern,
     capture,
+    embedded,
     extract,
     extract_all,
     java,
@@ -40,13 +41,13 @@ STOP_TYPES = ("pickup", "delivery")
 
 # A broker address can only match where a comma, a state and five digits follow.
 _BROKER_ADDRESS = P.BROKER_ADDRESS._replace(
-    guard=r"(?s:.*?)," + java(Pattern(r"\s*[A-Z]{2}\s*\d{5}"))
+    guard=r"(?s:.*?)," + embedded(Pattern(r"\s*[A-Z]{2}\s*\d{5}"))
 )
 
 
 def _gaps(*segments: str) -> str:
     """Segments in order, each taken at its first place; linear in the text."""
-    return "".join(f"(?>(?s:.*?){java(Pattern(segment))})" for segment in segments)
+    return "".join(f"(?>(?s:.*?){embedded(Pattern(segment))})" for segment in segments)
 
 
 # What fails behind the first of these labels fails behind the later ones as well.
@@ -68,6 +69,9 @@ _CARRIER = P.CARRIER._replace(
     )
 )
 
+# No section after the last stop starts with another letter.
+_CUTOFF = P.STOP_CUTOFF._replace(text=r"(?=[PST])" + P.STOP_CUTOFF.text)
+
 # An e-mail run that fails at its first character fails at every later one, so only run
 # starts and the end of the previous match are tried.
 _EMAIL = java(P.EMAIL._replace(text=r"(?:\G|(?<![\w\.-]))" + P.EMAIL.text))
@@ -136,7 +140,7 @@ def stop_blocks(text: Column, parts: Column, stop_type: str) -> Column:
 def clean_block(block: Column, marked: Column) -> Column:
     """A block without the sections after the last stop (marked blocks only)."""
     block = F.coalesce(block, F.lit(""))
-    return strip(F.when(marked, replace(block, P.STOP_CUTOFF, "")).otherwise(block))
+    return strip(F.when(marked, replace(block, _CUTOFF, "")).otherwise(block))
 
 
 _STOP_PATTERNS = {

@@ -13,21 +13,21 @@ from waybill.functions.dialect import (
     extract,
     extract_all,
     java,
-    strip,
+    replace,
 )
 
 # Letters and spaces before a comma form one run and the run either leads to a match or
 # does not, so only its first character is tried and it never gives characters back.
-_CITY_STATE_ZIP = java(
-    P.CITY_STATE_ZIP._replace(
-        text=r"(?<![A-Za-z\s])"
-        + P.CITY_STATE_ZIP.text.replace(r"[A-Za-z\s]+", r"[A-Za-z\s]++")
-    )
+_CITY_STATE_ZIP = P.CITY_STATE_ZIP._replace(
+    text=r"(?<![A-Za-z\s])" + P.CITY_STATE_ZIP.text.replace(r"[A-Za-z\s]+", r"[A-Za-z\s]++")
 )
-
-
-# Without a comma, a state and five digits there is no address.
-_STATE_ZIP = java(Pattern(r",\s+[A-Z]{2}\s+\d{5}", ignore_case=False))
+# The end of an address from its comma on, with the last character of a city before it:
+# there are as many of these as addresses.
+_STATE_ZIP = Pattern(
+    r",(?<=[A-Za-z\s],)\s+([A-Z]{2})\s+(\d{5}(?:-\d{4})?)", ignore_case=False
+)
+# No weekday starts with another letter.
+_WEEKDAY_DATE = P.WEEKDAY_DATE._replace(text=r"(?=[FMSTW])" + P.WEEKDAY_DATE.text)
 
 
 def load_number(text: Column) -> Column:
@@ -36,31 +36,37 @@ def load_number(text: Column) -> Column:
     return F.coalesce(*found, F.lit(P.LOAD_NUMBER_MISSING))
 
 
+def _found(text: Column, pattern: Pattern, replacement: str) -> Column:
+    """Every match, rewritten from its groups, from one pass over the text."""
+    return F.transform(
+        extract_all(text, pattern, 0), lambda match: replace(match, pattern, replacement)
+    )
+
+
 def dates(text: Column) -> Column:
     """``Mon 01/02/2024`` for each weekday and date, in text order."""
-    days, values = extract_all(text, P.WEEKDAY_DATE, 1), extract_all(text, P.WEEKDAY_DATE, 2)
-    return F.zip_with(days, values, lambda day, value: F.concat_ws(" ", day, value))
+    return _found(text, _WEEKDAY_DATE, "$1 $2")
 
 
 def time_windows(text: Column) -> Column:
     """``08:00 - 17:00`` for each window, in text order."""
-    starts, ends = extract_all(text, P.TIME_WINDOW, 1), extract_all(text, P.TIME_WINDOW, 2)
-    return F.zip_with(starts, ends, lambda start, end: F.concat_ws(" - ", start, end))
+    return _found(text, P.TIME_WINDOW, "$1 - $2")
 
 
 def addresses(text: Column) -> Column:
     """``City, ST 12345`` for each address, in text order."""
-    city, state, zipcode = (
-        F.regexp_extract_all(text, F.lit(_CITY_STATE_ZIP), i) for i in (1, 2, 3)
+    outer_space = Pattern(r"^\s+|\s+(?=,)", ignore_case=False)
+    found = F.transform(
+        _found(text, _CITY_STATE_ZIP, "$1, $2 $3"), lambda match: replace(match, outer_space, "")
     )
-    return F.transform(
-        F.arrays_zip(city.alias("city"), state.alias("state"), zipcode.alias("zip")),
-        lambda a: F.concat(strip(a["city"]), F.lit(", "), a["state"], F.lit(" "), a["zip"]),
+    return F.when(F.rlike(text, F.lit(java(_STATE_ZIP))), found).otherwise(
+        F.array().cast("array<string>")
     )
 
 
 def count_dates(text: Column) -> Column:
-    return F.when(F.contains(text, F.lit("/")), count_matches(text, P.WEEKDAY_DATE)).otherwise(0)
+    found = count_matches(text, _WEEKDAY_DATE)
+    return F.when(F.contains(text, F.lit("/")), found).otherwise(0)
 
 
 def count_time_windows(text: Column) -> Column:
@@ -68,8 +74,7 @@ def count_time_windows(text: Column) -> Column:
 
 
 def count_addresses(text: Column) -> Column:
-    found = F.regexp_count(text, F.lit(_CITY_STATE_ZIP))
-    return F.when(F.rlike(text, F.lit(_STATE_ZIP)), found).otherwise(0)
+    return count_matches(text, _STATE_ZIP)
 
 
 def markdown_elements(text: Column) -> Column:
