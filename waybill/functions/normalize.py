@@ -16,12 +16,12 @@ from waybill.functions.patterns import LINE_BREAK_CLASS, NORMALIZE_RULES
 # The same rule, found by its line break instead of by testing every character before one.
 _SAME_BUT_FASTER = {r"(?<=\w)\n(?=[A-Z0-9])": r"\n(?=[A-Z0-9])(?<=\w\n)"}
 
-# Text without which a rule cannot apply; looking for it is far cheaper than the pattern.
-# A lower-case text is looked for in the lowered document.
+# Texts, at least one of which a rule needs; looking for them is far cheaper than the
+# pattern.  Where case is ignored they are all the spellings of a short part.
 _NEEDS = {
     r"\*{2,}": ("**",),
-    r"Del\.\s*Date": ("del.",),
-    r"Miami Lake,s": ("lake,",),
+    r"Del\.\s*Date": ("l.", "L."),
+    r"Miami Lake,s": (",s", ",S", ",\u017f"),
     r"[ \t\u00A0]+": ("  ", "\t", "\u00a0"),
     r"\r\n?": ("\r",),
     r"\n{3,}": ("\n\n\n",),
@@ -41,8 +41,7 @@ def normalize_text(df: DataFrame, text: str, into: str = "text") -> DataFrame:
         changed = replace(current, pattern._replace(text=faster), replacement)
         needs = _NEEDS.get(pattern.text)
         if needs:
-            searched = F.lower(current) if pattern.ignore_case else current
-            possible = reduce(or_, [F.contains(searched, F.lit(need)) for need in needs])
+            possible = reduce(or_, [F.contains(current, F.lit(need)) for need in needs])
             changed = F.when(possible, changed).otherwise(current)
         df = df.withColumn(into, changed)
     line_ends = f"[{SPACE_CLASS}]+(?<=[{LINE_BREAK_CLASS}])[{SPACE_CLASS}]*"

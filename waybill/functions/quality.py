@@ -16,10 +16,10 @@ from waybill.functions.dialect import (
     replace,
 )
 
-# Letters and spaces before a comma form one run and the run either leads to a match or
-# does not, so only its first character is tried and it never gives characters back.
-_CITY_STATE_ZIP = P.CITY_STATE_ZIP._replace(
-    text=r"(?<![A-Za-z\s])" + P.CITY_STATE_ZIP.text.replace(r"[A-Za-z\s]+", r"[A-Za-z\s]++")
+# A run of letters and spaces, whole, with the rest of an address if one follows.  Every
+# run is read once; a run without a comma is no address.
+_CITY_RUN = Pattern(
+    r"[A-Za-z\s]++(?:,\s+[A-Z]{2}\s+\d{5}(?:-\d{4})?)?", ignore_case=False
 )
 # The end of an address from its comma on, with the last character of a city before it:
 # there are as many of these as addresses.
@@ -56,10 +56,14 @@ def time_windows(text: Column) -> Column:
 def addresses(text: Column) -> Column:
     """``City, ST 12345`` for each address, in text order."""
     outer_space = Pattern(r"^\s+|\s+(?=,)", ignore_case=False)
-    found = F.transform(
-        _found(text, _CITY_STATE_ZIP, "$1, $2 $3"), lambda match: replace(match, outer_space, "")
+    found = F.filter(
+        F.regexp_extract_all(text, F.lit(java(_CITY_RUN)), 0), lambda run: F.contains(run, F.lit(","))
     )
-    return F.when(F.rlike(text, F.lit(java(_STATE_ZIP))), found).otherwise(
+
+    def tidy(match: Column) -> Column:
+        return replace(replace(match, P.CITY_STATE_ZIP, "$1, $2 $3"), outer_space, "")
+
+    return F.when(F.rlike(text, F.lit(java(_STATE_ZIP))), F.transform(found, tidy)).otherwise(
         F.array().cast("array<string>")
     )
 

@@ -226,10 +226,11 @@ def load_docs(spark: SparkSession, sf_dir: str, style: str = STYLE_OF_ORDER) ->
     lines = lines.groupBy("l_orderkey").agg(
         F.array_sort(F.collect_list(F.struct("line_no", "ship", "supp"))).alias("lines")
     )
-    docs = spread(tables["orders"]).join(lines, F.col("o_orderkey") == F.col("l_orderkey"), "left")
+    docs = tables["orders"].join(lines, F.col("o_orderkey") == F.col("l_orderkey"), "left")
     docs = docs.withColumn("carrier_key", F.array_min("lines.supp")).join(
         tables["supplier"], F.col("s_suppkey") == F.col("carrier_key"), "left"
     )
+    docs = spread(docs, tables["orders"])
     # Inside the lambda a line's own values are fields of ``line``.
     fields = re.sub(r"\b(line_no|ship|supp)\b", r"line.\1", _values({"ship": "ship"} | STOP_VALUES))
     fields = fields.replace("AS line.ship", "AS ship")

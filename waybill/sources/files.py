@@ -34,16 +34,18 @@ def shared_folder(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """A small input over all cores; a large one, whose splits already are, as it is.
+def spread(df: DataFrame, source: DataFrame | None = None) -> DataFrame:
+    """Rows of a small input over all cores; those of a large one stay where they are.
 
     Text work costs far more than its bytes suggest, so an input of a few splits would
-    leave most cores idle.  Only an input below one split per core is moved at all.
+    leave most cores idle.  Rows are only moved if the input (``source``, if ``df`` is
+    derived from it) is below one split per core.
     """
     spark = df.sparkSession
     cores = spark.sparkContext.defaultParallelism
     split = spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
-    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    measured = df if source is None else source
+    size = int(measured._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
     return df.repartition(cores) if size < cores * split else df
 
 
