@@ -19,8 +19,9 @@ WHITESPACE = (
     "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
     "\u2028\u2029\u202f\u205f\u3000"
 )
-# The same set for Java; printable ASCII, which most text is, is ruled out by one comparison.
-SPACE_CLASS = r"[^!-~]&&[\t-\r\x1c-\x20\x85\xa0\p{Z}]"
+# The same set for Java: single Latin characters, which it looks up in one table, and the
+# rest behind one range.
+SPACE_CLASS = r"\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f\x20\x85\xa0[\u1680-\u3000&&\p{Z}]"
 WORD_CLASS = r"\p{L}\p{N}_"
 
 # Separates captured groups.  It is a control character outside every class that the
