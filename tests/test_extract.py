@@ -224,3 +224,10 @@ def test_plan_normalises_once_and_prunes_unread_fields(spark):
     assert "Trailer" not in one and "Cu[s" not in one
     physical = wide._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in physical and "Exchange" not in physical
+
+
+def test_plan_of_a_filter_does_not_copy_the_rules(spark):
+    wide = extract_loads(docs(spark, STOPS + "\nTrip # 5", "Trip # 6"))
+    five = wide.filter("loadConfirmationNumber = '5' AND pickup_city_1 = 'REX'")
+    assert plan(five).count("Generate explode") == 1 and plan(five).count("PickUp") <= 2
+    assert [r.loadConfirmationNumber for r in five.collect()] == ["5"]

@@ -45,7 +45,11 @@ def normalize_text(df: DataFrame, text: str, into: str = "text") -> DataFrame:
             changed = F.when(possible, changed).otherwise(current)
         df = df.withColumn(into, changed)
     line_ends = f"[{SPACE_CLASS}]+(?<=[{LINE_BREAK_CLASS}])[{SPACE_CLASS}]*"
-    return df.withColumn(into, strip(F.regexp_replace(current, line_ends, "\n")))
+    done = strip(F.regexp_replace(current, line_ends, "\n"))
+    # One value exploded is that value.  A filter or semi-join on a field read from it stays
+    # above the generator, where it would else be pushed down with a copy of all rules for
+    # every use of the text.
+    return df.withColumn(into, F.explode(F.array(done)))
 
 
 def normalize_strings(df: DataFrame, case_sensitive: bool = False) -> DataFrame:

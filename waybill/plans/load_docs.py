@@ -214,8 +214,8 @@ def _carrier_text() -> Column:
     return F.when(F.col("carrier_key").isNotNull(), text).otherwise("")
 
 
-def load_docs(spark: SparkSession, sf_dir: str, style: str = STYLE_OF_ORDER) -> DataFrame:
-    """One document per order: ``order_key, source, source_file, text``.
+def order_rows(spark: SparkSession, sf_dir: str, style: str = STYLE_OF_ORDER) -> DataFrame:
+    """One row per order: header values and its ``stops`` in order.
 
     Line items are reduced before they are shuffled, so a hot order stays small, and every
     table is read once.
@@ -232,10 +232,9 @@ def load_docs(spark: SparkSession, sf_dir: str, style: str = STYLE_OF_ORDER) ->
     )
     docs = spread(docs, tables["orders"])
     # Inside the lambda a line's own values are fields of ``line``.
-    fields = re.sub(r"\b(line_no|ship|supp)\b", r"line.\1", _values({"ship": "ship"} | STOP_VALUES))
-    fields = fields.replace("AS line.ship", "AS ship")
-    stops = f"transform(coalesce(lines, array()), line -> struct({fields}))"
-    docs = docs.select(
+    fields = re.sub(r"\b(line_no|ship|supp)\b", r"line.\1", _values(STOP_VALUES | _ISO))
+    stops = f"transform(coalesce(lines, array()), line -> struct(line.ship AS ship, {fields}))"
+    return docs.select(
         F.col("o_orderkey").alias("order_key"),
         F.col("o_orderstatus").alias("source"),
         F.expr(style).alias("style"),
@@ -243,6 +242,11 @@ def load_docs(spark: SparkSession, sf_dir: str, style: str = STYLE_OF_ORDER) ->
         *[F.expr(sql).alias(name) for name, sql in HEADER_VALUES.items()],
         F.expr(stops).alias("stops"),
     )
+
+
+def load_docs(spark: SparkSession, sf_dir: str, style: str = STYLE_OF_ORDER) -> DataFrame:
+    """One document per order: ``order_key, source, source_file, text``."""
+    docs = order_rows(spark, sf_dir, style)
     lines = F.concat(
         F.array(F.lit("Load Confirmation"), _load_line(), F.lit("Schedule")),
         F.transform("stops", _schedule_text),
@@ -382,8 +386,52 @@ def for_duckdb(sql: str) -> str:
 
 
 def truth_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Golden records for every order, with known alterations (see ``truth_sql``)."""
-    return spark.sql(truth_sql(), **_tables(spark, sf_dir))
+    """Golden records for every order, with known alterations (see ``truth_sql``).
+
+    Read off the order's own values, in the same plan that renders the documents.
+    """
+    rows = order_rows(spark, sf_dir)
+    style, key = F.col("style"), F.col("order_key")
+    stops = F.col("stops")
+    values = {
+        "source_file": F.col("source_file"),
+        "broker_city": F.lit("Miami Lakes"),
+        "broker_state": F.lit("FL"),
+        "broker_zipcode": F.lit("33016"),
+        "broker_email": F.concat_ws("; ", "b_mail_2", "b_mail_1"),
+        "broker_fax": F.when(style != 5, F.col("b_fax")).otherwise(F.when(key % 2 != 0, "")),
+        "loadConfirmationNumber": F.concat(
+            key.cast("string"), F.when(key % 11 == 0, "-0").otherwise("")
+        ),
+        "totalCarrierPay": F.concat("pay", F.when(key % 7 == 0, "9").otherwise("")),
+    }
+    for name in ("name", "phone", "address"):
+        values[f"broker_{name}"] = F.col(f"b_{name}")
+    carrier = F.col("carrier_key").isNotNull() & (style != 4)
+    for name in ("name", "mc", "address", "city", "state", "zip", "phone", "fax", "contact"):
+        value = F.col(f"c_{name}")
+        if name == "name":
+            value = F.when(key % 5 == 0, F.upper(value)).otherwise(value)
+        field = "zipcode" if name == "zip" else name
+        values[f"carrier_{field}"] = F.when(carrier, value).otherwise("")
+    for name, target in zip(_STOP_SOURCES, _STOP_TARGETS):
+        timed = name.endswith("_iso")
+        pickup = F.get(stops, F.lit(0))[name if timed else f"p_{name}"]
+        if name == "zip":
+            alone = (style == 7) & (F.size(stops) == 1)
+            pickup = F.when(alone, F.get(stops, F.lit(0))["d_zip"]).otherwise(pickup)
+        values[f"pickup_{target}_1"] = F.when((style != 6) | F.lit(not timed), pickup)
+        for slot in (1, 2):
+            delivery = F.get(stops, F.lit(slot - 1))[name if timed else f"d_{name}"]
+            # Without markers the second block is a date label alone.
+            shown = ~style.isin(3, 6) if timed else (style != 3) | F.lit(slot == 1)
+            values[f"delivery_{target}_{slot}"] = F.when(shown, delivery)
+    return rows.select(
+        *[
+            (values[name] if name == "broker_fax" else F.coalesce(values[name], F.lit(""))).alias(name)
+            for name in TRUTH_FIELDS
+        ]
+    )
 
 
 def truth_sql() -> str:
