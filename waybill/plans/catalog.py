@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 from typing import NamedTuple
 
@@ -20,14 +21,19 @@ class Query(NamedTuple):
 CATALOG: dict[str, Query] = {}
 
 
-def query(sql: str | None = None, name: str | None = None) -> Callable[[Run], Run]:
+def query_in(
+    catalog: dict[str, Query], sql: str | None = None, name: str | None = None
+) -> Callable[[Run], Run]:
     def add(run: Run) -> Run:
-        CATALOG[name or run.__name__] = Query(run, sql)
+        catalog[name or run.__name__] = Query(run, sql)
         return run
 
     return add
 
 
+query = functools.partial(query_in, CATALOG)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
