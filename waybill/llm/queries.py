@@ -10,9 +10,12 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from waybill.llm.chat import BREAK, END, NEXT, START, format_conversations, read_loss, read_turns
+from waybill.llm.common import crc_of_id, stored
 from waybill.llm.packing import pack_documents
 from waybill.llm.pieces import encode_pieces
+from waybill.llm.quality import add_quality, learn_quality, with_statistics
 from waybill.llm.token_counts import count_tokens
+from waybill.llm.toxicity import learn_field, tag_toxicity
 from waybill.plans.catalog import Query, query_in, table
 
 QUERIES: dict[str, Query] = {}
@@ -93,7 +96,26 @@ def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query()
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    held_out = crc_of_id(F.col("doc_id")) % 5 == 0
+    field = learn_field(docs, labels.filter(~held_out))
+    tagged = tag_toxicity(docs, field)
+    return tagged.select("doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "score", "predicted")
+
+
 @query()
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.json")
     return count_tokens(table(spark, sf_dir, "documents"), path, limit=512)
+
+
+@query()
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    held_out = crc_of_id(F.col("doc_id")) % 3 == 1
+    rows = stored(with_statistics(docs), "statistics")
+    known = labels.filter(~held_out).select("doc_id", F.col("quality").alias("label"))
+    scored = add_quality(rows, learn_quality(rows, rows.join(known, "doc_id")))
+    return scored.select("doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "score", "predicted")
