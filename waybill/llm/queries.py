@@ -9,8 +9,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
+from waybill.llm.ann import search_neighbours
 from waybill.llm.chat import BREAK, END, NEXT, START, format_conversations, read_loss, read_turns
 from waybill.llm.common import crc_of_id, stored
+from waybill.llm.exact_topk import exact_top_k, scaled
 from waybill.llm.packing import pack_documents
 from waybill.llm.pieces import encode_pieces
 from waybill.llm.quality import add_quality, learn_quality, with_statistics
@@ -78,6 +80,12 @@ def op1_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query()
+def op3_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return search_neighbours(vectors, vectors.filter(F.col("vec_id") % 20 == 0), k=20)
+
+
 @query()
 def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.json")
@@ -96,6 +104,29 @@ def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+OP6_SQL = """
+WITH v AS (
+    SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS x
+    FROM embeddings
+    WHERE vec_id IS NOT NULL AND len(embedding) > 0
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+    SELECT q.vec_id AS query_id, c.vec_id, list_dot_product(q.x::DOUBLE[], c.x::DOUBLE[])::BIGINT AS score
+    FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0
+)
+SELECT query_id, (row_number() OVER w)::INTEGER AS rank, vec_id, score
+FROM scored WINDOW w AS (PARTITION BY query_id ORDER BY score DESC, vec_id)
+QUALIFY row_number() OVER w <= 5
+"""
+
+
+@query(OP6_SQL)
+def op6_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    whole = vectors.select("vec_id", scaled(F.col("embedding")).alias("embedding"))
+    return exact_top_k(whole, whole.filter(F.col("vec_id") % 50 == 0), k=5)
+
+
 @query()
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
