@@ -13,6 +13,7 @@ from waybill.llm.ann import search_neighbours
 from waybill.llm.chat import BREAK, END, NEXT, START, format_conversations, read_loss, read_turns
 from waybill.llm.common import crc_of_id, stored
 from waybill.llm.exact_topk import exact_top_k, scaled
+from waybill.llm.jaccard import near_duplicate_classes
 from waybill.llm.packing import pack_documents
 from waybill.llm.pieces import encode_pieces
 from waybill.llm.quality import add_quality, learn_quality, with_statistics
@@ -150,3 +151,8 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     known = labels.filter(~held_out).select("doc_id", F.col("quality").alias("label"))
     scored = add_quality(rows, learn_quality(rows, rows.join(known, "doc_id")))
     return scored.select("doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "score", "predicted")
+
+
+@query()
+def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicate_classes(table(spark, sf_dir, "documents"), words=5, percent=80)
