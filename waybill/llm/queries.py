@@ -17,6 +17,7 @@ from waybill.llm.jaccard import near_duplicate_classes
 from waybill.llm.packing import pack_documents
 from waybill.llm.pieces import encode_pieces
 from waybill.llm.quality import add_quality, learn_quality, with_statistics
+from waybill.llm.repeats import remove_repeats
 from waybill.llm.token_counts import count_tokens
 from waybill.llm.toxicity import learn_field, tag_toxicity
 from waybill.plans.catalog import Query, query_in, table
@@ -81,6 +82,14 @@ def op1_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query()
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    left = remove_repeats(table(spark, sf_dir, "documents"), window=35)
+    return left.select(
+        "doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256")
+    )
+
+
 @query()
 def op3_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = table(spark, sf_dir, "embeddings")
