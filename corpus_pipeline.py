@@ -1,10 +1,77 @@
 """From raw documents to packed training sequences, in stages.
 
 Each stage takes ``(spark, docs, sf_dir)`` and returns a DataFrame, which is written as
-Parquet and read again as the next stage's documents.
+Parquet and read again as the next stage's documents.  All but the last return the columns of
+the documents.
 """
 
 from __future__ import annotations
 
-STAGES = []
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from waybill.llm.common import crc_of_id, stored
+from waybill.llm.jaccard import one_of_each_class
+from waybill.llm.packing import pack_documents
+from waybill.llm.quality import add_quality, learn_quality, with_statistics
+from waybill.llm.repeats import remove_repeats
+from waybill.llm.toxicity import learn_field, tag_toxicity
+
+
+def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that are not rather toxic."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    field = learn_field(docs, labels.filter(crc_of_id(F.col("doc_id")) % 5 != 0))
+    tagged = tag_toxicity(docs, field, keep=docs.columns)
+    return tagged.filter("predicted = 0").select(*docs.columns)
+
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that are rather good."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    known = labels.filter(crc_of_id(F.col("doc_id")) % 3 != 1)
+    known = known.select("doc_id", F.col("quality").alias("label"))
+    rows = stored(with_statistics(docs), "statistics")
+    scorer = learn_quality(rows, rows.join(known, "doc_id"))
+    scored = add_quality(with_statistics(docs, keep=docs.columns), scorer, keep=docs.columns)
+    return scored.filter("predicted = 1").select(*docs.columns)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each class of near copies."""
+    return one_of_each_class(docs, words=5, percent=80)
+
+
+def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, without words of repeated passages."""
+    others = [c for c in docs.columns if c != "text"]
+    left = remove_repeats(docs, window=35, keep=others).withColumnRenamed("kept", "text")
+    if "n_chars" in others:
+        left = left.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+    return left.select(*docs.columns)
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents' tokens in sequences of at most 1024."""
+    return pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"), capacity=1024, end_id=2)
+
+
+STAGES = [
+    ("toxicity", toxicity),
+    ("quality classifier", quality),
+    ("n-gram Jaccard join", near_duplicates),
+    ("substring dedup", repeated_passages),
+    ("best-fit packing", packing),
+]
+
+#: No stage but the third can be said in SQL; tests compare the rows with brute force.
 ORACLE_SQL = None
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over ``documents``."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for name, stage in STAGES[:-1]:
+        docs = stored(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+    return STAGES[-1][1](spark, docs, sf_dir)
