@@ -165,3 +165,8 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicate_classes(table(spark, sf_dir, "documents"), words=5, percent=80)
+
+
+@query(corpus_pipeline.ORACLE_SQL)
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return corpus_pipeline.run(spark, sf_dir)
