@@ -1,0 +1,118 @@
+"""Toxicity and quality: the parts against brute force, the whole by held-out accuracy."""
+
+import itertools
+import os
+import random
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from waybill.llm import queries as llm
+from waybill.llm.quality import STATISTICS, add_quality, isotonic, learn_quality, statistics, with_statistics
+from waybill.llm.toxicity import learn_field, marginal_logits, tag_toxicity
+
+FOLDER = os.environ.get("WAYBILL_TEST_SF_DIR", "/root/testdata/sf0.01").replace("sf0.001", "sf0.01")
+needs_tables = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="no test tables")
+
+
+def test_marginals_equal_enumeration():
+    rng = np.random.default_rng(2)
+    moves = rng.normal(size=(2, 2))
+    lengths = np.array([6, 4, 4, 1])
+    starts = np.array([0, 6, 10, 14])
+    emission = rng.normal(size=15)
+    logits, _ = marginal_logits(emission, starts, lengths, moves.tolist())
+    for start, length in zip(starts, lengths):
+        mass = np.zeros((length, 2))
+        for states in itertools.product((0, 1), repeat=int(length)):
+            score = sum(emission[start + i] for i, s in enumerate(states) if s)
+            score += sum(moves[a, b] for a, b in zip(states, states[1:]))
+            for i, s in enumerate(states):
+                mass[i, s] += np.exp(score)
+        assert np.allclose(logits[start : start + length], np.log(mass[:, 1] / mass[:, 0]))
+
+
+def prose(rng: random.Random, n: int) -> list[str]:
+    return ["".join(rng.choices("abdeiorst", k=rng.randint(2, 8))) + ("." if rng.random() < 0.1 else "") for _ in range(n)]
+
+
+@pytest.fixture(scope="module")
+def insults(spark):
+    rng = random.Random(1)
+    docs, labels = [], []
+    for i in range(400):
+        words = prose(rng, rng.randint(5, 80))
+        if i % 4 == 0:
+            for _ in range(3):
+                words.insert(rng.randrange(len(words)), rng.choice(["Zounds!", "gadfly", "gadflies,"]))
+        docs.append((i, " ".join(words)))
+        labels.append((i, int(i % 4 == 0)))
+    return spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, toxic int")
+
+
+def test_toxic_spans(spark, insults, messy):
+    docs, labels = insults
+    field = learn_field(docs, labels.filter("doc_id % 5 != 0"))
+    rows = tag_toxicity(docs, field, keep=["doc_id", "text"]).join(labels, "doc_id").collect()
+    assert all(r["predicted"] == r["toxic"] and 0 <= r["score"] <= 1 for r in rows)
+    for r in rows:
+        found = [r["text"][s["start"] : s["end"]] for s in r["spans"]]
+        assert found == [w for w in r["text"].split() if w.lower().startswith(("zounds", "gadfl"))]
+    got = tag_toxicity(messy, field, keep=["doc_id", "score", "predicted"])
+    assert got.columns == ["doc_id", "score", "predicted", "score", "predicted", "spans"]
+    assert got.count() == messy.count()
+
+
+def test_without_labels_nothing_is_toxic(spark, insults):
+    docs, labels = insults
+    assert learn_field(docs, labels.filter("toxic = 0")) is None
+    assert learn_field(docs, labels.filter("false")) is None
+    assert tag_toxicity(docs, None).filter("score = 0 AND predicted = 0").count() == docs.count()
+    assert tag_toxicity(docs.filter("false"), None).count() == 0
+
+
+def test_isotonic_is_the_best_monotone_fit():
+    rng = np.random.default_rng(3)
+    points = [(float(i), int(rng.integers(1, 5)), 0.0) for i in range(30)]
+    points = [(x, n, float(rng.integers(0, n + 1))) for x, n, _ in points]
+    fit = np.interp([p[0] for p in points], *zip(*isotonic(points)))
+    assert (np.diff(fit) >= -1e-12).all()
+    n, y = np.array([p[1] for p in points]), np.array([p[2] / p[1] for p in points])
+    # No monotone step of one bound up or down makes the weighted error smaller.
+    error = (n * (fit - y) ** 2).sum()
+    for cut in range(30):
+        for delta in (-1e-4, 1e-4):
+            other = fit + delta * (np.arange(30) >= cut)
+            if (np.diff(other) >= -1e-12).all():
+                assert (n * (other - y) ** 2).sum() >= error - 1e-9
+
+
+def test_statistics_of_odd_texts(messy_rows):
+    for _, text in messy_rows:
+        x = statistics(text)
+        assert len(x) == len(STATISTICS) and np.isfinite(x).all()
+
+
+def test_quality_of_odd_rows(spark, messy):
+    rows = with_statistics(messy, keep=["doc_id", "score", "n"])
+    assert add_quality(rows, None, keep=["doc_id", "score"]).filter("predicted = 1").count() == messy.count()
+    labels = messy.select("doc_id").distinct().withColumn("label", F.col("doc_id") % 2)
+    scorer = learn_quality(with_statistics(messy), with_statistics(messy).join(labels, "doc_id"))
+    got = add_quality(with_statistics(messy), scorer)
+    assert got.filter("score BETWEEN 0 AND 1").count() == messy.count()
+    assert learn_quality(rows, rows.select("x", F.lit(None).cast("int").alias("label"))) is None
+    none = messy.filter("false")
+    assert learn_quality(with_statistics(none), with_statistics(none).withColumn("label", F.lit(1))) is None
+    assert add_quality(with_statistics(none), None).count() == 0
+
+
+@needs_tables
+@pytest.mark.parametrize(
+    ("name", "label", "least"), [("op7_toxicity", "toxic", 0.9), ("op9_quality", "quality", 0.95)]
+)
+def test_held_out_accuracy(spark, name, label, least):
+    labels = spark.read.parquet(f"{FOLDER}/labels.parquet")
+    rows = llm.QUERIES[name].run(spark, FOLDER).join(labels, "doc_id").filter("held_out").collect()
+    right = np.mean([r["predicted"] == r[label] for r in rows])
+    assert len(rows) > 50 and right >= least

@@ -121,9 +121,10 @@ def optimum(sizes: list[int], capacity: int) -> int:
 
 def test_reduction_keeps_an_optimum():
     rng = random.Random(11)
-    for _ in range(400):
-        capacity = rng.randint(8, 30)
-        sizes = [rng.randint(1, capacity) for _ in range(rng.randint(1, 9))]
+    for _ in range(1500):
+        capacity = rng.randint(8, 40)
+        least = rng.randint(1, capacity // 3)
+        sizes = [rng.randint(least, capacity) for _ in range(rng.randint(1, 9))]
         rest = Counter(sizes)
         fixed = reduce_by_dominance(rest, capacity)
         bins = sum(n for _, n in fixed)

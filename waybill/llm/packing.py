@@ -110,7 +110,8 @@ def _dominating(sizes: Counter, j: int, room: int) -> tuple[int, ...] | None:
         # The widest fitting pair (p, q), p >= q, of each q.
         pairs = []
         for q in left:
-            p = left[bisect(left, room - q) - 1] if room >= q else 0
+            fitting = bisect(left, room - q)
+            p = left[fitting - 1] if fitting else 0
             if p > q or (p == q and sizes[q] > 1):
                 pairs.append((p, q))
         if all(p + q <= best for p, q in pairs):
