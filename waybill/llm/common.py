@@ -4,11 +4,12 @@ from __future__ import annotations
 
 import sys
 import types
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from typing import Any
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from waybill.sources.files import shared_folder
 
@@ -50,6 +51,19 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def carried(docs: DataFrame, keep: Sequence[str], text_col: str) -> tuple[DataFrame, list[str]]:
+    """Columns ``keep`` as ``k0, k1, ...``, which clash with nothing, and ``text``, NULL as empty."""
+    names = [f"k{i}" for i in range(len(keep))]
+    columns = [F.col(f"`{c}`").alias(name) for c, name in zip(keep, names)]
+    text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).alias("text")
+    return docs.select(*columns, text), names
+
+
+def schema_with(rows: DataFrame, names: Sequence[str], more: str) -> StructType:
+    """Fields ``names`` of ``rows``, then those of ``more``."""
+    return StructType([*(rows.schema[name] for name in names), *StructType.fromDDL(more).fields])
+
+
 def crc_of_id(doc_id: Column) -> Column:
     """crc32 of an id as text."""
     return F.crc32(doc_id.cast("string").cast("binary"))

@@ -12,6 +12,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from waybill.llm.common import carried, schema_with
+
 #: Statistics of a text, in the order in which ``statistics`` gives them.
 STATISTICS = (
     "words", "word_length", "longest_word", "upper", "digits", "marks", "symbols", "exclaims", "pipes",
@@ -96,20 +98,16 @@ def with_statistics(docs: DataFrame, keep: Sequence[str] = ("doc_id",), text_col
     NULL and empty texts have zeros.  Rows stay apart, so NULL and repeated ids do no harm;
     of other columns only ``keep`` is read.
     """
-    kept = [F.col(c).alias(f"k{i}") for i, c in enumerate(keep)]
-    rows = docs.select(*kept, F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
-    types = ", ".join(f"k{i} {rows.schema[f'k{i}'].dataType.simpleString()}" for i in range(len(keep)))
+    rows, names = carried(docs, keep, text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             x = [statistics(text.as_py()) for text in batch.column("text")]
-            yield pa.RecordBatch.from_arrays(
-                [*(batch.column(f"k{i}") for i in range(len(keep))), pa.array(x, pa.list_(pa.float64()))],
-                [*(f"k{i}" for i in range(len(keep))), "x"],
-            )
+            found = pa.array(x, pa.list_(pa.float64()))
+            yield pa.RecordBatch.from_arrays([*map(batch.column, names), found], [*names, "x"])
 
-    found = rows.mapInArrow(run, f"{types}, x array<double>")
-    return found.select(*(F.col(f"k{i}").alias(c) for i, c in enumerate(keep)), "x")
+    found = rows.mapInArrow(run, schema_with(rows, names, "x array<double>"))
+    return found.select(*(F.col(n).alias(c) for n, c in zip(names, keep)), "x")
 
 
 def _matrix(column: pa.Array) -> np.ndarray:
@@ -197,18 +195,17 @@ def isotonic(points: Sequence[tuple[float, float, float]]) -> list[tuple[float,
 
 def add_quality(rows: DataFrame, scorer: Scorer | None, keep: Sequence[str] = ("doc_id",)) -> DataFrame:
     """The columns ``keep`` of ``rows``, then ``score, predicted``; without a scorer, 0.5 and 1."""
-    kept = [F.col(c).alias(f"k{i}") for i, c in enumerate(keep)]
-    given = rows.select(*kept, "x")
-    types = ", ".join(f"k{i} {given.schema[f'k{i}'].dataType.simpleString()}" for i in range(len(keep)))
+    names = [f"k{i}" for i in range(len(keep))]
+    given = rows.select(*(F.col(f"`{c}`").alias(n) for n, c in zip(names, keep)), "x")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             x = _matrix(batch.column("x"))
             score = scorer.score(x) if scorer else np.full(len(x), 0.5)
+            predicted = pa.array((score >= 0.5).astype(np.int32))
             yield pa.RecordBatch.from_arrays(
-                [*(batch.column(f"k{i}") for i in range(len(keep))), pa.array(score), pa.array((score >= 0.5).astype(np.int32))],
-                [*(f"k{i}" for i in range(len(keep))), "score", "predicted"],
+                [*map(batch.column, names), pa.array(score), predicted], [*names, "score", "predicted"]
             )
 
-    scored = given.mapInArrow(run, f"{types}, score double, predicted int")
-    return scored.select(*(F.col(f"k{i}").alias(c) for i, c in enumerate(keep)), "score", "predicted")
+    scored = given.mapInArrow(run, schema_with(given, names, "score double, predicted int"))
+    return scored.select(*(F.col(n).alias(c) for n, c in zip(names, keep)), "score", "predicted")

@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from waybill.llm.common import stored
+from waybill.llm.common import carried, schema_with, stored
 from waybill.llm.words import Words, ngram_hashes, sorted_groups, text_chunks
 
 #: Words of the runs whose hashes are compared.
@@ -156,14 +156,10 @@ def remove_repeats(
     id are texts of their own, and a repeated row repeats its windows.  Of other columns only
     ``keep`` is read.  An empty table gives an empty result.
     """
-    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    # Rows with equal texts have the same ranges, so their text's hash may stand for them;
-    # the first column of ``keep`` spreads the rows of a hot text.
-    kept_columns = [F.col(c).alias(f"k{i}") for i, c in enumerate(keep)]
-    names = [f"k{i}" for i in range(len(keep))]
-    rows = docs.select(*kept_columns, text.alias("text"))
-    rows = rows.withColumn("key", F.xxhash64(F.col("k0").cast("string") if keep else F.lit(0), "text"))
-    types = ", ".join(f"{name} {rows.schema[name].dataType.simpleString()}" for name in names)
+    rows, names = carried(docs, keep, text_col)
+    # Equal texts have equal ranges, so a hash of the row's kept columns and text may stand
+    # for the row; the columns spread the rows of a hot text.
+    rows = rows.withColumn("key", F.xxhash64(*names, "text"))
 
     def outline(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, texts in text_chunks(batches):
@@ -239,7 +235,7 @@ def remove_repeats(
                 kept.append(b" ".join(words))
             yield pa.RecordBatch.from_arrays(
                 [
-                    *(part.column(name) for name in names),
+                    *map(part.column, names),
                     pa.array(n_words, pa.int64()),
                     pa.array(n_removed, pa.int64()),
                     pa.array(kept, pa.binary()).cast(pa.string()),
@@ -248,5 +244,6 @@ def remove_repeats(
             )
 
     marked = rows.join(ranges, "key", "left").select("key", *names, "text", "ranges")
-    out = marked.mapInArrow(remove, f"{types}, n_words long, n_removed long, kept string")
+    found = "n_words long, n_removed long, kept string"
+    out = marked.mapInArrow(remove, schema_with(rows, names, found))
     return out.select(*(F.col(n).alias(c) for n, c in zip(names, keep)), "n_words", "n_removed", "kept")

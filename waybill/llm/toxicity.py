@@ -8,6 +8,7 @@ its score and the offending offsets.
 
 from __future__ import annotations
 
+import math
 import re
 from collections import Counter
 from collections.abc import Iterator, Sequence
@@ -20,10 +21,10 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from waybill.llm.common import Memo
+from waybill.llm.common import Memo, carried, schema_with
 
 #: Letters of the beginnings that count as features beside the whole word.
-BEGINNINGS = (3, 4, 5, 6)
+BEGINNINGS = (4, 5, 6)
 #: Added to the score of a word that ends its sentence, so that one number says both.
 ENDS = 4096.0
 _EDGES = re.compile(r"^\W+|\W+$")
@@ -112,19 +113,30 @@ def distinct_texts(texts: Sequence[str], labels: Sequence[int], signs: int = 4)
     return kept
 
 
-def toxic_features(texts: Sequence[str], labels: Sequence[int], least: int = 5, odds: float = 3.0) -> set[str]:
-    """Features in at least ``least`` toxic documents and with log odds of at least ``odds``."""
+def toxic_features(
+    texts: Sequence[str], labels: Sequence[int], odds: float = 3.0, surprise: float = 10.0
+) -> set[str]:
+    """Features of more than three letters that are far more common in toxic documents.
+
+    Their rate there is at least ``exp(odds)`` times that in others, and chance would give
+    such a share with a probability of about ``exp(-surprise)`` at most.
+    """
     counts = (Counter(), Counter())
     for text, label in zip(texts, labels):
         counts[label].update({f for word in set(text.split()) for f in features(word)})
-    totals = [labels.count(0) + 1, labels.count(1) + 1]
-    return {
-        f
-        for f, n in counts[1].items()
-        if n >= least
-        and np.log((n + 0.5) / totals[1]) - np.log((counts[0][f] + 0.5) / totals[0]) >= odds
-        and len(f) > 3
-    }
+    totals = [labels.count(0), labels.count(1)]
+    found = set()
+    for f, toxic in counts[1].items():
+        clean = counts[0][f]
+        rate = math.log((toxic + 0.1) / (totals[1] + 1)) - math.log((clean + 0.1) / (totals[0] + 1))
+        if len(f) > 3 and rate >= odds:
+            share = totals[1] / sum(totals)
+            n = toxic + clean
+            likely = toxic * math.log(toxic / (n * share))
+            likely += clean * math.log(clean / (n * (1 - share))) if clean else 0.0
+            if likely >= surprise:
+                found.add(f)
+    return found
 
 
 def train_field(
@@ -248,7 +260,7 @@ def _fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2) -> tuple[fl
 def learn_field(
     docs: DataFrame,
     labels: DataFrame,
-    per_class: int = 4000,
+    per_class: int = 3000,
     longest: int = 20_000,
     id_col: str = "doc_id",
     text_col: str = "text",
@@ -256,20 +268,20 @@ def learn_field(
 ) -> Field | None:
     """Trains on a bounded sample of labelled documents, chosen by a hash of their id.
 
-    At most ``per_class`` documents of each label, of at most ``longest`` characters, go to
-    the driver.  Labels other than 0 and 1 and NULL ids are not used.  None if a class has
+    At most ``per_class`` toxic documents and twice as many others, of at most ``longest``
+    characters, go to the driver.  Labels other than 0 and 1 and NULL ids are not used.  None if a class has
     no document.
     """
     wanted = labels.select(F.col(id_col).alias("id"), F.col(label_col).alias("label")).filter("id IS NOT NULL")
     ids = None
-    for label in (0, 1):
-        some = wanted.filter(F.col("label") == label).orderBy(F.xxhash64("id"), "id").limit(per_class)
+    for label, n in ((0, 2 * per_class), (1, per_class)):
+        some = wanted.filter(F.col("label") == label).orderBy(F.xxhash64("id"), "id").limit(n)
         ids = some if ids is None else ids.unionByName(some)
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).filter(
         F.col("text").isNotNull() & (F.length("text") <= longest)
     )
-    # At most 2 * per_class ids are broadcast.
-    sample = texts.join(F.broadcast(ids), "id").orderBy(F.xxhash64("id"), "id", "text").limit(2 * per_class)
+    # At most 3 * per_class ids are broadcast.
+    sample = texts.join(F.broadcast(ids), "id").orderBy(F.xxhash64("id"), "id", "text").limit(3 * per_class)
     rows = sample.select("text", F.col("label").cast("int").alias("label")).toPandas()
     return train_field(rows["text"].tolist(), rows["label"].tolist())
 
@@ -284,9 +296,7 @@ def tag_toxicity(
     texts get the score of a text without any toxic word, without a field every score is 0.
     NULL or repeated ids change nothing, and of other columns only ``keep`` is read.
     """
-    kept = [F.col(c).alias(f"k{i}") for i, c in enumerate(keep)]
-    rows = docs.select(*kept, F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
-    types = ", ".join(f"k{i} {rows.schema[f'k{i}'].dataType.simpleString()}" for i in range(len(keep)))
+    rows, names = carried(docs, keep, text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scores = Memo(lambda word: _word_score(field, word)) if field else None
@@ -294,22 +304,20 @@ def tag_toxicity(
             for start in range(0, batch.num_rows, 1000):
                 part = batch.slice(start, 1000)
                 texts = part.column("text").to_pylist()
-                found = _tag(field, scores, texts) if field else (np.zeros(len(texts)), [[] for _ in texts])
+                score, spans = _tag(field, scores, texts) if field else (np.zeros(len(texts)), [[] for _ in texts])
                 yield pa.RecordBatch.from_arrays(
                     [
-                        *(part.column(f"k{i}") for i in range(len(keep))),
-                        pa.array(found[0], pa.float64()),
-                        pa.array((found[0] >= 0.5).astype(np.int32)),
-                        pa.array(found[1], pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))),
+                        *map(part.column, names),
+                        pa.array(score, pa.float64()),
+                        pa.array((score >= 0.5).astype(np.int32)),
+                        pa.array(spans, pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))),
                     ],
-                    [*(f"k{i}" for i in range(len(keep))), "score", "predicted", "spans"],
+                    [*names, "score", "predicted", "spans"],
                 )
 
-    schema = f"{types}, score double, predicted int, spans array<struct<start:int,end:int>>"
-    tagged = rows.mapInArrow(run, schema)
-    return tagged.select(
-        *(F.col(f"k{i}").alias(c) for i, c in enumerate(keep)), "score", "predicted", "spans"
-    )
+    found = "score double, predicted int, spans array<struct<start:int,end:int>>"
+    tagged = rows.mapInArrow(run, schema_with(rows, names, found))
+    return tagged.select(*(F.col(n).alias(c) for n, c in zip(names, keep)), "score", "predicted", "spans")
 
 
 def _word_score(field: Field, word: str) -> float:
