@@ -19,12 +19,17 @@ from waybill.llm.repeats import remove_repeats
 from waybill.llm.toxicity import learn_field, tag_toxicity
 
 
+def whole_rows(docs: DataFrame) -> DataFrame:
+    """Rows as one column, whatever their columns are called, and the text beside it."""
+    return docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), "text")
+
+
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that are not rather toxic."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     field = learn_field(docs, labels.filter(crc_of_id(F.col("doc_id")) % 5 != 0))
-    tagged = tag_toxicity(docs, field, keep=docs.columns)
-    return tagged.filter("predicted = 0").select(*docs.columns)
+    tagged = tag_toxicity(whole_rows(docs), field, keep=["row"])
+    return tagged.filter("predicted = 0").select("row.*")
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -34,8 +39,8 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     known = known.select("doc_id", F.col("quality").alias("label"))
     rows = stored(with_statistics(docs), "statistics")
     scorer = learn_quality(rows, rows.join(known, "doc_id"))
-    scored = add_quality(with_statistics(docs, keep=docs.columns), scorer, keep=docs.columns)
-    return scored.filter("predicted = 1").select(*docs.columns)
+    scored = add_quality(with_statistics(whole_rows(docs), keep=["row"]), scorer, keep=["row"])
+    return scored.filter("predicted = 1").select("row.*")
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -45,11 +50,10 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, without words of repeated passages."""
-    others = [c for c in docs.columns if c != "text"]
-    left = remove_repeats(docs, window=35, keep=others).withColumnRenamed("kept", "text")
-    if "n_chars" in others:
-        left = left.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return left.select(*docs.columns)
+    others = F.struct(*(F.col(f"`{c}`") for c in docs.columns if c != "text")).alias("row")
+    left = remove_repeats(docs.select(others, "text"), window=35, keep=["row"])
+    new = {"text": F.col("kept"), "n_chars": F.length("kept").cast("long")}
+    return left.select(*(new[c].alias(c) if c in new else F.col(f"row.`{c}`") for c in docs.columns))
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
