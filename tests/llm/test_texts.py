@@ -70,8 +70,8 @@ def shingles(text: str, n: int) -> set:
     return {tuple(words[i : i + n]) for i in range(len(words) - n + 1)}
 
 
-def classes(rows: list[tuple[int | None, str]], n: int, percent: int) -> list[tuple]:
-    """``id, shingles, smallest id`` by comparing all pairs."""
+def grouped(rows: list[tuple[int | None, str]], n: int, percent: int) -> tuple[list[set], list[int]]:
+    """Shingles and group of each row, by comparing all pairs."""
     sets = [shingles(text, n) for _, text in rows]
     root = list(range(len(rows)))
 
@@ -84,12 +84,18 @@ def classes(rows: list[tuple[int | None, str]], n: int, percent: int) -> list[tu
         for j in range(i):
             if a and 100 * len(a & sets[j]) >= percent * len(a | sets[j]):
                 root[find(i)] = find(j)
+    return sets, [find(i) for i in range(len(rows))]
+
+
+def classes(rows: list[tuple[int | None, str]], n: int, percent: int) -> list[tuple]:
+    """``id, shingles, smallest id`` of each row."""
+    sets, group = grouped(rows, n, percent)
     smallest: dict[int, int] = {}
     for i, (doc_id, _) in enumerate(rows):
         if doc_id is not None:
-            smallest[find(i)] = min(doc_id, smallest.get(find(i), doc_id))
+            smallest[group[i]] = min(doc_id, smallest.get(group[i], doc_id))
     return sorted(
-        ((d, len(s), smallest.get(find(i)) if s else d) for i, ((d, _), s) in enumerate(zip(rows, sets))), key=str
+        ((d, len(s), smallest.get(g) if s else d) for (d, _), s, g in zip(rows, sets, group)), key=str
     )
 
 
@@ -123,9 +129,13 @@ def test_one_of_each_class(spark, messy, messy_rows):
     got = one_of_each_class(messy)
     assert got.columns == messy.columns
     rows = [(r["doc_id"], r["text"] or "") for r in got.collect()]
-    kept = Counter(d for d, t in rows if t.split() and d is not None)
-    want = {c for d, n, c in classes(messy_rows, 5, 80) if n and c is not None}
-    assert kept.keys() == want and set(kept.values()) == {1}
+    sets, group = grouped(messy_rows, 5, 80)
+    ids: dict[int, list] = {}
+    for (doc_id, _), found, g in zip(messy_rows, sets, group):
+        if found:
+            ids.setdefault(g, []).append(doc_id)
+    want = Counter(min((d for d in members if d is not None), default=None) for members in ids.values())
+    assert Counter(d for d, t in rows if t.split()) == want
     assert sum(not t.split() for _, t in rows) == sum(not t.split() for _, t in messy_rows)
 
 
