@@ -15,8 +15,8 @@ from waybill.sources.files import shared_folder
 
 #: Unicode White_Space, as a character class.
 SPACE = "\t\n\x0b\x0c\r \x85\xa0  -     　"
-#: Entries a worker's memo holds before it starts afresh, and the longest key it holds.
-MEMO_ENTRIES = 1 << 19
+#: Entries in each of a memo's two halves, and the longest key it holds.
+MEMO_ENTRIES = 400_000
 MEMO_CHARS = 40
 
 
@@ -29,16 +29,21 @@ def per_worker(name: str, build: Callable[[], Any]) -> Any:
 
 
 class Memo(dict):
-    """Results by string; bounded, since it is emptied when full and skips long keys."""
+    """Results by string, of bounded size: when it is full, what was not asked for since it was
+    last full goes.  Long keys are not held."""
 
     def __init__(self, compute: Callable[[Any], Any]):
         super().__init__()
         self.compute = compute
+        self.older: dict = {}
 
     def __missing__(self, key: Any) -> Any:
-        value = self.compute(key)
+        value = self.older.get(key)
+        if value is None:
+            value = self.compute(key)
         if len(key) <= MEMO_CHARS:
             if len(self) >= MEMO_ENTRIES:
+                self.older = dict(self)
                 self.clear()
             self[key] = value
         return value

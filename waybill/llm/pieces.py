@@ -19,71 +19,106 @@ from waybill.llm.common import Memo, per_worker
 MARK = "▁"
 
 
+#: Cuts at marks, and where letters meet other characters; digits stand alone.
+FINE = re.compile(rf"{MARK}*[^\W\d_]+|{MARK}*(?:[^\w{MARK}]|_)+|{MARK}+|[^{MARK}]")
+COARSE = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
+WHOLE = re.compile(r"(?s).+")
+
+
 class PieceCodec:
-    """Encodes as the library does; every result kept for reuse is first compared with it."""
+    """Encodes as the library does, segment by segment.
+
+    A border between two characters is safe to cut if no piece has them next to each other,
+    as then no merge joins them.
+    """
 
     def __init__(self, path: str):
         self.library = sentencepiece.SentencePieceProcessor(model_file=path)
         sp, size = self.library, self.library.get_piece_size()
-        bytes_of, self.scores, self.ids = {}, {}, {}
+        bytes_of, self.order, self.ids = {}, {}, {}
         for i in range(size):
             piece = sp.id_to_piece(i)
             if sp.is_byte(i):
                 bytes_of[int(piece[1:-1], 16)] = i
             elif not (sp.is_control(i) or sp.is_unknown(i) or sp.is_unused(i)):
-                self.scores[piece], self.ids[piece] = sp.get_score(i), i
+                self.order[piece], self.ids[piece] = -sp.get_score(i), i
         if len(bytes_of) != 256:
             raise ValueError(f"{path} has no byte pieces")
         self.bytes = [bytes_of[b] for b in range(256)]
-        # If the mark only leads pieces, no merge joins a character to a mark after it.
-        whole = any(MARK in piece.lstrip(MARK) for piece in self.scores)
-        self.segment = re.compile(r"(?s).+" if whole else f"{MARK}+[^{MARK}]*|[^{MARK}]+")
-        self.segments = Memo(self.checked)
+        pairs = {pair for piece in self.order for pair in map("".join, zip(piece, piece[1:]))}
+        crossed = [pair for pair in pairs if len(FINE.findall(pair)) > 1]
+        self.crossed = re.compile("|".join(map(re.escape, crossed))) if crossed else None
+        self.rough = WHOLE if any(pair[1] == MARK != pair[0] for pair in pairs) else COARSE
+        # A line break is no part of a piece, so what follows it is encoded as if alone.
+        self.breaks = not any("\n" in piece for piece in self.order)
+        self.lead = sp.encode("\n")
+        self.segments = Memo(self.found)
+        self.unchecked: list[tuple[str, tuple[int, ...]]] = []
 
     def agenda(self, segment: str) -> tuple[int, ...]:
         """Joins the best-scored, then leftmost, adjacent pair again and again."""
-        symbols, scores = list(segment), self.scores
+        symbols, order = list(segment), self.order.get
         n = len(symbols)
-        after, before = list(range(1, n + 1)), list(range(-1, n - 1))
         heap = []
-        for i in range(n - 1):
-            if (joined := symbols[i] + symbols[i + 1]) in scores:
-                heap.append((-scores[joined], i, joined, symbols[i]))
-        heapq.heapify(heap)
-        while heap:
-            _, i, joined, left = heapq.heappop(heap)
-            j = after[i]
-            if symbols[i] != left or j >= n or left + symbols[j] != joined:
-                continue
-            symbols[i], symbols[j] = joined, ""
-            k = after[i] = after[j]
-            if k < n:
-                before[k] = i
-                if (longer := joined + symbols[k]) in scores:
-                    heapq.heappush(heap, (-scores[longer], i, longer, joined))
-            h = before[i]
-            if h >= 0 and (longer := symbols[h] + joined) in scores:
-                heapq.heappush(heap, (-scores[longer], h, longer, symbols[h]))
+        for i, joined in enumerate(map("".join, zip(symbols, symbols[1:]))):
+            if (rank := order(joined)) is not None:
+                heap.append((rank, i, joined, symbols[i]))
+        if heap:
+            push, pop = heapq.heappush, heapq.heappop
+            heapq.heapify(heap)
+            after, before = list(range(1, n + 1)), list(range(-1, n - 1))
+            while heap:
+                _, i, joined, left = pop(heap)
+                j = after[i]
+                if symbols[i] != left or j >= n or left + symbols[j] != joined:
+                    continue
+                symbols[i], symbols[j] = joined, ""
+                k = after[i] = after[j]
+                if k < n:
+                    before[k] = i
+                    longer = joined + symbols[k]
+                    if (rank := order(longer)) is not None:
+                        push(heap, (rank, i, longer, joined))
+                h = before[i]
+                if h >= 0:
+                    longer = symbols[h] + joined
+                    if (rank := order(longer)) is not None:
+                        push(heap, (rank, h, longer, symbols[h]))
         out: list[int] = []
-        for symbol in filter(None, symbols):
-            if (found := self.ids.get(symbol)) is not None:
-                out.append(found)
-            else:
-                out.extend(self.bytes[b] for b in symbol.encode())
+        for symbol in symbols:
+            if symbol:
+                if (known := self.ids.get(symbol)) is not None:
+                    out.append(known)
+                else:
+                    out.extend(self.bytes[b] for b in symbol.encode())
         return tuple(out)
 
-    def checked(self, segment: str) -> tuple[int, ...]:
-        """The agenda's ids of a segment, compared with the library's."""
+    def found(self, segment: str) -> tuple[int, ...]:
         ids = self.agenda(segment)
-        raw = segment.replace(MARK, " ")
-        if self.library.normalize(raw[1:]) == segment and list(ids) != self.library.encode(raw[1:]):
-            raise ValueError(f"the library encodes {raw[1:]!r} otherwise")
+        self.unchecked.append((segment, ids))
         return ids
 
     def encode(self, text: str) -> list[int]:
-        segments = self.segment.findall(self.library.normalize(text))
+        text = self.library.normalize(text)
+        rough = self.crossed is not None and self.crossed.search(text)
+        segments = (self.rough if rough else FINE).findall(text)
         return list(chain.from_iterable(map(self.segments.__getitem__, segments)))
 
+    def check(self) -> None:
+        """Stops the job if the library gives other ids for a segment met since the last check."""
+        texts, expected = [], []
+        for segment, ids in self.unchecked:
+            raw = segment.replace(MARK, " ")
+            if self.breaks:
+                texts.append("\n" + raw)
+                expected.append([*self.lead, *ids])
+            elif len(raw) > 1 and raw[0] == " ":
+                texts.append(raw[1:])
+                expected.append(list(ids))
+        self.unchecked = []
+        if self.library.encode(texts, num_threads=1) != expected:
+            raise ValueError("the library encodes a segment otherwise")
+
     def compare(self, text: str, ids: list[int]) -> None:
         """Stops the job if the library gives other ids for a whole text."""
         if self.library.encode(text) != ids:
@@ -118,6 +153,7 @@ def encode_pieces(
                         codec.compare(text, ids)
                     encoded.append(ids)
                     decoded.append(codec.library.decode(ids))
+                codec.check()
                 yield pa.RecordBatch.from_arrays(
                     [part.column("id"), pa.array(encoded, pa.list_(pa.int32())), pa.array(decoded, pa.string())],
                     ["id", "ids", "decoded"],
