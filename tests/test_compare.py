@@ -1,10 +1,15 @@
+import html
 import math
+import random
+import re
+import time
 
 import pytest
 from pyspark.sql import functions as F
 
 from waybill.functions import patterns as P
 from waybill.functions.html import html_to_markdown, html_to_plain
+from waybill.functions.quality import markdown_counts
 from waybill.operators import compare as C
 
 PLAIN = "Load 12\nWed 01/02/2024 from 08:00 - 17:00\nMiami, FL 33016\n\n"
@@ -105,11 +110,48 @@ def test_time_histogram(spark, times):
 
 
 def test_rendering(spark):
-    html = (
+    page = (
         "<head><title>t</title><style>p{}</style></head><body><!-- no --><h2>A &amp; B</h2>"
         "<ul><li>one</li><li>two</li></ul><p>x <b>bold</b>\n y<br>z</p><script>1</script></body>"
     )
-    df = spark.createDataFrame([(html,)], "h string")
+    df = spark.createDataFrame([(page,)], "h string")
     row = df.select(html_to_plain(F.col("h")).alias("p"), html_to_markdown(F.col("h")).alias("m")).first()
     assert row.p == "A & B\none\ntwo\nx bold y\nz"
     assert row.m == "## A & B\n\n- one\n\n- two\n\nx **bold** y\nz"
+
+
+def test_entities_are_read_once(spark):
+    cases = {
+        "a &amp;lt; b &lt;i&gt;": "a &lt; b <i>", "&#8217;&#x2019;&mdash;&eacute;&Eacute;&apos;": "’’—éÉ'",
+        "&#128;&#x80;&#0;&#xD800;&#99999999;": "€€���", "AT&T &unknown; &; &#; &amp": "AT&T &unknown; &; &#; &amp",
+        "a&nbsp;b&#160;c": "a b c", "&#x1F600;": "😀",
+    }
+    df = spark.createDataFrame(list(enumerate(cases)), "i int, h string")
+    got = df.orderBy("i").select(html_to_plain(F.col("h")).alias("t")).collect()
+    assert [r.t for r in got] == list(cases.values())
+    for given, expected in cases.items():
+        if "nbsp" not in given and "&amp" != given[-4:]:
+            assert html.unescape(given) == expected
+
+
+def test_hidden_parts_and_lists_take_linear_time(spark):
+    slow = {
+        "comments": "<!-- x " * 15_000, "one closed": "<!-- x " * 15_000 + "--> left", "scripts": "<script> " * 12_000,
+        "tags": "<a " * 40_000, "closers": "</script " * 12_000, "breaks": "\n" * 100_000, "spaces": " " * 100_000,
+        "entities": "&amp;" * 20_000,
+    }
+    for name, text in {"first": "x", **slow}.items():
+        df = spark.createDataFrame([(text,)], "h string")
+        start = time.perf_counter()
+        counts = markdown_counts(F.col("h"), F.lit(True))["markdown_lists"]
+        row = df.select(html_to_markdown(F.col("h")).alias("m"), counts.alias("n")).first()
+        assert name == "first" or time.perf_counter() - start < 4, name
+        assert row.n == 0 and (name != "one closed" or row.m == "left")
+
+
+def test_list_items_are_counted_as_one_by_one(spark):
+    rng = random.Random(4)
+    texts = ["".join(rng.choices("-*+ \n\t\x85ax", k=rng.randint(0, 30))) for _ in range(400)]
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, t string").orderBy("i")
+    got = df.select(markdown_counts(F.col("t"), F.lit(True))["markdown_lists"].alias("n")).collect()
+    assert [r.n for r in got] == [len(re.findall(P.MARKDOWN_LIST.text, t, re.M)) for t in texts]

@@ -1,14 +1,17 @@
 """Hand-written documents, one quirk each."""
 
+import contextlib
 import random
 import re
+import time
+from datetime import datetime
 
 from pyspark.sql import functions as F
 
 from tests.test_dialect import texts
 from waybill.functions import patterns as P
 from waybill.functions.datetimes import combine_datetime
-from waybill.functions.fields import carrier_groups, carrier_scope
+from waybill.functions.fields import carrier_scope, carrier_steps
 from waybill.functions.normalize import normalize_text
 from waybill.operators.extract import (
     count_stops,
@@ -107,7 +110,12 @@ def test_carrier_binds_a_later_city_if_all_labels_follow(spark):
     assert row.carrier_contact == "Ann"
 
 
-def test_carrier_guard_never_changes_the_result(spark):
+def carriers(spark, *values):
+    df = docs(spark, *values).withColumn("scope", carrier_scope(F.col("text")))
+    return carrier_steps(df, "scope", "g").select("source_file", "g").collect()
+
+
+def test_carrier_steps_never_change_the_result(spark):
     labels = [
         "Trailer VIN Number ", "Carrier A ", "MC # 1 ", "Address: 2 ", "City: B, TX 12345 ", "Phone: 3 ",
         "Fax: 4 ", "Contact: C ", "Truck VIN Number ",
@@ -123,15 +131,25 @@ def test_carrier_guard_never_changes_the_result(spark):
         for _ in range(rng.randint(0, 12)):
             words.insert(rng.randint(0, len(words)), rng.choice(noise))
         sample.append("".join(words))
-    df = docs(spark, *sample).withColumn("g", carrier_groups(carrier_scope(F.col("text"))))
     hits = 0
-    for row in df.collect():
+    for row in carriers(spark, *sample):
         match = re.search(P.CARRIER.text, sample[row.source_file], re.I | re.S)
         hits += bool(match)
         assert row.g == (list(match.groups()) if match else [""] * 9), sample[row.source_file]
     assert 50 < hits < 300
 
 
+def test_carrier_takes_linear_time(spark):
+    phrases = CARRIER.format(fax=" 1").replace("Truck VIN", "then ") + " City B, FL 33016" * 6000
+    labels = "Trailer VIN Number Carrier A " + "MC # 1 Address: 2 City B, FL 33016 Phone 3 Fax 4 " * 2000
+    carriers(spark, "")
+    for text in (phrases, labels + "x", labels + "Contact B Total"):
+        assert len(text) > 90_000
+        start = time.perf_counter()
+        carriers(spark, text)
+        assert time.perf_counter() - start < 3
+
+
 STOPS = (
     "Pickup # 1\nCustomer: ONE CO\nPickup Date: 1/2/2024\nAddress #1: 1 A ST Pickup Time: 8:00 - 17:00\n"
     "City: REX, GA\nZip Code: 30273\n"
@@ -192,6 +210,18 @@ def test_combine_datetime(spark):
         ("1/2/2024", "24:00"): "",
         ("1/2/2024", "1:60"): "",
         ("1/2/2024", "1:00:60"): "",
+        ("11/19/2021", "8:00 AM"): "2021-11-19T08:00:00",
+        ("11/19/2021", "08:00:15 PM"): "2021-11-19T20:00:15",
+        ("11/19/2021", "12:05 am"): "2021-11-19T00:05:00",
+        ("11/19/2021", "12:05:09 Pm"): "2021-11-19T12:05:09",
+        ("11/19/2021", "1:05\t\n pm"): "2021-11-19T13:05:00",
+        ("11/19/2021", "13:05 PM"): "",
+        ("11/19/2021", "0:05 AM"): "",
+        ("11/19/2021", "8:00AM"): "",
+        ("11/19/2021", "8:00 AM "): "",
+        ("11/19/2021", "8:00\n"): "",
+        ("11/19/2021", " 8:00"): "2021-11-19T08:00:00",
+        ("11/ 9/2021", "8:00"): "2021-11-09T08:00:00",
         ("1/2/2024", ""): "",
         ("", "1:00"): "",
         (None, "1:00"): "",
@@ -200,6 +230,16 @@ def test_combine_datetime(spark):
     df = spark.createDataFrame([(d, t, i) for i, (d, t) in enumerate(cases)], "d string, t string, i int")
     got = df.select("i", combine_datetime(F.col("d"), F.col("t")).alias("iso")).orderBy("i").collect()
     assert [r.iso for r in got] == list(cases.values())
+    for (d, t), iso in cases.items():
+        assert by_formats(d, t) == iso
+
+
+def by_formats(d, t):
+    """What the standard library reads with the four formats."""
+    for form in ("%m/%d/%Y %I:%M %p", "%m/%d/%Y %H:%M", "%m/%d/%Y %I:%M:%S %p", "%m/%d/%Y %H:%M:%S"):
+        with contextlib.suppress(ValueError):
+            return datetime.strptime(f"{d} {t}", form).isoformat() if d and t else ""
+    return ""
 
 
 def test_typed_view(spark):

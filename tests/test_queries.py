@@ -6,7 +6,8 @@ import duckdb
 import pandas as pd
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry, oracle_sql
+from waybill.plans.queries import CATALOG
 
 FOLDER = os.environ.get("WAYBILL_TEST_SF_DIR", "/root/testdata/sf0.001")
 TABLES = ("orders", "lineitem", "supplier", "events", "documents", "pages", "conversations")
@@ -31,9 +32,9 @@ def comparable(df: pd.DataFrame) -> list[tuple]:
     return sorted(map(tuple, df.itertuples(index=False)), key=str)
 
 
-@pytest.mark.parametrize("name", list(queries()))
+@pytest.mark.parametrize("name", list(CATALOG))
 def test_query_equals_its_sql(spark, duck, name):
-    got = queries()[name](spark, FOLDER).toPandas()
+    got = CATALOG[name].run(spark, FOLDER).toPandas()
     expected = duck.execute(oracle_sql()[name]).df()
     assert sorted(got.columns) == sorted(expected.columns)
     assert comparable(got) == comparable(expected)

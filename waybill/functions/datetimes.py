@@ -7,30 +7,35 @@ from pyspark.sql import functions as F
 
 from waybill.functions.dialect import Pattern, capture
 
-# month/day/four-digit year, 24-hour clock, seconds optional.
+# month/day/four-digit year, then a 24-hour clock, or a 12-hour clock with AM
+# or PM in any case; seconds are optional, and any white space may part date, time and AM/PM.
 DATE_TIME = Pattern(
-    r"^(1[0-2]|0[1-9]|[1-9])/(3[01]|[12][0-9]|0[1-9]|[1-9])/(?!0000)([0-9]{4})"
-    r" (2[0-3]|[01][0-9]|[0-9]):([0-5][0-9]|[0-9])(?::([0-5][0-9]|[0-9]))?\Z",
+    r"^(1[0-2]|0[1-9]|[1-9])/(3[01]|[12][0-9]|0[1-9]|[1-9]| [1-9])/(?!0000)([0-9]{4})\s+"
+    r"((?:1[0-2]|0[1-9]|[1-9])(?=[0-9:\s]*[AaPp][Mm]\Z)|(?:2[0-3]|[01][0-9]|[0-9])(?=[0-9:]*\Z))"
+    r":([0-5][0-9]|[0-9])(?::([0-5][0-9]|[0-9]))?(?:\s+([AaPp][Mm]))?\Z",
     ignore_case=False,
 )
 
 
 def date_time_parts(date: Column, time: Column) -> Column:
-    """Month, day, year, hour, minute and second digits, each ``''`` where unreadable."""
+    """Month, day, year, hour, minute, second and AM or PM, each ``''`` where unreadable."""
     return capture(F.concat(date, F.lit(" "), time), DATE_TIME)
 
 
 def iso_from_parts(parts: Column) -> Column:
     """``yyyy-MM-ddTHH:mm:ss``, or ``''`` for text that is no date or no calendar day."""
-    month, day, year, hour, minute, second = (F.get(parts, i) for i in range(6))
+    month, day, year, hour, minute, second, half = (F.get(parts, i) for i in range(7))
     month_start = F.make_date(year.cast("int"), month.cast("int"), F.lit(1))
-    valid = day.cast("int") <= F.day(F.last_day(month_start))
+    valid = F.trim(day).cast("int") <= F.day(F.last_day(month_start))
+
+    from_noon = F.when(F.lower(half) == "pm", 12).otherwise(0)
+    hour = F.when(half == "", hour).otherwise((hour.cast("int") % 12 + from_noon).cast("string"))
 
     def two(digits: Column) -> Column:
         return F.lpad(digits, 2, "0")
 
     iso = F.concat(
-        year, F.lit("-"), two(month), F.lit("-"), two(day),
+        year, F.lit("-"), two(month), F.lit("-"), two(F.trim(day)),
         F.lit("T"), two(hour), F.lit(":"), two(minute), F.lit(":"), two(second),
     )
     # Digits that were not found are not cast: a failing cast costs more than the parsing.

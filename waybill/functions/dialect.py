@@ -32,6 +32,7 @@ _ESCAPES = {
     r"\s": f"[{SPACE_CLASS}]",
     r"\w": f"[{WORD_CLASS}]",
     r"\d": r"\p{Nd}",
+    r"\Z": r"\z",
     r"\b": f"(?:(?<=[{WORD_CLASS}])(?![{WORD_CLASS}])|(?<![{WORD_CLASS}])(?=[{WORD_CLASS}]))",
 }
 

@@ -1,13 +1,13 @@
 """Field rules: which pattern fills which column of the load table.
 
-Patterns with one or two groups are searched directly; the two with many groups are read
-by one :func:`~waybill.functions.dialect.capture` over their small scope.  Column names
+Patterns with one or two groups are searched directly; the broker's address is read by one
+:func:`~waybill.functions.dialect.capture` over its small scope, the carrier in steps.  Column names
 are fixed values.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from waybill.functions import patterns as P
@@ -45,28 +45,27 @@ _BROKER_ADDRESS = P.BROKER_ADDRESS._replace(
 )
 
 
-def _gaps(*segments: str) -> str:
-    """Segments in order, each taken at its first place; linear in the text."""
-    return "".join(f"(?>(?s:.*?){embedded(Pattern(segment))})" for segment in segments)
-
-
 # What fails behind the first of these labels fails behind the later ones as well.
-_CARRIER_TAIL = Pattern(r"Trailer VIN Number.*", dot_all=True)
-
-# The carrier pattern matches exactly where its labels follow each other with the
-# shortest possible values, since any text may lie between them.
-_CARRIER = P.CARRIER._replace(
-    guard=_gaps(
-        r"Trailer VIN Number",
-        r"Carrier\s+?[A-Z0-9 &\.\-]",
-        r"MC\s*#[:\s]*?\d",
-        r"Address[:\s]*?[0-9A-Za-z\s#.,\-]",
+_CARRIER_START = "Trailer VIN Number"
+_CARRIER_TAIL = Pattern(rf"{_CARRIER_START}.*", dot_all=True)
+
+# The steps of the carrier pattern, whose values any text may part: the shortest text that
+# still is the step, and the step with its groups.
+_CARRIER_STEPS = (
+    (r"Carrier\s+?[A-Z0-9 &\.\-]", r"Carrier\s+([A-Z0-9 &\.\-]+)", 1),
+    (r"MC\s*#[:\s]*?\d", r"MC\s*#[:\s]*(\d+)", 1),
+    (r"Address[:\s]*?[0-9A-Za-z\s#.,\-]", r"Address[:\s]*([0-9A-Za-z\s#.,\-]+)", 1),
+    (
         r"City[:\s]*?[A-Za-z\s]+?,\s*?[A-Z]{2}\s*?\d{5}",
-        r"Phone[:\s]*?[\d\-\s\(\)]",
-        r"Fax",
-        r"Contact[:\s]*?[A-Za-z\s\-\.,()]+?"
-        r"(?=\s*(?:Truck VIN Number|Trailer VIN Number|Total|Please Sign|$))",
-    )
+        r"City[:\s]*([A-Za-z\s]+),\s*([A-Z]{2})\s*(\d{5})",
+        3,
+    ),
+    (r"Phone[:\s]*?[\d\-\s\(\)]", r"Phone[:\s]*([\d\-\s\(\)]+)", 1),
+    (r"Fax", r"Fax[:\s]*([\d\-\s\(\)]*)", 1),
+)
+_CARRIER_END = (
+    r"Contact[:\s]*([A-Za-z\s\-\.,()]+?)"
+    r"(?=\s*(?:Truck VIN Number|Trailer VIN Number|Total|Please Sign|$))"
 )
 
 # No section after the last stop starts with another letter.
@@ -118,8 +117,38 @@ def carrier_scope(text: Column) -> Column:
     return extract(text, _CARRIER_TAIL, 0)
 
 
-def carrier_groups(scope: Column) -> Column:
-    return capture(scope, _CARRIER)
+def _last(text: Column, step: str) -> Column:
+    """The text before the last place where ``step`` is found; ``''`` if there is none."""
+    return extract(text, Pattern(rf"\A(.*){step}", dot_all=True))
+
+
+def carrier_steps(df: DataFrame, scope: str, out: str) -> DataFrame:
+    """Adds ``out``, the nine groups of the carrier pattern in ``scope``; ``''`` without a match.
+
+    The pattern as one would try every end of a value with every later label.  Read in steps
+    its time is linear: backwards, each step ends the text at the last place where all later
+    steps can still follow; then forwards, each step takes its first place in the text so
+    ended, and its values run as far as they may.
+    """
+    limits = [f"_{out}_limit_{i}" for i in range(len(_CARRIER_STEPS))]
+    df = df.withColumn(limits[-1], _last(F.col(scope), _CARRIER_END))
+    for i in range(len(_CARRIER_STEPS) - 1, 0, -1):
+        df = df.withColumn(limits[i - 1], _last(F.col(limits[i]), _CARRIER_STEPS[i][0]))
+    reached = F.lit(len(_CARRIER_START))
+    groups = []
+    for i, (_, step, n) in enumerate(_CARRIER_STEPS):
+        found = Pattern(rf"\A.*?{step}", dot_all=True)
+        part = F.substring(F.col(limits[i]), reached + 1, F.length(limits[i]))
+        match = f"_{out}_match_{i}"
+        df = df.withColumn(match, extract(part, found, 0))
+        df = df.withColumn(f"_{out}_at_{i}", reached + F.length(match))
+        reached = F.col(f"_{out}_at_{i}")
+        groups += [extract(F.col(match), found, g) for g in range(1, n + 1)]
+    rest = F.substring(F.col(scope), reached + 1, F.length(scope))
+    groups.append(extract(rest, Pattern(_CARRIER_END)))
+    # Limits are empty if any step is missing, but for the first, which its own match tells.
+    whole = F.col(f"_{out}_match_0") != ""
+    return df.withColumn(out, F.when(whole, F.array(*groups)).otherwise(F.array(*[F.lit("")] * len(groups))))
 
 
 def carrier_columns(groups: Column) -> dict[str, Column]:

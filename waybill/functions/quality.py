@@ -89,13 +89,20 @@ def markdown_elements(text: Column) -> Column:
     return F.length(text) - F.length(bare)
 
 
+def _short_breaks(text: Column) -> Column:
+    """White space with a line break in it as one line break, which changes no item's count:
+    an item may start anywhere in such a run.  Only the starts of runs are tried."""
+    run = rf"(?<![{SPACE_CLASS}])(?=[{SPACE_CLASS}&&[^\n]]*+\n)[{SPACE_CLASS}]++"
+    return F.regexp_replace(text, run, "\n")
+
+
 def markdown_counts(text: Column, is_markdown: Column) -> dict[str, Column]:
     """Marks, headers and list items; zero for text that is not Markdown."""
     headers = is_markdown & F.contains(text, F.lit("#"))
     return {
         "markdown_elements": F.when(is_markdown, markdown_elements(text)).otherwise(0),
         "markdown_headers": F.when(headers, count_matches(text, P.MARKDOWN_HEADER)).otherwise(0),
-        "markdown_lists": F.when(is_markdown, count_matches(text, P.MARKDOWN_LIST)).otherwise(0),
+        "markdown_lists": F.when(is_markdown, count_matches(_short_breaks(text), P.MARKDOWN_LIST)).otherwise(0),
     }
 
 

@@ -18,7 +18,7 @@ from waybill.functions.quality import markdown_elements
 
 PLAIN, MARKDOWN = "plain", "markdown"
 
-# Pages joined into one row.  A longer document becomes several rows, all pages kept.
+# Page numbers whose pages are joined together before a document's parts are.
 PAGES_PER_PART = 4096
 
 
@@ -39,18 +39,22 @@ def method_texts(texts: DataFrame) -> DataFrame:
 def join_pages(
     df: DataFrame, document: str, page: str, text: str, pages_per_part: int = PAGES_PER_PART
 ) -> DataFrame:
-    """Non-empty pages in page order, each with a line end: ``document, part, text``.
+    """Non-empty pages in page order, each with a line end: ``document, text``, one row each.
 
-    Page numbers are unique in a document.  Up to ``pages_per_part`` consecutive numbers
-    make one row (``part`` 0 for all but very long documents), so that no task ever
-    holds a document of any length.
+    Pages are joined in blocks of page numbers first, so that a long document's pages are
+    sorted by many tasks; only its finished blocks meet in its row.
     """
     part = F.floor(F.col(page) / pages_per_part)
-    pages = F.array_sort(F.collect_list(F.struct(F.col(page), F.col(text))))
-    joined = df.filter(F.coalesce(F.col(text), F.lit("")) != "").groupBy(
-        F.col(document), part.alias("part")
-    ).agg(F.transform(pages, lambda p: F.concat(p[text], F.lit("\n"))).alias("_pages"))
-    return joined.select(document, "part", F.array_join("_pages", "").alias("text"))
+    pages = F.array_sort(F.collect_list(F.struct(F.col(page).alias("page"), F.col(text).alias("text"))))
+    joined = F.array_join(F.transform(pages, lambda p: F.concat(p["text"], F.lit("\n"))), "")
+    blocks = (
+        df.filter(F.coalesce(F.col(text), F.lit("")) != "")
+        .groupBy(F.col(document), part.alias("part"))
+        .agg(joined.alias("block"))
+    )
+    parts = F.array_sort(F.collect_list(F.struct("part", "block")))
+    whole = F.array_join(F.transform(parts, lambda p: p["block"]), "")
+    return blocks.groupBy(document).agg(whole.alias("text"))
 
 
 def output_path(path: Column, input_root: str, output_root: str) -> Column:

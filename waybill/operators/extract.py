@@ -92,13 +92,14 @@ def extract_loads(
     df = df.withColumns(
         {
             "_broker": R.broker_scope(F.col("_text")),
-            "_carrier": R.carrier_groups(R.carrier_scope(F.col("_text"))),
+            "_carrier_scope": R.carrier_scope(F.col("_text")),
             **{
                 f"_{t}_{i}": R.clean_block(F.get(f"_{t}_blocks", i - 1), _is_marked(t))
                 for t, i in slots
             },
         }
     )
+    df = R.carrier_steps(df, "_carrier_scope", "_carrier")
     df = df.withColumn("_address", R.broker_address_groups(F.col("_broker")))
     df = _with_times(df, [(f"_{t}_{i}", t) for t, i in slots])
 

@@ -45,8 +45,7 @@ def method_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    f"SELECT conv_id, turn // {D.PAGES_PER_PART} AS part, "
-    "string_agg(text || chr(10), '' ORDER BY turn) AS text FROM conversations "
+    "SELECT conv_id, string_agg(text || chr(10), '' ORDER BY turn) AS text FROM conversations "
     "WHERE coalesce(text, '') <> '' GROUP BY ALL"
 )
 def concat_turns(spark: SparkSession, sf_dir: str) -> DataFrame:

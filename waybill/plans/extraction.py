@@ -140,27 +140,38 @@ def stops_overflow(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_stops(load_docs(spark, sf_dir), keep=("order_key",))
 
 
-# The line number picks how date and time are written: 1 short, 2 with seconds, then
-# month 13, 30 February, a two-digit year, hour 24, and no time.
+# Line number and order pick how date and time are written: 1 short, 2 with seconds, then
+# month 13, 30 February, a two-digit year, hour 24, no time; 8 to 11 with AM or PM, midnight
+# and noon among them, with and without seconds; then a trailing line break, a leading space,
+# and hour 13 with PM.
 _DATE_TIMES_SQL = """
 SELECT l_orderkey, l_linenumber,
-  CASE l_linenumber
+  CASE style
     WHEN 3 THEN '13/' || d || '/' || y WHEN 4 THEN '2/30/' || y
     WHEN 5 THEN m || '/' || d || '/' || substr(y, 3, 2)
     WHEN 2 THEN lpad(m, 2, '0') || '/' || lpad(d, 2, '0') || '/' || y
     ELSE m || '/' || d || '/' || y END AS date_text,
-  CASE l_linenumber
+  CASE style
     WHEN 2 THEN lpad(h, 2, '0') || ':' || lpad(mi, 2, '0') || ':' || lpad(s, 2, '0')
     WHEN 6 THEN '24:' || mi WHEN 7 THEN ''
+    WHEN 8 THEN h12 || ':' || mi || ' ' || half
+    WHEN 9 THEN lpad(h12, 2, '0') || ':' || lpad(mi, 2, '0') || ':' || lpad(s, 2, '0') || '  ' || lower(half)
+    WHEN 10 THEN '12:' || mi || ' AM' WHEN 11 THEN '12:' || mi || ':' || s || ' pm'
+    WHEN 12 THEN h || ':' || mi || chr(10) WHEN 13 THEN ' ' || h || ':' || mi
+    WHEN 14 THEN '13:' || mi || ' PM'
     ELSE h || ':' || mi END AS time_text,
-  CASE WHEN l_linenumber <= 2 THEN
-    CAST(CAST(l_shipdate AS DATE) AS STRING) || 'T' || lpad(h, 2, '0') || ':'
-    || lpad(mi, 2, '0') || ':' || CASE l_linenumber WHEN 2 THEN lpad(s, 2, '0') ELSE '00' END
+  CASE WHEN style IN (1, 2, 8, 9, 10, 11, 13) THEN
+    CAST(CAST(l_shipdate AS DATE) AS STRING) || 'T'
+    || CASE style WHEN 10 THEN '00' WHEN 11 THEN '12' ELSE lpad(h, 2, '0') END || ':'
+    || lpad(mi, 2, '0') || ':' || CASE WHEN style IN (2, 9, 11) THEN lpad(s, 2, '0') ELSE '00' END
   ELSE '' END AS iso
 FROM (
   SELECT l_orderkey, l_linenumber, l_shipdate,
+    l_linenumber + 7 * (l_orderkey % 2) AS style,
     CAST(month(l_shipdate) AS STRING) AS m, CAST(day(l_shipdate) AS STRING) AS d,
     CAST(year(l_shipdate) AS STRING) AS y, CAST(l_partkey % 24 AS STRING) AS h,
+    CAST((l_partkey + 11) % 12 + 1 AS STRING) AS h12,
+    CASE WHEN l_partkey % 24 >= 12 THEN 'PM' ELSE 'AM' END AS half,
     CAST(l_suppkey % 60 AS STRING) AS mi, CAST(l_partkey % 60 AS STRING) AS s
   FROM {lineitem}
 ) t
