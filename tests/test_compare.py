@@ -12,7 +12,7 @@ from waybill.functions.html import html_to_markdown, html_to_plain
 from waybill.functions.quality import markdown_counts
 from waybill.operators import compare as C
 
-PLAIN = "Load 12\nWed 01/02/2024 from 08:00 - 17:00\nMiami, FL 33016\n\n"
+PLAIN = "Load 12\nWed 01/02/2024 from 08:00 - 17:00\nMiami, FL 40417\n\n"
 MARKED = "# Load 12\n\n- a\n- b\n\n**x**"
 
 

@@ -17,9 +17,9 @@ PIECES = [
     "Pick Date:", "Pickup Time:", "Delivery Date:", "delivery time", "Time:", "Phone", "Fax:", "Tel:",
     "Trip #", "Total To Pay: $", "Total Carrier Pay", "Send Invoice to:", "Carrier", "MC #:",
     "Trailer VIN Number", "Contact:", "Load", "Load Number", "[Load Number - 7]", "Wed 01/02/2024",
-    "sun 31/12/2023", "from 08:00 - 17:00", "Miami, FL 33016", "Port A,\u00a0GA 12345-6789", "#", "1",
+    "sun 31/12/2023", "from 08:00 - 17:00", "Miami, FL 40417", "Port A,\u00a0GA 12345-6789", "#", "1",
     "12/3/2024", "8:00 - 17:30", "8:00 AM - 5:00 PM", "1,234.50", "305-555-0001", "(305) 555 0001",
-    "a.b-c@example.com", "ñandú@ejemplo.es", "x@y", "ſan Joſe, FL 33016", "K9 İstanbul, ıı 12345",
+    "a.b-c@example.com", "ñandú@ejemplo.es", "x@y", "ſan Joſe, FL 40417", "K9 İstanbul, ıı 12345",
     "٣٤٥", "²", "é", "\u0301", "_", "-", ".", ",", "\n", "\r\n", "\t", "\u00a0", "\u2028", "\x1c", "\x85", "  ",
 ]
 

@@ -152,11 +152,9 @@ def test_shared_folder_follows_the_cluster_setting(spark):
     assert files.shared_folder(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir"))
 
 
-def test_spread_moves_only_small_inputs(spark):
-    small = spark.range(10).coalesce(1)
-    assert files.spread(small).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
-    spark.conf.set("spark.sql.files.maxPartitionBytes", 1)
-    try:
-        assert files.spread(small).rdd.getNumPartitions() == 1
-    finally:
-        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+def test_spread_moves_only_inputs_of_few_splits(spark):
+    cores = spark.sparkContext.defaultParallelism
+    small, many = spark.range(10, numPartitions=1), spark.range(10, numPartitions=cores + 3)
+    assert files.spread(small).rdd.getNumPartitions() == cores
+    assert files.spread(many).rdd.getNumPartitions() == cores + 3
+    assert files.spread(small, source=many).rdd.getNumPartitions() == 1

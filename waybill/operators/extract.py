@@ -183,6 +183,63 @@ def count_stops(
     )
 
 
+def _all_stops(stop_type: str) -> Column:
+    """Every stop of ``_{stop_type}_blocks``, in order, as structs of its attributes."""
+    marked = _is_marked(stop_type)
+    blocks = F.transform(f"_{stop_type}_blocks", lambda b: R.clean_block(b, marked))
+    # Each step's values are read several times by the next, so they are elements by then.
+    steps = F.transform(
+        blocks,
+        lambda b: F.struct(
+            b.alias("block"), *[c.alias(part) for part, c in R.stop_times(b, stop_type).items()]
+        ),
+    )
+    steps = F.transform(
+        steps,
+        lambda s: F.struct(
+            s["block"].alias("block"),
+            date_time_parts(s["date"], s["from"]).alias("start"),
+            date_time_parts(s["date"], s["to"]).alias("end"),
+        ),
+    )
+
+    def attributes(s: Column) -> Column:
+        columns = R.stop_columns(s["block"], s["start"], s["end"], stop_type)
+        return F.struct(*[columns[name].alias(name) for name in R.STOP_ATTRIBUTES])
+
+    return F.transform(steps, attributes)
+
+
+def extract_all_stops(
+    df: DataFrame, text: str = "text", keep: Sequence[str] = ("source_file",)
+) -> DataFrame:
+    """Every stop beside its document: ``keep``, arrays ``pickups`` and ``deliveries``, how many
+    there are, and whether the wide table leaves any out.  One map-only stage."""
+    df = _with_stop_blocks(_normalized(df, text, keep))
+    stops = {"pickup": "pickups", "delivery": "deliveries"}
+    return df.select(
+        *keep,
+        *[_all_stops(t).alias(name) for t, name in stops.items()],
+        *[F.size(f"_{t}_blocks").alias(f"n_{t}") for t in R.STOP_TYPES],
+        *[(F.size(f"_{t}_blocks") > STOPS_KEPT).alias(f"{t}_overflow") for t in R.STOP_TYPES],
+    )
+
+
+def typed_stops(stops: DataFrame) -> DataFrame:
+    """The arrays of ``extract_all_stops`` with times typed and blanks as NULL."""
+
+    def typed(stop: Column) -> Column:
+        return F.struct(
+            *[
+                (F.nullif(stop[n], F.lit("")).try_cast("timestamp_ntz") if n.endswith("_datetime")
+                 else F.nullif(stop[n], F.lit(""))).alias(n)
+                for n in R.STOP_ATTRIBUTES
+            ]
+        )
+
+    return stops.withColumns({name: F.transform(name, typed) for name in ("pickups", "deliveries")})
+
+
 def typed_loads(loads: DataFrame) -> DataFrame:
     """The load table with money and times typed and blanks as NULL."""
 

@@ -78,7 +78,7 @@ _CARRIER_PLACE = (
     _docs_sql(
         "coalesce(n, 0) + 1 + CASE WHEN carrier IS NULL THEN 0 ELSE 1 END AS n_addresses, "
         "coalesce(places || '; ', '') || CASE o_orderkey % 8 WHEN 5 THEN 's' ELSE 'Miami Lakes' END "
-        f"|| ', FL 33016' || coalesce({_CARRIER_PLACE}, '') AS addresses"
+        f"|| ', FL 40417' || coalesce({_CARRIER_PLACE}, '') AS addresses"
     )
 )
 def addresses_found(spark: SparkSession, sf_dir: str) -> DataFrame:

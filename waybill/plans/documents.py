@@ -31,6 +31,44 @@ def html_to_markdown(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pages.select("page_id", H.html_to_markdown(F.col("html")).alias("text"))
 
 
+# One page per order whose text is known from the row.
+_NAME = "replace(o_orderpriority, '-', ' <&> ')"
+_PAGE = (
+    "'<!DOCTYPE html>' || chr(10) || '<html><head><TITLE>no</TITLE><style>p [x]</style><!-- <p>no</p> --></head>' "
+    "|| chr(10) || '<body class=a><h2 id=x>Order&nbsp;' || o_orderkey || '</h2><p>Priority &mdash; <b>' "
+    f"|| replace(replace(replace({_NAME}, '&', '&amp;'), '<', '&lt;'), '>', '&#62;') "
+    "|| '</b></p><script type=x>var a = \"</p>\" < 1;</script><ul><li class=n>key &#x23;' || o_custkey "
+    "|| '</li><LI>' || o_orderstatus || '&#8217;s &amp;lt;&eacute;&unknown;</LI></ul>one<br/>two' "
+    "|| CASE WHEN o_orderkey % 2 = 0 THEN ' <!-- open <em' ELSE '<br>' || chr(10) || ' three ' END"
+)
+
+
+def _page_text(heading: str, part: str, bold: str, first: str, item: str) -> str:
+    """The text of that page, by what stands for its marks."""
+    marks = {k: f"'{v}'".replace("\n", "' || chr(10) || '") for k, v in locals().items()}
+    return (
+        f"SELECT o_orderkey AS order_key, {marks['heading']} || 'Order ' || o_orderkey || {marks['part']} "
+        f"|| 'Priority — ' || {marks['bold']} || {_NAME} || {marks['bold']} || {marks['first']} || 'key #' "
+        f"|| o_custkey || {marks['item']} || o_orderstatus || '’s &lt;é&unknown;' || {marks['part']} "
+        "|| 'one' || chr(10) || 'two' || CASE WHEN o_orderkey % 2 = 0 THEN ' <!-- open <em' "
+        "ELSE chr(10) || 'three' END AS text FROM orders"
+    )
+
+
+def _pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return texts(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("order_key"), F.expr(_PAGE).alias("html"))
+
+
+@query(_page_text("", "\n", "", "\n", "\n"))
+def page_to_plain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _pages(spark, sf_dir).select("order_key", H.html_to_plain(F.col("html")).alias("text"))
+
+
+@query(_page_text("## ", "\n\n", "**", "\n\n- ", "\n\n- "))
+def page_to_markdown(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _pages(spark, sf_dir).select("order_key", H.html_to_markdown(F.col("html")).alias("text"))
+
+
 @query(
     f"SELECT page_id, method, text FROM (SELECT page_id, 'plain' AS method, "
     f"{H.plain_sql('html')} AS text FROM pages UNION ALL SELECT page_id, 'markdown', "
@@ -118,17 +156,22 @@ def _text_folder(spark: SparkSession, sf_dir: str) -> str:
     "SELECT source, CAST(sum(strlen(text) + 1) AS BIGINT) AS n_bytes, "
     "CAST(sum(length(text) + 1) AS BIGINT) AS n_chars, "
     "CAST(sum(length(text) - length(replace(text, chr(10), '')) + 1) AS BIGINT) AS n_lines, "
-    "0 AS n_unreadable FROM documents GROUP BY source"
+    "0 AS n_unreadable, 0 AS n_elsewhere FROM documents GROUP BY source"
 )
 def scan_text_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Whole files scanned back from ``source=`` folders, added up per source."""
+    """Whole files scanned back from ``source=`` folders, added up per source.
+
+    ``n_elsewhere`` counts files whose address does not name their source.
+    """
     texts = files.scan_text_files(spark, _text_folder(spark, sf_dir))
     lines = F.length("text") - F.length(F.replace("text", F.lit("\n"), F.lit("")))
+    folder = F.concat(F.lit("/source="), F.col("source"), F.lit("/"))
     return texts.groupBy("source").agg(
         F.sum(F.octet_length("text")).alias("n_bytes"),
         F.sum(F.length("text")).alias("n_chars"),
         F.sum(lines).alias("n_lines"),
         F.count_if(F.col("text").isNull()).alias("n_unreadable"),
+        F.count_if(~F.contains(files.display_path(F.col("source_file")), folder)).alias("n_elsewhere"),
     )
 
 

@@ -2,17 +2,19 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from waybill.functions.datetimes import combine_datetime as iso_datetime
-from waybill.functions.fields import BROKER_FIELDS, CARRIER_FIELDS, emails
+from waybill.functions.fields import BROKER_FIELDS, CARRIER_FIELDS, STOP_ATTRIBUTES, emails
 from waybill.functions.normalize import normalize_strings as clean_strings
 from waybill.functions.normalize import normalize_text as clean_text
 from waybill.operators.extract import (
     count_stops,
+    extract_all_stops,
     extract_loads,
     extract_stops,
+    typed_stops,
 )
 from waybill.operators.extract import typed_loads as as_typed
 from waybill.plans.catalog import query, table, texts
@@ -140,6 +142,41 @@ def stops_overflow(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_stops(load_docs(spark, sf_dir), keep=("order_key",))
 
 
+# A stop as one text: its attributes in order, blanks and times as the typed view has them.
+_STOP_TEXT_SQL = " || '|' || ".join(
+    f"coalesce(nullif({name}, ''), '-')" for name in STOP_ATTRIBUTES[:5]
+) + "".join(
+    f" || '|' || coalesce(replace(nullif({name}, ''), 'T', ' '), '-')" for name in STOP_ATTRIBUTES[5:]
+)
+
+
+@query(
+    for_duckdb(
+        "SELECT o_orderkey AS order_key, coalesce(pickups, '') AS pickups, "
+        "coalesce(deliveries, '') AS deliveries, CAST(coalesce(n_pickup, 0) AS INT) AS n_pickup, "
+        "CAST(coalesce(n_delivery, 0) AS INT) AS n_delivery, "
+        "coalesce(n_pickup, 0) > 3 AS pickup_overflow, coalesce(n_delivery, 0) > 3 AS delivery_overflow "
+        "FROM {orders} LEFT JOIN (SELECT order_key, "
+        f"string_agg({_STOP_TEXT_SQL}, ';' ORDER BY stop_no) FILTER (WHERE stop_type = 'pickup') AS pickups, "
+        f"string_agg({_STOP_TEXT_SQL}, ';' ORDER BY stop_no) FILTER (WHERE stop_type = 'delivery') AS deliveries, "
+        "count(*) FILTER (WHERE stop_type = 'pickup') AS n_pickup, "
+        "count(*) FILTER (WHERE stop_type = 'delivery') AS n_delivery "
+        f"FROM ({long_stops_sql()}) s GROUP BY order_key) c ON c.order_key = o_orderkey"
+    )
+)
+def stops_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every stop of a document in its own row, none left out."""
+    stops = typed_stops(extract_all_stops(load_docs(spark, sf_dir), keep=("order_key",)))
+
+    def shown(name: str) -> Column:
+        def text(stop: Column) -> Column:
+            return F.concat_ws("|", *[F.coalesce(stop[n].cast("string"), F.lit("-")) for n in STOP_ATTRIBUTES])
+
+        return F.array_join(F.transform(name, text), ";")
+
+    return stops.withColumns({name: shown(name) for name in ("pickups", "deliveries")})
+
+
 # Line number and order pick how date and time are written: 1 short, 2 with seconds, then
 # month 13, 30 February, a two-digit year, hour 24, no time; 8 to 11 with AM or PM, midnight
 # and noon among them, with and without seconds; then a trailing line break, a leading space,

@@ -65,7 +65,7 @@ HEADER_VALUES = {
     "b_name": "'USA Truck Brokers Inc.'",
     "b_phone": "'305-555-' || lpad(CAST(o_orderkey % 10000 AS STRING), 4, '0')",
     "b_fax": "'305-556-' || lpad(CAST(o_orderkey % 10000 AS STRING), 4, '0')",
-    "b_address": "CAST(1000 + o_orderkey % 9000 AS STRING) || ' NW 77 Court Suite ' "
+    "b_address": "CAST(1000 + o_orderkey % 9000 AS STRING) || ' Quarry Bend Unit ' "
                  "|| CAST(100 + o_orderkey % 900 AS STRING)",
     "b_mail_1": "'desk' || CAST(o_orderkey % 5 AS STRING) || '@example.com'",
     "b_mail_2": "'bills' || CAST(o_orderkey % 3 AS STRING) || '@example.com'",
@@ -80,7 +80,7 @@ HEADER_VALUES = {
     "c_phone": "'786-555-' || lpad(CAST(carrier_key % 10000 AS STRING), 4, '0')",
     "c_fax": "'786-556-' || lpad(CAST(carrier_key % 10000 AS STRING), 4, '0')",
     "c_contact": f"'Ana ' || translate(CAST(carrier_key % 1000 AS STRING), {_LETTERS}) "
-                 "|| ' (dispatcher'",
+                 "|| ' (night desk'",
 }
 
 # Line numbers repeat within an order, so they are reduced to one row each.
@@ -193,7 +193,7 @@ def _broker_text() -> Column:
     city = F.when(style == 5, "Miami Lake,s").otherwise("Miami Lakes")
     return F.concat(
         F.lit("\n\n\nSend Invoice to:\n"), F.col("b_name"), F.lit("\n"), F.col("b_address"),
-        F.lit("\n"), city, F.lit(", FL 33016\nTel: "), F.col("b_phone"), fax,
+        F.lit("\n"), city, F.lit(", FL 40417\nTel: "), F.col("b_phone"), fax,
         F.lit("\nEmail: "), F.col("b_mail_1"), F.lit(", "), F.col("b_mail_2"), F.lit(" "),
         F.col("b_mail_1"), F.lit("\n"), pay_label,
         F.format_number(F.col("pay").cast("decimal(18,2)"), 2),
@@ -354,7 +354,7 @@ def wide_rows_sql(fields: tuple[str, ...] | None = None) -> str:
         "broker_address": "h.b_address",
         "broker_city": "'Miami Lakes'",
         "broker_state": "'FL'",
-        "broker_zipcode": "'33016'",
+        "broker_zipcode": "'40417'",
         "broker_email": "h.b_mail_2 || '; ' || h.b_mail_1",
         "loadConfirmationNumber": "CAST(h.order_key AS STRING)",
         "totalCarrierPay": "h.pay",
@@ -397,7 +397,7 @@ def truth_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         "source_file": F.col("source_file"),
         "broker_city": F.lit("Miami Lakes"),
         "broker_state": F.lit("FL"),
-        "broker_zipcode": F.lit("33016"),
+        "broker_zipcode": F.lit("40417"),
         "broker_email": F.concat_ws("; ", "b_mail_2", "b_mail_1"),
         "broker_fax": F.when(style != 5, F.col("b_fax")).otherwise(F.when(key % 2 != 0, "")),
         "loadConfirmationNumber": F.concat(

@@ -35,18 +35,14 @@ def shared_folder(spark: SparkSession, name: str) -> str:
 
 
 def spread(df: DataFrame, source: DataFrame | None = None) -> DataFrame:
-    """Rows of a small input over all cores; those of a large one stay where they are.
+    """Rows of an input of fewer splits than cores over all cores; others stay where they are.
 
-    Text work costs far more than its bytes suggest, so an input of a few splits would
-    leave most cores idle.  Rows are only moved if the input (``source``, if ``df`` is
-    derived from it) is below one split per core.
+    Text work costs far more than its bytes suggest.  The splits are those of ``source``, a
+    plain scan, if ``df`` is derived from it.
     """
-    spark = df.sparkSession
-    cores = spark.sparkContext.defaultParallelism
-    split = spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
-    measured = df if source is None else source
-    size = int(measured._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
-    return df.repartition(cores) if size < cores * split else df
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    splits = (df if source is None else source).rdd.getNumPartitions()
+    return df.repartition(cores) if splits < cores else df
 
 
 def scan_text_files(

@@ -43,11 +43,11 @@ TRUTH_FIELDS = (
 )
 
 _COMMENTS = {
-    SOURCE_FILE: "Ruta del archivo fuente",
-    PROCESSED_AT: "Timestamp de procesamiento",
-    "loadConfirmationNumber": "Número de confirmación de carga",
-    "totalCarrierPay": "Pago total al transportista",
-    "carrier_mc": "MC Number del transportista",
+    SOURCE_FILE: "address of the document, percent-encoded",
+    PROCESSED_AT: "when the row was made, UTC",
+    "loadConfirmationNumber": "trip number the document shows",
+    "totalCarrierPay": "amount agreed with the carrier, without separators",
+    "carrier_mc": "motor carrier number",
 }
 
 
