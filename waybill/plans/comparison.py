@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from waybill.functions import quality as Q
 from waybill.functions.html import markdown_sql, plain_sql
-from waybill.functions.patterns import LOAD_NUMBER_MISSING, SUMMARY_METRICS
+from waybill.functions.patterns import LOAD_NUMBER_MISSING, SUMMARY_COLUMN, SUMMARY_METRICS
 from waybill.operators import compare as C
 from waybill.operators.documents import MARKDOWN, PLAIN, render_methods
 from waybill.plans.catalog import query, table, texts
@@ -339,6 +339,87 @@ def method_winners(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(C.method_winners(_timed_metrics(spark, sf_dir)))
 
 
+# ---- the same on load confirmations: every 5th fails under the Markdown method ----
+
+_LOADS_SQL = (
+    f"SELECT *, order_key % {FAILED_EVERY} <> 0 AS ok, CAST(1 + order_key % 7 AS DOUBLE) AS plain_time, "
+    "CAST(2 + order_key % 5 AS DOUBLE) AS markdown_time, CASE order_key % 8 WHEN 3 THEN "
+    f"'{LOAD_NUMBER_MISSING}' ELSE CAST(order_key AS VARCHAR) END AS load FROM ("
+    + _docs_sql(
+        "coalesce(n, 0) AS n, coalesce(n, 0) + 1 + CASE WHEN carrier IS NULL THEN 0 ELSE 1 END AS n_addresses"
+    )
+    + ") d"
+)
+
+
+def _load_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    key = F.col("order_key")
+    docs = load_docs(spark, sf_dir).select(
+        key.alias("file"),
+        F.inline(
+            F.array(
+                F.struct(F.lit(PLAIN).alias("method"), "text", (1 + key % 7).cast("double").alias("elapsed")),
+                F.struct(
+                    F.lit(MARKDOWN).alias("method"),
+                    F.when(key % FAILED_EVERY != 0, F.col("text")).alias("text"),
+                    (2 + key % 5).cast("double").alias("elapsed"),
+                ),
+            )
+        ),
+    )
+    return C.method_metrics(docs, keep=("file", "elapsed")).withColumn("run_order", F.col("file"))
+
+
+@query(
+    "SELECT order_key AS archivo, plain_time AS plain_tiempo, load AS plain_load, n AS plain_fechas, "
+    "n_addresses AS plain_direcciones, markdown_time AS markdown_tiempo, "
+    f"CASE WHEN ok THEN load ELSE '{LOAD_NUMBER_MISSING}' END AS markdown_load, "
+    "CASE WHEN ok THEN n ELSE 0 END AS markdown_fechas, "
+    f"CASE WHEN ok THEN n_addresses ELSE 0 END AS markdown_direcciones FROM ({_LOADS_SQL}) l"
+)
+def load_method_detail(spark: SparkSession, sf_dir: str) -> DataFrame:
+    detail = C.method_detail(_load_metrics(spark, sf_dir))
+    return detail.select("archivo", *[c for c in detail.columns if c.endswith(("tiempo", "load", "fechas", "direcciones"))])
+
+
+_LOAD_MEANS_SQL = (
+    f"SELECT method, avg(CASE method WHEN '{PLAIN}' THEN plain_time ELSE markdown_time END) "
+    "FILTER (WHERE good) AS mean_time, 100.0 * count(*) FILTER (WHERE good AND order_key % 8 <> 3) / count(*) AS rate, "
+    "avg(CASE WHEN good THEN n ELSE 0 END) AS dates, avg(CASE WHEN good THEN n_addresses ELSE 0 END) AS addresses "
+    f"FROM (SELECT *, ok OR method = '{PLAIN}' AS good FROM ({_LOADS_SQL}) l "
+    f"CROSS JOIN (VALUES ('{PLAIN}'), ('{MARKDOWN}')) m(method)) x GROUP BY method"
+)
+_LOAD_VALUES = (
+    "printf('%.3f', mean_time)", "printf('%.1f', rate) || '%'", "printf('%.2f', dates)", "printf('%.2f', addresses)",
+)
+
+
+@query(
+    f"WITH means AS ({_LOAD_MEANS_SQL}) "
+    + " UNION ALL ".join(
+        f"SELECT '{metric}' AS \"Métrica\", {_side(PLAIN, f'max({value})')} AS plain, "
+        f"{_side(MARKDOWN, f'max({value})')} AS markdown FROM means"
+        for metric, value in zip(SUMMARY_METRICS, _LOAD_VALUES)
+    )
+)
+def load_method_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows on time, load numbers, dates and addresses."""
+    summary = C.method_summary(_load_metrics(spark, sf_dir))
+    return summary.filter(F.col(SUMMARY_COLUMN).isin(*SUMMARY_METRICS[: len(_LOAD_VALUES)]))
+
+
+@query(
+    f"WITH means AS ({_LOAD_MEANS_SQL}) SELECT "
+    "CASE WHEN p.mean_time < m.mean_time THEN 'plain' ELSE 'markdown' END AS speed_winner, "
+    "round(m.mean_time / p.mean_time, 6) AS speed_ratio, CASE WHEN abs(p.addresses - m.addresses) < 0.1 "
+    "THEN 'Empate' WHEN p.addresses >= m.addresses THEN 'plain' ELSE 'markdown' END AS precision_winner "
+    "FROM (SELECT * FROM means WHERE method = 'plain') p, (SELECT * FROM means WHERE method = 'markdown') m"
+)
+def load_method_winners(spark: SparkSession, sf_dir: str) -> DataFrame:
+    winners = _rounded(C.method_winners(_load_metrics(spark, sf_dir)))
+    return winners.select("speed_winner", "speed_ratio", "precision_winner")
+
+
 _EVENTS_SQL = (
     "SELECT CASE WHEN event_id % 2 = 0 THEN 'plain' ELSE 'markdown' END AS method, "
     "event_type <> 'error' AS success, value AS elapsed FROM events"
