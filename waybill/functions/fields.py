@@ -178,18 +178,19 @@ _STOP_PATTERNS = {
 }
 
 
-def stop_times(block: Column, stop_type: str) -> dict[str, Column]:
-    """Date and window texts of one block."""
+def stop_parsed(block: Column, stop_type: str) -> dict[str, Column]:
+    """Date text, window and place of one block; the last two as arrays of their groups, so that
+    one search gives both."""
     _, _, date, window = _STOP_PATTERNS[stop_type]
     return {
         "date": extract(block, date),
-        "from": extract(block, window, 1),
-        "to": extract(block, window, 2),
+        "window": capture(block, window),
+        "place": capture(block, P.STOP_CITY),
     }
 
 
 def stop_columns(
-    block: Column, start_parts: Column, end_parts: Column, stop_type: str
+    block: Column, place: Column, start_parts: Column, end_parts: Column, stop_type: str
 ) -> dict[str, Column]:
     customer, address, _, _ = _STOP_PATTERNS[stop_type]
     address_text = extract(block, address)
@@ -199,8 +200,8 @@ def stop_columns(
     return {
         "customer": strip(extract(block, customer)),
         "address": strip(address_text),
-        "city": strip(extract(block, P.STOP_CITY, 1)),
-        "state": strip(extract(block, P.STOP_CITY, 2)),
+        "city": strip(F.get(place, 0)),
+        "state": strip(F.get(place, 1)),
         "zipcode": strip(extract(block, P.STOP_ZIP)),
         "start_datetime": iso_from_parts(start_parts),
         "end_datetime": iso_from_parts(end_parts),

@@ -56,14 +56,14 @@ def _with_times(df: DataFrame, blocks: Sequence[tuple[str, str]]) -> DataFrame:
         {
             f"{block}_{part}": column
             for block, t in blocks
-            for part, column in R.stop_times(F.col(block), t).items()
+            for part, column in R.stop_parsed(F.col(block), t).items()
         }
     )
     return df.withColumns(
         {
-            f"{block}_{end}": date_time_parts(F.col(f"{block}_date"), F.col(f"{block}_{time}"))
+            f"{block}_{end}": date_time_parts(F.col(f"{block}_date"), F.get(f"{block}_window", i))
             for block, _ in blocks
-            for end, time in (("start", "from"), ("end", "to"))
+            for i, end in enumerate(("start", "end"))
         }
     )
 
@@ -110,7 +110,8 @@ def extract_loads(
     }
     for t, i in slots:
         block = f"_{t}_{i}"
-        stop = R.stop_columns(F.col(block), F.col(f"{block}_start"), F.col(f"{block}_end"), t)
+        parsed = [F.col(f"{block}_{part}") for part in ("place", "start", "end")]
+        stop = R.stop_columns(F.col(block), *parsed, t)
         columns |= {f"{t}_{name}_{i}": column for name, column in stop.items()}
     columns[PROCESSED_AT] = processed_at()
     return df.select(
@@ -143,18 +144,18 @@ def extract_stops(
         R.clean_block(F.col("block"), F.col("marked")).alias("_block"),
     )
     # The two types read different labels, so the right one is chosen per row.
-    times = {t: R.stop_times(F.col("_block"), t) for t in R.STOP_TYPES}
+    parsed = {t: R.stop_parsed(F.col("_block"), t) for t in R.STOP_TYPES}
     df = df.withColumns(
-        {f"_{part}": _by_type(lambda t: times[t][part]) for part in ("date", "from", "to")}
+        {f"_{part}": _by_type(lambda t: parsed[t][part]) for part in ("date", "window", "place")}
     )
     df = df.withColumns(
         {
-            "_start": date_time_parts(F.col("_date"), F.col("_from")),
-            "_end": date_time_parts(F.col("_date"), F.col("_to")),
+            "_start": date_time_parts(F.col("_date"), F.get("_window", 0)),
+            "_end": date_time_parts(F.col("_date"), F.get("_window", 1)),
         }
     )
     stops = {
-        t: R.stop_columns(F.col("_block"), F.col("_start"), F.col("_end"), t)
+        t: R.stop_columns(F.col("_block"), F.col("_place"), F.col("_start"), F.col("_end"), t)
         for t in R.STOP_TYPES
     }
     return df.select(
@@ -191,20 +192,21 @@ def _all_stops(stop_type: str) -> Column:
     steps = F.transform(
         blocks,
         lambda b: F.struct(
-            b.alias("block"), *[c.alias(part) for part, c in R.stop_times(b, stop_type).items()]
+            b.alias("block"), *[c.alias(part) for part, c in R.stop_parsed(b, stop_type).items()]
         ),
     )
     steps = F.transform(
         steps,
         lambda s: F.struct(
             s["block"].alias("block"),
-            date_time_parts(s["date"], s["from"]).alias("start"),
-            date_time_parts(s["date"], s["to"]).alias("end"),
+            s["place"].alias("place"),
+            date_time_parts(s["date"], F.get(s["window"], 0)).alias("start"),
+            date_time_parts(s["date"], F.get(s["window"], 1)).alias("end"),
         ),
     )
 
     def attributes(s: Column) -> Column:
-        columns = R.stop_columns(s["block"], s["start"], s["end"], stop_type)
+        columns = R.stop_columns(s["block"], s["place"], s["start"], s["end"], stop_type)
         return F.struct(*[columns[name].alias(name) for name in R.STOP_ATTRIBUTES])
 
     return F.transform(steps, attributes)

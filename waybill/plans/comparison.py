@@ -12,6 +12,8 @@ from waybill.operators import compare as C
 from waybill.operators.documents import MARKDOWN, PLAIN, render_methods
 from waybill.plans.catalog import query, table, texts
 from waybill.plans.load_docs import for_duckdb, load_docs, numbered_stops_sql
+from waybill.sources.files import shared_folder
+from waybill.sources.sinks import write_csv
 
 FAILED_EVERY = 5
 
@@ -382,6 +384,21 @@ def load_method_detail(spark: SparkSession, sf_dir: str) -> DataFrame:
     return detail.select("archivo", *[c for c in detail.columns if c.endswith(("tiempo", "load", "fechas", "direcciones"))])
 
 
+@query("SELECT archivo, plain_load, markdown_load, plain_fechas, markdown_fechas "
+       "FROM (SELECT order_key AS archivo, load AS plain_load, n AS plain_fechas, "
+       f"CASE WHEN ok THEN load ELSE '{LOAD_NUMBER_MISSING}' END AS markdown_load, "
+       f"CASE WHEN ok THEN n ELSE 0 END AS markdown_fechas FROM ({_LOADS_SQL}) l) d")
+def load_detail_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The detail report, read back from the CSV files it is written to."""
+    path = shared_folder(spark, "detail-csv")
+    write_csv(C.method_detail(_load_metrics(spark, sf_dir)), path)
+    report = spark.read.option("header", True).csv(path)
+    return report.select(
+        F.col("archivo").cast("long").alias("archivo"), "plain_load", "markdown_load",
+        *[F.col(c).cast("long").alias(c) for c in ("plain_fechas", "markdown_fechas")],
+    )
+
+
 _LOAD_MEANS_SQL = (
     f"SELECT method, avg(CASE method WHEN '{PLAIN}' THEN plain_time ELSE markdown_time END) "
     "FILTER (WHERE good) AS mean_time, 100.0 * count(*) FILTER (WHERE good AND order_key % 8 <> 3) / count(*) AS rate, "
