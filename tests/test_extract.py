@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tests.test_dialect import texts
 from waybill.functions import patterns as P
 from waybill.functions.datetimes import combine_datetime
-from waybill.functions.fields import carrier_scope, carrier_steps
+from waybill.functions.fields import carrier_scope, carrier_steps, customer
 from waybill.functions.normalize import normalize_text
 from waybill.operators.extract import (
     count_stops,
@@ -150,6 +150,23 @@ def test_carrier_takes_linear_time(spark):
         assert time.perf_counter() - start < 3
 
 
+def test_customer_never_changes_and_takes_linear_time(spark):
+    rng = random.Random(12)
+    parts = [
+        "Customer", "Customer", " ", ": ", "\n", "A CO", "# ", "Address", "City", "Pick-Up", "Delivery", "x", "/", "  ",
+    ]
+    texts = ["".join(rng.choices(parts, k=rng.randint(0, 14))) for _ in range(1500)]
+    for stop_type, pattern in (("pickup", P.PICKUP_CUSTOMER), ("delivery", P.DELIVERY_CUSTOMER)):
+        rows = docs(spark, *texts).select("source_file", customer(F.col("text"), stop_type).alias("c")).collect()
+        for row in rows:
+            match = re.search(pattern.text, texts[row.source_file], re.I)
+            assert row.c == (match.group(1) if match else ""), texts[row.source_file]
+        start = time.perf_counter()
+        slow = docs(spark, "Customer " * 12_000 + "#", "Customer: " * 10_000 + "# City")
+        assert [r.c for r in slow.select(customer(F.col("text"), stop_type).alias("c")).collect()] == ["", ""]
+        assert time.perf_counter() - start < 5
+
+
 STOPS = (
     "Pickup # 1\nCustomer: ONE CO\nPickup Date: 1/2/2024\nAddress #1: 1 A ST Pickup Time: 8:00 - 17:00\n"
     "City: REX, GA\nZip Code: 30273\n"

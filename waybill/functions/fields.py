@@ -178,6 +178,22 @@ _STOP_PATTERNS = {
 }
 
 
+# After a label whose value no later label ends, the value is passed over as a whole: the labels
+# inside it would fail in the same way.  Only a label whose own value starts behind it is left.
+_CUSTOMERS = {
+    t: customer._replace(
+        text=customer.text + r"|Customer[:\s]*(?:(?!Customer[ ]*+[:\s])[A-Z0-9 &\.\-])*+"
+    )
+    for t, (customer, _, _, _) in _STOP_PATTERNS.items()
+}
+
+
+def customer(block: Column, stop_type: str) -> Column:
+    """The first customer that a label ends, in linear time."""
+    found = extract_all(block, _CUSTOMERS[stop_type])
+    return F.coalesce(F.get(F.filter(found, lambda value: value != ""), 0), F.lit(""))
+
+
 def stop_parsed(block: Column, stop_type: str) -> dict[str, Column]:
     """Date text, window and place of one block; the last two as arrays of their groups, so that
     one search gives both."""
@@ -192,13 +208,13 @@ def stop_parsed(block: Column, stop_type: str) -> dict[str, Column]:
 def stop_columns(
     block: Column, place: Column, start_parts: Column, end_parts: Column, stop_type: str
 ) -> dict[str, Column]:
-    customer, address, _, _ = _STOP_PATTERNS[stop_type]
+    _, address, _, _ = _STOP_PATTERNS[stop_type]
     address_text = extract(block, address)
     if stop_type == "delivery":
         tail, nothing = P.DELIVERY_ADDRESS_TAIL
         address_text = replace(address_text, tail, nothing)
     return {
-        "customer": strip(extract(block, customer)),
+        "customer": strip(customer(block, stop_type)),
         "address": strip(address_text),
         "city": strip(F.get(place, 0)),
         "state": strip(F.get(place, 1)),
