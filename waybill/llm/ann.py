@@ -101,10 +101,11 @@ def search_neighbours(
     queries: DataFrame,
     k: int,
     sample_rows: int = 2048,
-    rows_per_list: float = 4.0,
-    probe_share: float = 0.7,
+    rows_per_list: int = 2048,
+    probe_share: float = 0.8,
+    first_share: float = 0.1,
     block_rows: int = 4096,
-    step: int = 8,
+    step: int = 16,
     confidence: float = 2.1,
     seed: int = 7,
     id_col: str = "vec_id",
@@ -113,11 +114,12 @@ def search_neighbours(
     """``query_id, rank, id, score``: for each query the k nearest found, exact scores.
 
     The index is fitted on ``sample_rows`` vectors, chosen by a hash of their id; every vector
-    is put in a list.  There are ``sqrt(rows) / rows_per_list`` lists, at most one per eight
-    sample rows; a query probes ``probe_share`` of them, nearest first.  The default suits
-    vectors without clusters, where near vectors lie in many lists.  ``confidence`` is how
-    many deviations a partial distance may lie above the limit.  A list of more than
-    ``block_rows`` is split, so that a group is bounded whatever the rows are.
+    is put in a list.  There is a list per ``rows_per_list`` rows, at most one per eight sample
+    rows; a query probes ``probe_share`` of them.  The default suits vectors without clusters,
+    where near vectors lie in many lists.  The nearest ``first_share`` of the probed lists are
+    scanned first: the k-th best found there is the limit from which the others start.
+    ``confidence`` is how many deviations a partial distance may lie above the limit.  A list of
+    more than ``block_rows`` is split, so that a group is bounded whatever the rows are.
 
     Scores are inner products in double precision; ties go to the smaller id; a query's own id
     is no candidate.  Vectors that are NULL, empty, zero or hold NULL or non-finite components
@@ -139,9 +141,10 @@ def search_neighbours(
         return empty.withColumn("score", F.lit(0.0)).filter("false")
     data, asked = (same_width(df, "v", facts["width"]) for df in (data, asked))
     sample = data.orderBy(F.xxhash64("id"), "id").limit(sample_rows).toPandas()
-    lists = max(1, min(round(facts["n"] ** 0.5 / rows_per_list), len(sample) // 8))
+    lists = max(1, min(-(-facts["n"] // rows_per_list), len(sample) // 8))
     index = fit_index(sample["id"].to_numpy(), np.stack(sample["v"].to_list()), facts["longest"], lists, seed)
     probes = max(1, round(probe_share * lists))
+    first = max(1, round(first_share * probes))
 
     def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -169,16 +172,18 @@ def search_neighbours(
                 counts = pieces[probed]
                 owner = np.repeat(np.arange(len(q)), counts.sum(axis=1))
                 chosen = np.repeat(probed.ravel(), counts.ravel())
-                first = np.repeat(np.cumsum(counts.ravel()) - counts.ravel(), counts.ravel())
+                start_of = np.repeat(np.cumsum(counts.ravel()) - counts.ravel(), counts.ravel())
+                early = np.repeat(np.tile(np.arange(probes) < first, len(q)), counts.ravel())
                 yield pa.RecordBatch.from_arrays(
                     [
                         few.column("id").take(pa.array(owner)),
                         few.column("v").take(pa.array(owner)),
                         pa.array(floor[owner]),
                         pa.array(chosen.astype(np.int32)),
-                        pa.array((np.arange(len(chosen)) - first).astype(np.int32)),
+                        pa.array((np.arange(len(chosen)) - start_of).astype(np.int32)),
+                        pa.array(early),
                     ],
-                    ["id", "v", "floor", "list", "piece"],
+                    ["id", "v", "floor", "list", "piece", "early"],
                 )
 
     def seed_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -193,7 +198,7 @@ def search_neighbours(
 
     pairs = f"query_id {id_type}, id {id_type}, score double"
     seeds = asked.mapInArrow(seed_rows, pairs)
-    routed = asked.mapInArrow(route, f"id {id_type}, v array<double>, floor double, list int, piece int")
+    routed = asked.mapInArrow(route, f"id {id_type}, v array<double>, floor double, list int, piece int, early boolean")
 
     def scan(theirs: pd.DataFrame, ours: pd.DataFrame) -> pd.DataFrame:
         out = []
@@ -205,13 +210,20 @@ def search_neighbours(
         parts = zip(*out) if out else ([np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0)])
         return pd.DataFrame(dict(zip(("query_id", "id", "score"), map(np.concatenate, parts))))
 
-    found = (
-        parts.groupBy("list", "piece")
-        .cogroup(routed.groupBy("list", "piece"))
-        .applyInPandas(scan, pairs)
-    )
+    def scanned(probing: DataFrame) -> DataFrame:
+        theirs, ours = parts.groupBy("list", "piece"), probing.groupBy("list", "piece")
+        return theirs.cogroup(ours).applyInPandas(scan, pairs)
+
     # A query whose best sample rows lie in lists that it does not probe still has k rows.
-    found = found.unionByName(seeds).groupBy("query_id", "id").agg(F.max("score").alias("score"))
+    early = stored(scanned(routed.filter("early").drop("early")).unionByName(seeds), "early")
+    early = early.groupBy("query_id", "id").agg(F.max("score").alias("score"))
+    place = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "id"))
+    early = early.withColumn("place", place).filter(F.col("place") <= k)
+    kth = early.filter(F.col("place") == k).select(F.col("query_id").alias("id"), F.col("score").alias("kth"))
+    late = routed.filter("NOT early").join(kth, "id", "left")
+    late = late.select("id", "v", F.greatest("floor", "kth").alias("floor"), "list", "piece")
+    found = early.drop("place").unionByName(scanned(late))
+    found = found.groupBy("query_id", "id").agg(F.max("score").alias("score"))
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "id")
     ranked = found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
     return ranked.select("query_id", "rank", F.col("id").alias(id_col), "score")
