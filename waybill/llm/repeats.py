@@ -156,7 +156,7 @@ def remove_repeats(
     id are texts of their own, and a repeated row repeats its windows.  Of other columns only
     ``keep`` is read.  An empty table gives an empty result.
     """
-    rows, names = carried(docs, keep, text_col)
+    rows, names, _ = carried(docs, keep, text_col)
     # Equal texts have equal ranges, so a hash of the row's kept columns and text may stand
     # for the row; the columns spread the rows of a hot text.
     rows = rows.withColumn("key", F.xxhash64(*names, "text"))
@@ -177,7 +177,10 @@ def remove_repeats(
     found = stored(
         rows.select("key", "text").mapInArrow(outline, "key long, first int, n int, minimiser long"), "super-kmers"
     )
+    # Written, so that both sides of the join are dealt out for it alone and Spark may split
+    # the rows of a common minimiser.
     often = found.groupBy("minimiser").agg(F.count("*").alias("times")).filter("times > 1")
+    often = stored(often, "often")
     wanted = F.struct("first", "n", "minimiser", (F.col("times") > hot).alias("hot"))
     wanted = found.join(often, "minimiser").groupBy("key").agg(F.sort_array(F.collect_set(wanted)).alias("parts"))
 
