@@ -34,11 +34,11 @@ class Encoder:
     """
 
     def __init__(self, path: str):
-        self.slow = tokenizers.Tokenizer.from_file(path)
-        self.fast = None
+        self.fast = self.slow = None
         try:
             spec = load_vocabulary(path)
         except ValueError:
+            self.slow = tokenizers.Tokenizer.from_file(path)
             return
         byte_of = {c: b for b, c in enumerate(byte_letters())}
         vocab = spec["model"]["vocab"]
@@ -50,6 +50,8 @@ class Encoder:
             self.fast = tiktoken.Encoding(
                 "vocabulary", pat_str=WORD.pattern, mergeable_ranks=plain, special_tokens=added
             )
+        else:
+            self.slow = tokenizers.Tokenizer.from_file(path)
 
     def encode(self, text: str) -> list[int]:
         if self.fast is None:

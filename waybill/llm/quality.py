@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from waybill.llm.common import carried, schema_with
+from waybill.llm.common import carried, schema_with, texts_of
 
 #: Statistics of a text, in the order in which ``statistics`` gives them.
 STATISTICS = (
@@ -98,11 +98,11 @@ def with_statistics(docs: DataFrame, keep: Sequence[str] = ("doc_id",), text_col
     NULL and empty texts have zeros.  Rows stay apart, so NULL and repeated ids do no harm;
     of other columns only ``keep`` is read.
     """
-    rows, names = carried(docs, keep, text_col)
+    rows, names, text_name = carried(docs, keep, text_col, once=True)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            x = [statistics(text.as_py()) for text in batch.column("text")]
+            x = [statistics(text) for text in texts_of(batch.column(text_name))]
             found = pa.array(x, pa.list_(pa.float64()))
             yield pa.RecordBatch.from_arrays([*map(batch.column, names), found], [*names, "x"])
 
@@ -110,6 +110,23 @@ def with_statistics(docs: DataFrame, keep: Sequence[str] = ("doc_id",), text_col
     return found.select(*(F.col(n).alias(c) for n, c in zip(names, keep)), "x")
 
 
+def good_rows(docs: DataFrame, scorer: Scorer | None, text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` that score at least 0.5 (all without a scorer), as they are."""
+    if scorer is None:
+        return docs
+    rows, names, text_name = carried(docs, docs.columns, text_col, once=True)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for start in range(0, batch.num_rows, 500):
+                part = batch.slice(start, 500)
+                x = np.array([statistics(text) for text in texts_of(part.column(text_name))])
+                yield part.select(names).filter(pa.array(scorer.score(x) >= 0.5))
+
+    kept = rows.mapInArrow(run, schema_with(rows, names, ""))
+    return kept.select(*(F.col(n).alias(c) for n, c in zip(names, docs.columns)))
+
+
 def _matrix(column: pa.Array) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), len(STATISTICS))
 

@@ -8,6 +8,7 @@ its score and the offending offsets.
 
 from __future__ import annotations
 
+import json
 import math
 import re
 from collections import Counter
@@ -21,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from waybill.llm.common import Memo, carried, schema_with
+from waybill.llm.common import Memo, carried, schema_with, texts_of
 
 #: Letters of the beginnings that count as features beside the whole word.
 BEGINNINGS = (4, 5, 6)
@@ -121,15 +122,22 @@ def toxic_features(
     Their rate there is at least ``exp(odds)`` times that in others, and chance would give
     such a share with a probability of about ``exp(-surprise)`` at most.
     """
-    counts = (Counter(), Counter())
-    for text, label in zip(texts, labels):
-        counts[label].update({f for word in set(text.split()) for f in features(word)})
     totals = [labels.count(0), labels.count(1)]
+    toxic_counts: Counter = Counter()
+    for text, label in zip(texts, labels):
+        if label:
+            toxic_counts.update({f for word in set(text.split()) for f in features(word)})
+    # Others are counted only where enough toxic documents have the feature.
+    often = {f: n for f, n in toxic_counts.items() if n > 2 and len(f) > 3}
+    clean_counts: Counter = Counter()
+    for text, label in zip(texts, labels):
+        if not label:
+            clean_counts.update({f for word in set(text.split()) for f in features(word) if f in often})
     found = set()
-    for f, toxic in counts[1].items():
-        clean = counts[0][f]
+    for f, toxic in often.items():
+        clean = clean_counts[f]
         rate = math.log((toxic + 0.1) / (totals[1] + 1)) - math.log((clean + 0.1) / (totals[0] + 1))
-        if len(f) > 3 and rate >= odds:
+        if rate >= odds:
             share = totals[1] / sum(totals)
             n = toxic + clean
             likely = toxic * math.log(toxic / (n * share))
@@ -156,38 +164,38 @@ def train_field(
     if not (0 in labels and 1 in labels):
         return None
     toxic = toxic_features(texts, labels)
-    names: dict[str, int] = {}
-    vocabulary: dict[str, int] = {}
-    rows, cols, word_toxic, word_ends = [], [], [], []
-    tokens, sizes = [], []
-    for text in texts:
-        words = text.split()
-        sizes.append(len(words))
-        for word in words:
-            if (i := vocabulary.setdefault(word, len(vocabulary))) == len(word_toxic):
-                found = features(word)
-                word_toxic.append(not toxic.isdisjoint(found))
-                word_ends.append(ends_sentence(word))
-                rows.extend([i] * len(found))
-                cols.extend(names.setdefault(f, len(names)) for f in found)
-            tokens.append(i)
-    everything, sizes = np.array(tokens), np.array(sizes)
-    rows, cols, n_words = np.array(rows), np.array(cols), len(vocabulary)
-    toxic_at, ends_at = np.array(word_toxic, dtype=float), np.array(word_ends)
-    all_starts, all_lengths = _chains(ends_at[everything], sizes)
-    reach = np.concatenate(([0], np.cumsum(toxic_at[everything])))
-    hit = reach[all_starts + all_lengths] > reach[all_starts]
+    # 1 for a toxic word, and 2 more for one that ends its sentence.
+    codes = Memo(lambda w: int(not toxic.isdisjoint(features(w))) + 2 * ends_sentence(w), 150_000)
+    found = []
+    for k, text in enumerate(texts):
+        code = np.fromiter(map(codes.__getitem__, text.split()), np.int64)
+        first, size = _chains(code >= 2, np.array([len(code)]))
+        reach = np.concatenate(([0], np.cumsum(code % 2)))
+        hit = reach[first + size] > reach[first]
+        found.append(np.stack([np.full(len(first), k), first, size, hit]))
+    found = np.concatenate(found, axis=1)
     random = np.random.default_rng(7)
     picked = [
-        random.permutation(np.flatnonzero((hit == side) & (all_lengths <= longest)))[: sentences // 2]
-        for side in (True, False)
+        random.permutation(np.flatnonzero((found[3] == side) & (found[2] <= longest)))[: sentences // 2]
+        for side in (1, 0)
     ]
-    picked = np.concatenate(picked)
-    places = [np.arange(all_starts[i], all_starts[i] + all_lengths[i]) for i in picked]
-    tokens = everything[np.concatenate(places)]
+    picked = found[:, np.sort(np.concatenate(picked))]
+    names: dict[str, int] = {}
+    vocabulary: dict[str, int] = {}
+    rows, cols, tokens, last = [], [], [], (-1, [])
+    for k, first, size in picked[:3].T.tolist():
+        if last[0] != k:
+            last = (k, texts[k].split())
+        for word in last[1][first : first + size]:
+            if word not in vocabulary:
+                cols_of = [names.setdefault(f, len(names)) for f in features(word)]
+                rows.extend([len(vocabulary)] * len(cols_of))
+                cols.extend(cols_of)
+            tokens.append(vocabulary.setdefault(word, len(vocabulary)))
+    tokens, rows, cols, n_words = np.array(tokens), np.array(rows), np.array(cols), len(vocabulary)
+    y = (np.fromiter(map(codes.__getitem__, vocabulary), np.int64) % 2).astype(float)[tokens]
     ends = np.zeros(len(tokens), dtype=bool)
-    ends[np.cumsum(all_lengths[picked]) - 1] = True
-    y = toxic_at[tokens]
+    ends[np.cumsum(picked[2]) - 1] = True
     starts, lengths = _chains(ends, np.array([len(tokens)]))
     inside = np.ones(len(tokens), dtype=bool)
     inside[starts] = False
@@ -224,16 +232,15 @@ def train_field(
         moves[0, 0] = 0.0
         bias += move[4]
 
-    emission = (np.bincount(rows, weights[cols], n_words) + bias)[everything]
-    logits, _ = marginal_logits(emission, all_starts, all_lengths, moves)
-    x = _document_terms(logits, sizes)
     field = Field(
         {f: float(weights[i]) for f, i in names.items() if abs(weights[i]) > 1e-3},
         float(bias),
         tuple(map(tuple, moves.tolist())),
-        _fit_logistic(x, np.array(labels, dtype=float)),
+        (0.0, 0.0, 0.0),
     )
-    return field
+    scores = Memo(lambda word: _word_score(field, word), 150_000)
+    x = [_document_terms(*_logits(field, scores, texts[i : i + 500])) for i in range(0, len(texts), 500)]
+    return field._replace(score=_fit_logistic(np.concatenate(x), np.array(labels, dtype=float)))
 
 
 def _document_terms(logits: np.ndarray, sizes: np.ndarray) -> np.ndarray:
@@ -260,7 +267,7 @@ def _fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2) -> tuple[fl
 def learn_field(
     docs: DataFrame,
     labels: DataFrame,
-    per_class: int = 3000,
+    per_class: int = 2000,
     longest: int = 20_000,
     id_col: str = "doc_id",
     text_col: str = "text",
@@ -269,8 +276,8 @@ def learn_field(
     """Trains on a bounded sample of labelled documents, chosen by a hash of their id.
 
     At most ``per_class`` toxic documents and twice as many others, of at most ``longest``
-    characters, go to the driver.  Labels other than 0 and 1 and NULL ids are not used.  None if a class has
-    no document.
+    characters, go to the one task that trains; only the field comes to the driver.  Labels
+    other than 0 and 1 and NULL ids are not used.  None if a class has no document.
     """
     wanted = labels.select(F.col(id_col).alias("id"), F.col(label_col).alias("label")).filter("id IS NOT NULL")
     ids = None
@@ -282,29 +289,47 @@ def learn_field(
     )
     # At most 3 * per_class ids are broadcast.
     sample = texts.join(F.broadcast(ids), "id").orderBy(F.xxhash64("id"), "id", "text").limit(3 * per_class)
-    rows = sample.select("text", F.col("label").cast("int").alias("label")).toPandas()
-    return train_field(rows["text"].tolist(), rows["label"].tolist())
+
+    def train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        given, marks = [], []
+        for batch in batches:
+            given += batch.column("text").to_pylist()
+            marks += batch.column("label").to_pylist()
+        field = train_field(given, marks)
+        yield pa.RecordBatch.from_arrays([pa.array([json.dumps(field)])], ["field"])
+
+    rows = sample.select("text", F.col("label").cast("int").alias("label")).mapInArrow(train, "field string")
+    found = [field for row in rows.collect() if (field := json.loads(row["field"]))]
+    return Field(*found[0]) if found else None
 
 
 def tag_toxicity(
-    docs: DataFrame, field: Field | None, keep: Sequence[str] = ("doc_id",), text_col: str = "text"
+    docs: DataFrame,
+    field: Field | None,
+    keep: Sequence[str] = ("doc_id",),
+    text_col: str = "text",
+    clean_only: bool = False,
 ) -> DataFrame:
     """The columns ``keep``, then ``score, predicted, spans`` of each row, map-only.
 
     ``spans`` are the character offsets ``(start, end)`` of words that are rather toxic than
     not; ``predicted`` is 1 from a score of 0.5 on.  Whole texts are read.  NULL and empty
     texts get the score of a text without any toxic word, without a field every score is 0.
-    NULL or repeated ids change nothing, and of other columns only ``keep`` is read.
+    NULL or repeated ids change nothing, and of other columns only ``keep`` is read.  With
+    ``clean_only`` the rows predicted 0 come back, with the columns ``keep`` alone.
     """
-    rows, names = carried(docs, keep, text_col)
+    rows, names, text_name = carried(docs, keep, text_col, once=True)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scores = Memo(lambda word: _word_score(field, word)) if field else None
+        scores = Memo(lambda word: _word_score(field, word), 150_000) if field else None
         for batch in batches:
-            for start in range(0, batch.num_rows, 1000):
-                part = batch.slice(start, 1000)
-                texts = part.column("text").to_pylist()
+            for start in range(0, batch.num_rows, 500):
+                part = batch.slice(start, 500)
+                texts = texts_of(part.column(text_name))
                 score, spans = _tag(field, scores, texts) if field else (np.zeros(len(texts)), [[] for _ in texts])
+                if clean_only:
+                    yield part.select(names).filter(pa.array(score < 0.5))
+                    continue
                 yield pa.RecordBatch.from_arrays(
                     [
                         *map(part.column, names),
@@ -316,8 +341,11 @@ def tag_toxicity(
                 )
 
     found = "score double, predicted int, spans array<struct<start:int,end:int>>"
+    kept = [F.col(n).alias(c) for n, c in zip(names, keep)]
+    if clean_only:
+        return rows.mapInArrow(run, schema_with(rows, names, "")).select(*kept)
     tagged = rows.mapInArrow(run, schema_with(rows, names, found))
-    return tagged.select(*(F.col(n).alias(c) for n, c in zip(names, keep)), "score", "predicted", "spans")
+    return tagged.select(*kept, "score", "predicted", "spans")
 
 
 def _word_score(field: Field, word: str) -> float:
@@ -326,14 +354,18 @@ def _word_score(field: Field, word: str) -> float:
     return score + ENDS if ends_sentence(word) else score
 
 
-def _tag(field: Field, scores: Memo, texts: list[str]) -> tuple[np.ndarray, list[list[dict]]]:
+def _logits(field: Field, scores: Memo, texts: Sequence[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Marginal logits of all words of some texts, and how many words each has."""
     words = [text.split() for text in texts]
     sizes = np.array([len(w) for w in words])
     emission = np.fromiter(map(scores.__getitem__, chain.from_iterable(words)), float, sizes.sum())
     ends = emission > ENDS / 2
     emission[ends] -= ENDS
-    starts, lengths = _chains(ends, sizes)
-    logits, _ = marginal_logits(emission, starts, lengths, field.moves)
+    return marginal_logits(emission, *_chains(ends, sizes), field.moves)[0], sizes
+
+
+def _tag(field: Field, scores: Memo, texts: list[str]) -> tuple[np.ndarray, list[list[dict]]]:
+    logits, sizes = _logits(field, scores, texts)
     c, a, b = field.score
     x = _document_terms(logits, sizes)
     spans: list[list[dict]] = [[] for _ in texts]

@@ -25,7 +25,7 @@ class Words:
         self.sizes = np.fromiter(map(len, self.of), np.int64, len(self.of))
         self.ends = np.cumsum(self.sizes)
         self.starts = self.ends - self.sizes
-        memo = per_worker("word hashes", lambda: Memo(xxhash.xxh3_64_intdigest))
+        memo = per_worker("word hashes", lambda: Memo(xxhash.xxh3_64_intdigest, 100_000))
         self.hashes = np.fromiter(
             map(memo.__getitem__, chain.from_iterable(self.of)), np.uint64, int(self.sizes.sum())
         )
