@@ -14,22 +14,16 @@ from pyspark.sql import functions as F
 from waybill.llm.common import crc_of_id, stored
 from waybill.llm.jaccard import one_of_each_class
 from waybill.llm.packing import pack_documents
-from waybill.llm.quality import add_quality, learn_quality, with_statistics
+from waybill.llm.quality import good_rows, learn_quality, with_statistics
 from waybill.llm.repeats import remove_repeats
 from waybill.llm.toxicity import learn_field, tag_toxicity
 
 
-def whole_rows(docs: DataFrame) -> DataFrame:
-    """Rows as one column, whatever their columns are called, and the text beside it."""
-    return docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), "text")
-
-
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that are not rather toxic."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     field = learn_field(docs, labels.filter(crc_of_id(F.col("doc_id")) % 5 != 0))
-    tagged = tag_toxicity(whole_rows(docs), field, keep=["row"])
-    return tagged.filter("predicted = 0").select("row.*")
+    return tag_toxicity(docs, field, keep=docs.columns, clean_only=True)
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -38,9 +32,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     known = labels.filter(crc_of_id(F.col("doc_id")) % 3 != 1)
     known = known.select("doc_id", F.col("quality").alias("label"))
     rows = stored(with_statistics(docs), "statistics")
-    scorer = learn_quality(rows, rows.join(known, "doc_id"))
-    scored = add_quality(with_statistics(whole_rows(docs), keep=["row"]), scorer, keep=["row"])
-    return scored.filter("predicted = 1").select("row.*")
+    return good_rows(docs, learn_quality(rows, rows.join(known, "doc_id")))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
