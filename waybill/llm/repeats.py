@@ -83,6 +83,20 @@ class Sender:
         self.sent: dict[bytes, bool] = {}
         self.bytes = 0
         self.rows: list[tuple[int, bytes | None, int | None, int, int]] = []
+        self.marked: int | None = None
+
+    def mark(self, key: int, first: int, n: int) -> None:
+        """A range to remove; one that meets the last one of the same text makes that longer.
+
+        Without a string a row only passes through, by way of its text's hash.
+        """
+        if self.marked is not None:
+            _, _, last_key, start, length = self.rows[self.marked]
+            if last_key == key and start <= first <= start + length:
+                self.rows[self.marked] = (key, None, key, start, max(length, first + n - start))
+                return
+        self.marked = len(self.rows)
+        self.rows.append((key, None, key, first, n))
 
     def send(self, bucket: int, packed: bytes, key: int, first: int, n: int) -> None:
         told = self.sent.get(packed)
@@ -94,15 +108,14 @@ class Sender:
             self.sent[packed] = False
             self.rows.append((bucket, packed, key, first, n))
             return
-        # Without a string a row is a mark that only passes through, by way of its text's hash.
-        self.rows.append((key, None, key, first, n + self.window - 1))
+        self.mark(key, first, n + self.window - 1)
         if not told:
             self.sent[packed] = True
             self.rows.append((bucket, packed, None, first, n))
 
     def take(self) -> pa.RecordBatch:
         columns = zip(*self.rows) if self.rows else ([], [], [], [], [])
-        self.rows = []
+        self.rows, self.marked = [], None
         types = (pa.int64(), pa.binary(), pa.int64(), pa.int32(), pa.int32())
         return pa.RecordBatch.from_arrays(
             [pa.array(c, t) for c, t in zip(columns, types)], ["bucket", "packed", "key", "first", "n"]
