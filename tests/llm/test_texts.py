@@ -156,6 +156,89 @@ def test_search_finds_every_partner():
         assert sorted(family.partners(i).tolist()) == want
 
 
+def joined(near: list[set[int]]) -> set[frozenset]:
+    """Groups of linked sets, by union-find over all links."""
+    root = list(range(len(near)))
+
+    def find(i: int) -> int:
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i, found in enumerate(near):
+        for j in found:
+            root[find(i)] = find(j)
+    return parts([find(i) for i in range(len(near))])
+
+
+def parts(group: list[int]) -> set[frozenset]:
+    return {frozenset(i for i, g in enumerate(group) if g == h) for h in set(group)}
+
+
+def chain(start: int, length: int) -> list[np.ndarray]:
+    """Sets of one size, each linked to the one before and the one after it only."""
+    return [np.arange(start + 2 * i, start + 2 * i + 18, dtype=np.uint64) for i in range(length)]
+
+
+def linked_pairs(sets: list[np.ndarray]) -> list[set[int]]:
+    """The sets linked to each, by comparing all pairs."""
+    shared = [[len(np.intersect1d(a, b)) for b in sets] for a in sets]
+    return [
+        {j for j, b in enumerate(sets) if 100 * shared[i][j] >= 80 * (len(a) + len(b) - shared[i][j])}
+        for i, a in enumerate(sets)
+    ]
+
+
+class Links(Family):
+    """A family of given links."""
+
+    def __init__(self, near: list[set[int]]):
+        self.sets, self.near = near, near
+
+    def partners(self, x: int) -> np.ndarray:
+        return np.array(sorted(self.near[x] | {x}))
+
+
+def test_groups_when_the_largest_changes_between_passes():
+    path = dict(zip([0, 1, 3, 2, 4, 6, 5, 7], chain(0, 8)))
+    # Linked to set 5 only.
+    path[8] = np.unique(np.append(np.delete(path[5], [8, 9]), [100, 101])).astype(np.uint64)
+    sets = [path[i] for i in range(9)]
+    near = linked_pairs(sets)
+    links = {(i, j) for i, found in enumerate(near) for j in found if i < j}
+    assert links == {(0, 1), (2, 3), (2, 4), (5, 6), (5, 7), (5, 8), (1, 3), (4, 6)}
+    assert parts(Family(sets, 80).groups().tolist()) == joined(near) == {frozenset(range(9))}
+
+
+def test_groups_of_chains_in_any_order():
+    rng = random.Random(3)
+    for _ in range(40):
+        sets = [s for k in range(rng.randint(1, 3)) for s in chain(1000 * k, rng.randint(1, 25))]
+        rng.shuffle(sets)
+        assert parts(Family(sets, 80).groups().tolist()) == joined(linked_pairs(sets))
+
+
+@pytest.mark.parametrize("in_order", [True, False])
+def test_groups_of_linked_stars(in_order):
+    """Stars of which each is larger than those before it, joined by links between their leaves."""
+    rng = random.Random(7)
+    for _ in range(2000):
+        starts = [0]
+        for k in range(rng.randint(2, 6)):
+            starts.append(starts[-1] + k + rng.randint(1, 3))
+        number = list(range(starts[-1]))
+        if not in_order:
+            rng.shuffle(number)
+        leaves = [range(a + 1, b) for a, b in zip(starts, starts[1:]) if b > a + 1]
+        links = [(a, i) for a, b in zip(starts, starts[1:]) for i in range(a + 1, b)]
+        links += [tuple(rng.choice(rng.choice(leaves)) for _ in "ab") for _ in range(rng.randint(1, 6))] if leaves else []
+        near: list[set[int]] = [set() for _ in number]
+        for a, b in links:
+            near[number[a]].add(number[b])
+            near[number[b]].add(number[a])
+        assert parts(Links(near).groups().tolist()) == joined(near)
+
+
 def test_linked_sets_share_what_is_required():
     rng = random.Random(9)
     for _ in range(3000):
