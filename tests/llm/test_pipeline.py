@@ -1,9 +1,14 @@
 """The stages of the pipeline, each on its predecessor's rows."""
 
 import os
+import struct
+import zlib
+from collections import Counter
 
+import public_tokenizers
 import pytest
 from tests.llm.test_texts import classes, left_over
+from tokenizers import Tokenizer
 
 import corpus_pipeline
 from waybill.llm.queries import QUERIES
@@ -66,3 +71,48 @@ def test_whole_pipeline(spark):
             assert offset == ends[-1]
             ends.append(offset + length)
         assert ends[-1] <= 1024
+
+
+def what_stays(spark, name, docs, labels, folder):
+    """Rows that a stage must make of ``docs``: by its query's predictions on them, or by brute force."""
+    given = [r.asDict() for r in docs.collect()]
+    texts = [(r["doc_id"], r["text"]) for r in given]
+    if name in ("toxicity", "quality classifier"):
+        docs.write.parquet(f"{folder}/documents.parquet")
+        labels.write.parquet(f"{folder}/labels.parquet")
+        query, stays = {"toxicity": ("op7_toxicity", 0), "quality classifier": ("op9_quality", 1)}[name]
+        predicted = {r["doc_id"]: r["predicted"] for r in QUERIES[query].run(spark, folder).collect()}
+        assert len(predicted) == len(given)
+        return [r for r in given if predicted[r["doc_id"]] == stays]
+    if name == "n-gram Jaccard join":
+        first = {d: c for d, n, c in classes(texts, 5, 80) if n}
+        return [r for r in given if first.get(r["doc_id"], r["doc_id"]) == r["doc_id"]]
+    rest = [kept for _, _, kept in left_over([t for _, t in texts], 35)]
+    return [r | {"text": kept, "n_chars": len(kept)} for r, kept in zip(given, rest)]
+
+
+def pieces_of(rows, capacity=1024, end_id=2):
+    """``doc_id, piece, start, length, ids_crc32`` of all rows, by the tokenizers library."""
+    library = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    found = Counter()
+    for r in rows:
+        ids = [*library.encode(r["text"], add_special_tokens=False).ids, end_id]
+        first = len(ids) % capacity or capacity
+        cuts = [0, *range(first, len(ids) + 1, capacity)]
+        for piece, (a, b) in enumerate(zip(cuts, cuts[1:])):
+            found[r["doc_id"], piece, a, b - a, zlib.crc32(struct.pack(f"<{b - a}I", *ids[a:b]))] += 1
+    return found
+
+
+def test_whole_pipeline_keeps_every_decision_of_its_stages(spark, docs, tmp_path):
+    labels = spark.read.parquet(f"{FOLDER}/labels.parquet")
+    left = docs
+    for i, (name, stage) in enumerate(corpus_pipeline.STAGES[:-1]):
+        want = what_stays(spark, name, left, labels, f"{tmp_path}/{i}")
+        rows = Counter(tuple(r[c] for c in docs.columns) for r in want)
+        assert Counter(map(tuple, stage(spark, left, FOLDER).collect())) == rows, name
+        # Each stage has something to do.
+        assert rows != Counter(map(tuple, left.collect())), name
+        left = spark.createDataFrame([tuple(r[c] for c in docs.columns) for r in want], docs.schema)
+    got = corpus_pipeline.run(spark, FOLDER).collect()
+    assert Counter((r["doc_id"], r["piece"], r["start"], r["length"], r["ids_crc32"]) for r in got) == pieces_of(want)
