@@ -1,8 +1,9 @@
-"""The ten queries over the given tables, and the SQL of those that SQL can express."""
+"""The queries over the given tables, and the SQL of those that SQL can express."""
 
 from __future__ import annotations
 
 import functools
+import string
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
@@ -12,6 +13,7 @@ import corpus_pipeline
 from waybill.llm.ann import search_neighbours
 from waybill.llm.chat import BREAK, END, NEXT, START, format_conversations, read_loss, read_turns
 from waybill.llm.common import crc_of_id, stored
+from waybill.llm.decontaminate import mark_benchmark_words
 from waybill.llm.exact_topk import exact_top_k, scaled
 from waybill.llm.jaccard import near_duplicate_classes
 from waybill.llm.packing import pack_documents
@@ -167,6 +169,53 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicate_classes(table(spark, sf_dir, "documents"), words=5, percent=80)
 
 
+_OP12_WORDS = r"regexp_extract_all(translate({}, '{}', '{}'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')".format(
+    "coalesce(text, '')", string.ascii_uppercase, string.ascii_lowercase
+)
+
+OP12_SQL = f"""
+WITH items AS (
+    SELECT CAST(item_id AS VARCHAR) AS item, {_OP12_WORDS} AS words FROM benchmark
+), windows AS (
+    SELECT DISTINCT item, least(len(words), 10) AS m, list_aggregate(words[i:i + least(len(words), 10) - 1], 'string_agg', ' ') AS w
+    FROM (SELECT *, unnest(range(1, len(words) - least(len(words), 10) + 2)) AS i FROM items WHERE len(words) > 0)
+), docs AS (
+    SELECT doc_id, row_number() OVER () AS r, {_OP12_WORDS} AS words FROM documents
+), found AS (
+    SELECT DISTINCT r, i, m, item
+    FROM (
+        SELECT r, i, m, list_aggregate(words[i:i + m - 1], 'string_agg', ' ') AS w
+        FROM (
+            SELECT r, words, m, unnest(range(1, len(words) - m + 2)) AS i
+            FROM docs, (SELECT DISTINCT m FROM windows) WHERE len(words) >= m
+        )
+    ) JOIN windows USING (m, w)
+), words AS (
+    SELECT r, count(DISTINCT p) AS n_hit FROM (SELECT r, unnest(range(i, i + m)) AS p FROM found) GROUP BY r
+), hit_items AS (
+    SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+    FROM (SELECT DISTINCT r, item FROM found) GROUP BY r
+)
+SELECT doc_id, CAST(len(docs.words) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+    sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM docs LEFT JOIN words w USING (r) LEFT JOIN hit_items USING (r)
+"""
+
+
+@query(OP12_SQL)
+def op12_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, items = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    marked = mark_benchmark_words(docs, items, window=10)
+    return marked.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
 @query(corpus_pipeline.ORACLE_SQL)
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
