@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from waybill.llm.ann import search_neighbours
+from waybill.llm.centroids import cluster_vectors, with_inertia
 from waybill.llm.chat import BREAK, END, NEXT, START, format_conversations, read_loss, read_turns
 from waybill.llm.common import crc_of_id, stored
 from waybill.llm.decontaminate import mark_benchmark_words
@@ -216,6 +217,61 @@ def op12_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFram
     )
 
 
+def _nearest_sql(i: int) -> str:
+    """Every vector's nearest centroid of table ``c{i}``."""
+    return f"""a{i} AS (
+    SELECT r, cluster, d AS distance FROM (
+        SELECT r, cluster, list_sum(list_transform(range(1, 65), lambda j: (v[j] - c[j]) * (v[j] - c[j])))::BIGINT AS d
+        FROM kept, c{i}
+    ) QUALIFY row_number() OVER (PARTITION BY r ORDER BY d, cluster) = 1
+)"""
+
+
+def _round_sql(i: int) -> str:
+    """Table ``c{i}`` from the assignment before."""
+    return f"""c{i} AS (
+    SELECT cluster, coalesce(n, c) AS c FROM c{i - 1} LEFT JOIN (
+        SELECT cluster, list(m ORDER BY j) AS n FROM (
+            SELECT cluster, j, floor(sum(v[j]) / count(*))::BIGINT AS m
+            FROM a{i - 1} JOIN kept USING (r), range(1, 65) AS js(j) GROUP BY cluster, j
+        ) GROUP BY cluster
+    ) USING (cluster)
+)"""
+
+
+CLUSTERS, ROUNDS = 40, 5
+OP13_SQL = f"""
+WITH kept AS MATERIALIZED (
+    SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v
+    FROM embeddings
+    WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), c0 AS MATERIALIZED (
+    SELECT (row_number() OVER (ORDER BY sha256('2:' || vec_id), v) - 1)::INTEGER AS cluster, v AS c FROM kept
+    ORDER BY sha256('2:' || vec_id), v LIMIT {CLUSTERS}
+), {_nearest_sql(0)},
+{", ".join(f"{_round_sql(i)}, {_nearest_sql(i)}" for i in range(1, ROUNDS + 1))}
+SELECT vec_id, cluster, distance, sum(distance) OVER (PARTITION BY cluster)::BIGINT AS cluster_inertia,
+    sum(distance) OVER ()::BIGINT AS inertia, sha256(array_to_string(c, ',')) AS centroid_sha256
+FROM a{ROUNDS} JOIN kept USING (r) JOIN c{ROUNDS} USING (cluster)
+"""
+
+
+@query(OP13_SQL)
+def op13_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    assigned, centroids = cluster_vectors(table(spark, sf_dir, "embeddings"), clusters=CLUSTERS, rounds=ROUNDS, seed=2)
+    texts = [",".join(map(str, c)) for c in centroids.tolist()]
+    # One text per cluster, at most CLUSTERS.
+    text = F.get(F.array(*map(F.lit, texts)).cast("array<string>"), F.col("cluster"))
+    return with_inertia(assigned).select(
+        F.col("id").alias("vec_id"),
+        "cluster",
+        "distance",
+        "cluster_inertia",
+        "inertia",
+        F.sha2(text.cast("binary"), 256).alias("centroid_sha256"),
+    )
+
+
 @query(corpus_pipeline.ORACLE_SQL)
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
