@@ -143,7 +143,9 @@ def mark_benchmark_words(
             runs = [F.when(of_length == n, r).otherwise(none) for n, r in zip(lengths, runs)]
         return F.concat(none, *runs)
 
+    # What is joined on keys that may be hot is written first: Spark splits only plain reads.
     prints = asked.select(F.inline(all_runs(F.col("words"), F.col("length")))).select("hash", "length").distinct()
+    prints = stored(prints, "benchmark-fingerprints")
     starts = F.sequence(F.lit(0), F.size("words") - F.col("length"))
     windows = (
         asked.select("item", "words", "length", F.explode(starts).alias("start"))
@@ -151,6 +153,7 @@ def mark_benchmark_words(
         .groupBy("window")
         .agg(F.sort_array(F.collect_set("item")).alias("items"))
     )
+    windows = stored(windows, "benchmark-windows")
 
     text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
     kept = [F.col(f"`{c}`").alias(f"k{i}") for i, c in enumerate(keep)]
@@ -167,7 +170,7 @@ def mark_benchmark_words(
 
     runs = prepared.select("key", F.inline("runs"))
     met = runs.join(prints, ["hash", "length"], "left_semi")
-    met = met.groupBy("key").agg(F.collect_set(F.struct("start", "stop", "length")).alias("runs"))
+    met = stored(met.groupBy("key").agg(F.collect_set(F.struct("start", "stop", "length")).alias("runs")), "met")
     texts = docs.select(F.xxhash64(text).alias("key"), text.alias("text")).join(met, "key")
 
     def candidates(words: Column) -> Column:
@@ -207,7 +210,7 @@ def mark_benchmark_words(
         lambda all_of: F.transform(all_of, lambda r: F.struct(r["start"].alias("start"), r["stop"].alias("stop"))),
     )
     hits = hits.select("digest", "items", F.size("places").cast("long").alias("n_hit"), spans.alias("spans"))
-    joined = prepared.drop("runs", "key").join(hits, "digest", "left")
+    joined = prepared.drop("runs", "key").join(stored(hits, "hits"), "digest", "left")
     return joined.select(
         *(F.col(name).alias(c) for name, c in zip(names, keep)),
         "n_words",
