@@ -20,6 +20,7 @@ from waybill.llm.jaccard import near_duplicate_classes
 from waybill.llm.packing import pack_documents
 from waybill.llm.pieces import encode_pieces
 from waybill.llm.quality import add_quality, learn_quality, with_statistics
+from waybill.llm.repair import damaged, repair_conversations, repair_digests
 from waybill.llm.repeats import remove_repeats
 from waybill.llm.token_counts import count_tokens
 from waybill.llm.toxicity import learn_field, tag_toxicity
@@ -170,6 +171,12 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicate_classes(table(spark, sf_dir, "documents"), words=5, percent=80)
 
 
+@query()
+def op11_structure_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    parts = repair_conversations(damaged(table(spark, sf_dir, "conversations")), copies_col="copies")
+    return repair_digests(parts).withColumnRenamed("conv", "conv_id")
+
+
 _OP12_WORDS = r"regexp_extract_all(translate({}, '{}', '{}'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')".format(
     "coalesce(text, '')", string.ascii_uppercase, string.ascii_lowercase
 )
