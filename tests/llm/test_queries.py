@@ -34,7 +34,7 @@ def rows(spark, name):
 @pytest.mark.parametrize("name", [name for name, query in QUERIES.items() if query.sql])
 def test_query_equals_its_sql(spark, name):
     con = duckdb.connect()
-    for table in ("conversations", "embeddings"):
+    for table in ("conversations", "embeddings", "documents", "benchmark"):
         con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{FOLDER}/{table}.parquet'")
     expected = con.execute(QUERIES[name].sql).df()
     assert comparable(QUERIES[name].run(spark, FOLDER).toPandas()) == comparable(expected)
