@@ -6,12 +6,21 @@ import re
 import time
 from datetime import datetime
 
+import pytest
 from pyspark.sql import functions as F
 
 from tests.test_dialect import texts
 from waybill.functions import patterns as P
 from waybill.functions.datetimes import combine_datetime
-from waybill.functions.fields import carrier_scope, carrier_steps, customer
+from waybill.functions.dialect import Pattern
+from waybill.functions.fields import (
+    broker_address_groups,
+    carrier_scope,
+    carrier_steps,
+    customer,
+    stop_address,
+    stop_place,
+)
 from waybill.functions.normalize import normalize_text
 from waybill.operators.extract import (
     count_stops,
@@ -135,7 +144,9 @@ def test_carrier_steps_never_change_the_result(spark):
     for row in carriers(spark, *sample):
         match = re.search(P.CARRIER.text, sample[row.source_file], re.I | re.S)
         hits += bool(match)
-        assert row.g == (list(match.groups()) if match else [""] * 9), sample[row.source_file]
+        # The table strips every value.
+        got = [value.strip() for value in row.g]
+        assert got == ([value.strip() for value in match.groups()] if match else [""] * 9), sample[row.source_file]
     assert 50 < hits < 300
 
 
@@ -167,6 +178,114 @@ def test_customer_never_changes_and_takes_linear_time(spark):
         assert time.perf_counter() - start < 5
 
 
+def read_groups(spark, column, values):
+    """What ``column`` reads from each text, stripped as the table does."""
+    rows = docs(spark, *values).select("source_file", column.alias("g")).collect()
+    out = {}
+    for row in rows:
+        groups = [row.g] if isinstance(row.g, str) else row.g
+        out[row.source_file] = [value.strip() for value in groups]
+    return [out[i] for i in range(len(values))]
+
+
+# For each field read in steps: its column, its pattern, and parts that make and break it.
+STEPS = {
+    "city": (
+        lambda: stop_place(F.col("text")), P.STOP_CITY,
+        ["City", "city", " ", "  ", ":", " :", ", ", ",", "FL", "abc", "é", "\n", "1", "KK", ", GA", "x, NC "],
+    ),
+    "pickup address": (
+        lambda: F.array(stop_address(F.col("text"), "pickup")), P.PICKUP_ADDRESS,
+        ["Address #1", "Address#1", " ", ":", " :", "\n", "12 abc", "Pick Time", "Pickup  Time", "(", ";", "#1", "Pick", "  ", "-"],
+    ),
+    "delivery address": (
+        lambda: F.array(stop_address(F.col("text"), "delivery")), P.DELIVERY_ADDRESS,
+        ["Address #1", "Address#1", " ", ":", " :", "\n", "12 abc", "(", ";", "#1", "  ", "-"],
+    ),
+    "broker address": (
+        lambda: broker_address_groups(F.col("text")), P.BROKER_ADDRESS,
+        [
+            "12", "1234567", " ", "  ", "a", "abc", ",", ", ", "\n", "#5", ".", ";", ", FL 33016", ",GA12345", " Miami, FL 33016",
+            "é", ", fl  331234", "x", "1 ", ",, ", "5th ",
+        ],
+    ),
+    "contact": (
+        None, Pattern(P.CARRIER_STEPS[-1], dot_all=True),
+        ["Contact", "contact", " ", ":", " :", "Jo", "Total", "Please Sign", "1", "(b", "\n", "  ", "Truck VIN Number", ","],
+    ),
+}
+
+
+@pytest.mark.parametrize("name", [name for name in STEPS if name != "contact"])
+def test_steps_never_change_the_result(spark, name):
+    column, pattern, parts = STEPS[name]
+    rng = random.Random(21)
+    values = ["".join(rng.choices(parts, k=rng.randint(0, 14))) for _ in range(4000)] + texts(5, 200)
+    hits = 0
+    for value, got in zip(values, read_groups(spark, column(), values)):
+        match = re.search(pattern.text, value, re.I)
+        hits += bool(match)
+        want = list(match.groups()) if match else [""] * pattern.groups
+        if name == "delivery address":
+            want = [re.sub(P.DELIVERY_ADDRESS_TAIL[0].text, "", want[0], flags=re.I)]
+        # The table strips every value and makes one space of a broker's white space.
+        want, got = ([re.sub(r"\s+", " ", group.strip()) for group in groups] for groups in (want, got))
+        assert got == want, value
+    assert hits > 100
+
+
+def test_contact_steps_never_change_the_result(spark):
+    _, pattern, parts = STEPS["contact"]
+    rng = random.Random(22)
+    ends = ["".join(rng.choices(parts, k=rng.randint(0, 14))) for _ in range(3000)]
+    head = "Trailer VIN Number 9 Carrier A MC # 1 Address: 2; City B, FL 40417 Phone 3 Fax 4"
+    values = [f"{head};{end}" for end in ends]
+    hits = 0
+    for row in carriers(spark, *values):
+        match = re.search(P.CARRIER.text, values[row.source_file], re.I | re.S)
+        hits += bool(match)
+        got = [value.strip() for value in row.g]
+        assert got == ([value.strip() for value in match.groups()] if match else [""] * 9), values[row.source_file]
+    assert hits > 100
+
+
+SLOW = {
+    "city": ["City abc " * 11_200, "City: " * 17_000, "City" + " " * 100_000, "City abc " * 11_200 + ", F1", "City abc, " * 10_000],
+    "pickup address": [
+        "Address #1 abc " * 6_700 + ";", "Address #1: " * 8_400, "Address #1" + " " * 100_000 + ";", "Address #1 Pick " * 6_300 + "("
+    ],
+    "delivery address": ["Address #1: " * 8_400, "Address #1" + ": " * 50_000, "Address " * 12_500],
+    "broker address": [
+        "12 abc def " * 9_100 + "; X, FL 33016", "12 abc def " * 9_100 + ", F1", "12 " + "abc def " * 12_500 + "#", "1 " * 50_000,
+        "12 " + "abc def " * 12_500 + "#1 X, FL 33016", "12 abc, FL " * 9_100, "12 " + " " * 100_000 + "é",
+    ],
+}
+
+
+@pytest.mark.parametrize("name", list(SLOW))
+def test_steps_take_linear_time(spark, name):
+    column = STEPS[name][0]
+    read_groups(spark, column(), [""])
+    for value in SLOW[name]:
+        assert len(value) >= 99_000
+        start = time.perf_counter()
+        read_groups(spark, column(), [value])
+        assert time.perf_counter() - start < 3, value[:30]
+
+
+def test_contact_and_carrier_city_take_linear_time(spark):
+    head = "Trailer VIN Number 9 Carrier A MC # 1 Address: 2; City B, FL 40417 Phone 3 Fax 4 "
+    carriers(spark, "")
+    for text in (
+        head + "Contact " * 12_500 + "1", head + "Contact: " * 11_200 + "1", head + "Total " * 16_700 + "1",
+        head + "Contact " * 12_500, head.replace("City", "City abc " * 11_200 + "; City") + "Contact B",
+        head.replace("City", "City abc " * 11_200 + "; City"), head + "Contact" + " " * 100_000 + "1",
+    ):
+        start = time.perf_counter()
+        carriers(spark, text)
+        assert time.perf_counter() - start < 3, text[80:120]
+
+
 STOPS = (
     "Pickup # 1\nCustomer: ONE CO\nPickup Date: 1/2/2024\nAddress #1: 1 A ST Pickup Time: 8:00 - 17:00\n"
     "City: REX, GA\nZip Code: 30273\n"

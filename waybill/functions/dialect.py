@@ -8,6 +8,7 @@ same groups on both sides while the work stays in the JVM.
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 from typing import NamedTuple
 
 from pyspark.sql import Column
@@ -41,18 +42,12 @@ _CASE_PARTNERS = {"i": r"\u0130\u0131", "k": r"\u212a", "s": r"\u017f"}
 
 
 class Pattern(NamedTuple):
-    """A pattern in Python ``re`` syntax with its flags.
-
-    ``guard`` is an optional Java pattern that matches exactly the texts ``text`` can
-    match, but in about linear time; it is tried first from the start of the text, so
-    that a text without a match never reaches the backtracking pattern.
-    """
+    """A pattern in Python ``re`` syntax with its flags."""
 
     text: str
     ignore_case: bool = True
     dot_all: bool = False
     multiline: bool = False
-    guard: str | None = None
 
     @property
     def groups(self) -> int:
@@ -122,6 +117,16 @@ def count_matches(col: Column, pattern: Pattern) -> Column:
     return F.regexp_count(col, F.lit(java(pattern)))
 
 
+def let(value: Column, then: Callable[[Column], Column]) -> Column:
+    """``then`` of a value that is computed once, however often ``then`` uses it."""
+    return F.get(F.transform(F.array(value), then), 0)
+
+
+def first_text(values: Column) -> Column:
+    """The first that is not empty of some texts, or ``''``."""
+    return F.coalesce(F.get(F.filter(values, lambda value: value != ""), 0), F.lit(""))
+
+
 def replace(col: Column, pattern: Pattern, replacement: str) -> Column:
     return F.regexp_replace(col, java(pattern), replacement)
 
@@ -135,8 +140,7 @@ def capture(col: Column, *patterns: Pattern) -> Column:
     """
     parts = []
     for pattern in patterns:
-        guard = f"(?={pattern.guard})" if pattern.guard else ""
-        parts.append(f"(?:{guard}(?=(?s:.*?){embedded(pattern)})|)")
+        parts.append(f"(?:(?=(?s:.*?){embedded(pattern)})|)")
     total = sum(pattern.groups for pattern in patterns)
     replacement = GROUP_SEPARATOR.join(f"${i}" for i in range(1, total + 1))
     whole = r"\A" + "".join(parts) + r"(?s:.*)\z"

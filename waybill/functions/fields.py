@@ -1,7 +1,10 @@
 """Field rules: which pattern fills which column of the load table.
 
-Patterns with one or two groups are searched directly; the broker's address is read by one
-:func:`~waybill.functions.dialect.capture` over its small scope, the carrier in steps.  Column names
+Most patterns are searched directly.  Where a value may run on over the labels of others, the
+pattern as written would read the same run once per label; those are read in steps that take
+linear time and give the same groups (tests compare them with the patterns).  Two ideas
+serve them all: a label whose value fails makes the labels inside its run fail too, so the run is
+passed over, and the last place of a step is the first in the reversed text.  Column names
 are fixed values.
 """
 
@@ -16,10 +19,11 @@ from waybill.functions.dialect import (
     SPACE_CLASS,
     Pattern,
     capture,
-    embedded,
     extract,
     extract_all,
+    first_text,
     java,
+    let,
     replace,
     strip,
 )
@@ -39,33 +43,75 @@ STOP_ATTRIBUTES = (
 STOP_TYPES = ("pickup", "delivery")
 
 
-# A broker address can only match where a comma, a state and five digits follow.
-_BROKER_ADDRESS = P.BROKER_ADDRESS._replace(
-    guard=r"(?s:.*?)," + embedded(Pattern(r"\s*[A-Z]{2}\s*\d{5}"))
+# Where a broker address ends: after a letter or space, a comma, a state and five digits.
+_BROKER_TAIL = r",\s*+[A-Z]{2}\s*+\d{5}"
+_BROKER_RUN = r"[A-Za-z0-9#.,\s]"
+# From a number to the first such end in its run; a run without one is passed over.  After the
+# number's spaces there are a character of the street and one of the city at least; only if
+# that fails may the last of the spaces be them.
+_BROKER_REGION = Pattern(
+    rf"(\d{{1,6}}\s++(?:{_BROKER_RUN}{{2}}(?:(?!(?<=[A-Za-z\s]){_BROKER_TAIL}){_BROKER_RUN})*+(?<=[A-Za-z\s])"
+    rf"|(?<=\s\s)[A-Za-z]|(?<=\s\s\s)){_BROKER_TAIL})|\d{{1,6}}\s{_BROKER_RUN}*+"
 )
+_BROKER_PLACE = Pattern(rf"(?<![A-Za-z\s])[A-Za-z\s]*+(?={_BROKER_TAIL}\Z)")
 
 
 # What fails behind the first of these labels fails behind the later ones as well.
-_CARRIER_START = "Trailer VIN Number"
-_CARRIER_TAIL = Pattern(rf"{_CARRIER_START}.*", dot_all=True)
-
-# The steps of the carrier pattern, whose values any text may part: the shortest text that
-# still is the step, and the step with its groups.
-_CARRIER_STEPS = (
-    (r"Carrier\s+?[A-Z0-9 &\.\-]", r"Carrier\s+([A-Z0-9 &\.\-]+)", 1),
-    (r"MC\s*#[:\s]*?\d", r"MC\s*#[:\s]*(\d+)", 1),
-    (r"Address[:\s]*?[0-9A-Za-z\s#.,\-]", r"Address[:\s]*([0-9A-Za-z\s#.,\-]+)", 1),
-    (
-        r"City[:\s]*?[A-Za-z\s]+?,\s*?[A-Z]{2}\s*?\d{5}",
-        r"City[:\s]*([A-Za-z\s]+),\s*([A-Z]{2})\s*(\d{5})",
-        3,
-    ),
-    (r"Phone[:\s]*?[\d\-\s\(\)]", r"Phone[:\s]*([\d\-\s\(\)]+)", 1),
-    (r"Fax", r"Fax[:\s]*([\d\-\s\(\)]*)", 1),
+_CARRIER_TAIL = Pattern(rf"{P.CARRIER_START}.*", dot_all=True)
+
+# For each step of the carrier but the contact, the shortest text that still is the step; the city's
+# is found in reversed text.
+_CARRIER_SHORTEST = (
+    r"Carrier\s+?[A-Z0-9 &\.\-]",
+    r"MC\s*#[:\s]*?\d",
+    r"Address[:\s]*?[0-9A-Za-z\s#.,\-]",
+    None,
+    r"Phone[:\s]*?[\d\-\s\(\)]",
+    r"Fax",
 )
-_CARRIER_END = (
-    r"Contact[:\s]*([A-Za-z\s\-\.,()]+?)"
-    r"(?=\s*(?:Truck VIN Number|Trailer VIN Number|Total|Please Sign|$))"
+_CARRIER_CITY = 3
+
+# The contact and what ends it.
+_CONTACT_RUN = r"[A-Za-z\s\-\.,()]"
+_CONTACT_ENDS = ("Truck VIN Number", "Trailer VIN Number", "Total", "Please Sign")
+_CONTACT_END = f"(?:{'|'.join(_CONTACT_ENDS)}|\\Z)"
+# The first contact.  A blank one ends the search; behind any other failure the run is passed over
+# up to a label whose value starts behind colons of its own.
+_CONTACT = Pattern(
+    rf"Contact(?:[:\s]*+({_CONTACT_RUN}(?:(?!{_CONTACT_END}){_CONTACT_RUN})*+)(?={_CONTACT_END})"
+    rf"|[:\s]*+(?<=\s)(?={_CONTACT_END}).*+"
+    rf"|[:\s]*+(?:(?!Contact\s*+:){_CONTACT_RUN})*+)",
+    dot_all=True,
+)
+# The last one, in reversed text: from an end back to the label nearest to it.
+_ENDS_REVERSED = f"(?:{'|'.join(end[::-1] for end in _CONTACT_ENDS)})"
+_CONTACT_REVERSED = Pattern(
+    rf"({_ENDS_REVERSED}{_CONTACT_RUN}(?:(?!tcatnoC){_CONTACT_RUN})*+[:\s]*+tcatnoC)|({_ENDS_REVERSED}{_CONTACT_RUN}*+)"
+)
+
+
+def _city(tail: str) -> Pattern:
+    """A city label with ``tail`` behind the comma; or one without, passed over like a contact."""
+    return Pattern(
+        rf"City[:\s]*+(?:(?:[A-Za-z\s]++|(?<=\s)),{tail}|(?:(?!City\s*+:)[A-Za-z\s])*+)"
+    )
+
+
+_STOP_PLACE = _city(r"\s*+[A-Z]{2}")
+_CARRIER_PLACE = _city(r"\s*+[A-Z]{2}\s*+\d{5}")
+_CARRIER_PLACE_REVERSED = Pattern(
+    r"\d{5}\s*+[A-Z]{2}\s*+,[A-Za-z\s](?:(?!ytiC)[A-Za-z\s])*+[:\s]*+ytiC"
+)
+_CITY_VALUES = Pattern(r"City[:\s]*+([A-Za-z\s]*+),\s*+([A-Z]{2})\s*+(\d{5})?")
+
+# A pickup's address up to a line end or time label; a blank one ends the search.
+_ADDRESS_RUN = r"[0-9A-Za-z\.,#\-\s]"
+_ADDRESS_END = r"(?:\n|Pick(?:up)?\s*+Time|\Z)"
+_PICKUP_ADDRESS = Pattern(
+    rf"Address\s*+#1(?:[:\s]*+({_ADDRESS_RUN}(?:(?!{_ADDRESS_END}){_ADDRESS_RUN})*+){_ADDRESS_END}"
+    rf"|[:\s]*\s{_ADDRESS_END}.*+"
+    rf"|[:\s]*+(?:(?!Address\s*+#1\s*+:){_ADDRESS_RUN})*+)",
+    dot_all=True,
 )
 
 # No section after the last stop starts with another letter.
@@ -87,7 +133,37 @@ def broker_scope(text: Column) -> Column:
 
 
 def broker_address_groups(scope: Column) -> Column:
-    return capture(scope, _BROKER_ADDRESS)
+    """Address, city, state and zip code of the broker; ``''`` without a match."""
+
+    def parts(region: Column) -> Column:
+        run = extract(region, _BROKER_PLACE, 0)
+        tail = extract(region, Pattern(rf"(?<=[A-Za-z\s]){_BROKER_TAIL}\Z"), 0)
+        body = F.substring(region, F.lit(1), F.length(region) - F.length(tail))
+        return let(F.struct(run.alias("run"), tail.alias("tail"), body.alias("body")), split)
+
+    def split(s: Column) -> Column:
+        before = F.substring(s["body"], F.lit(1), F.length(s["body"]) - F.length(s["run"]))
+        number = extract(s["body"], Pattern(r"\A\d{1,6}"), 0)
+        # If only letters follow the number, the street is the first of them.
+        letters = extract(s["run"], Pattern(r"\A\s*+(.*)", dot_all=True))
+        only = F.when(
+            F.length(letters) >= 2,
+            F.array(F.concat(number, F.lit(" "), F.substring(letters, 1, 1)), _from(letters, 1)),
+        ).otherwise(F.array(number, letters))
+        # Else the city's letters are all behind the street, and one comma may part them.
+        street = extract(before, Pattern(r"\A(\d{1,6}\s+\S.*?)\s*+,\Z", dot_all=True))
+        usual = F.array(F.when(street == "", before).otherwise(street), s["run"])
+        state = extract(s["tail"], Pattern(r",\s*+([A-Z]{2})"))
+        zipcode = F.substring(s["tail"], -5, 5)
+        return F.concat(F.when(before == number, only).otherwise(usual), F.array(state, zipcode))
+
+    found = first_text(extract_all(scope, _BROKER_REGION))
+    return let(found, lambda region: F.when(region == "", F.array(*[F.lit("")] * 4)).otherwise(parts(region)))
+
+
+def _from(text: Column, start: int | Column) -> Column:
+    """What follows the first ``start`` characters."""
+    return F.substring(text, start + 1 if isinstance(start, Column) else F.lit(start + 1), F.length(text))
 
 
 def broker_columns(scope: Column, address_groups: Column) -> dict[str, Column]:
@@ -122,6 +198,34 @@ def _last(text: Column, step: str) -> Column:
     return extract(text, Pattern(rf"\A(.*){step}", dot_all=True))
 
 
+def _before_last_contact(df: DataFrame, scope: str, out: str) -> DataFrame:
+    """``out``: the text before the last contact that something ends; ``''`` if there is none."""
+    # The end of the text ends a contact as this word does.
+    end = "Total"
+    reversed_text = F.reverse(F.regexp_replace(F.concat(F.col(scope), F.lit(end)), "[\u0001\u0002]", "\u0003"))
+    # A found label is followed by both marks, a run without one stands between them.
+    marked = F.regexp_replace(reversed_text, java(_CONTACT_REVERSED), "$1\u0001$2\u0002")
+    df = df.withColumn(f"{out}_marked", marked)
+    behind = F.regexp_replace(F.substring_index(f"{out}_marked", "\u0001\u0002", 1), "[\u0001\u0002]", "")
+    left = F.substring(F.col(scope), F.lit(1), F.length(scope) + len(end) - F.length(behind))
+    return df.withColumn(out, F.when(F.contains(F.col(f"{out}_marked"), F.lit("\u0001\u0002")), left).otherwise(""))
+
+
+def _before_last_city(text: Column) -> Column:
+    """The text before the last city with state and zip code; ``''`` if there is none."""
+    behind = Pattern(rf"\A.*?{_CARRIER_PLACE_REVERSED.text}", dot_all=True)
+    return let(
+        F.length(extract(F.reverse(text), behind, 0)),
+        lambda n: F.when(n == 0, "").otherwise(F.substring(text, F.lit(1), F.length(text) - n)),
+    )
+
+
+def first_place(text: Column, pattern: Pattern) -> Column:
+    """The first city label with all its values, as text; ``''`` if there is none."""
+    found = extract_all(text, pattern, 0)
+    return F.coalesce(F.get(F.filter(found, lambda place: F.contains(place, F.lit(","))), 0), F.lit(""))
+
+
 def carrier_steps(df: DataFrame, scope: str, out: str) -> DataFrame:
     """Adds ``out``, the nine groups of the carrier pattern in ``scope``; ``''`` without a match.
 
@@ -130,22 +234,32 @@ def carrier_steps(df: DataFrame, scope: str, out: str) -> DataFrame:
     steps can still follow; then forwards, each step takes its first place in the text so
     ended, and its values run as far as they may.
     """
-    limits = [f"_{out}_limit_{i}" for i in range(len(_CARRIER_STEPS))]
-    df = df.withColumn(limits[-1], _last(F.col(scope), _CARRIER_END))
-    for i in range(len(_CARRIER_STEPS) - 1, 0, -1):
-        df = df.withColumn(limits[i - 1], _last(F.col(limits[i]), _CARRIER_STEPS[i][0]))
-    reached = F.lit(len(_CARRIER_START))
+    limits = [f"_{out}_limit_{i}" for i in range(len(_CARRIER_SHORTEST))]
+    df = _before_last_contact(df, scope, limits[-1])
+    for i in range(len(_CARRIER_SHORTEST) - 1, 0, -1):
+        limit = F.col(limits[i])
+        last = _before_last_city(limit) if i == _CARRIER_CITY else _last(limit, _CARRIER_SHORTEST[i])
+        df = df.withColumn(limits[i - 1], last)
+    reached = F.lit(len(P.CARRIER_START))
     groups = []
-    for i, (_, step, n) in enumerate(_CARRIER_STEPS):
-        found = Pattern(rf"\A.*?{step}", dot_all=True)
-        part = F.substring(F.col(limits[i]), reached + 1, F.length(limits[i]))
+    for i, step in enumerate(P.CARRIER_STEPS[:-1]):
+        part = f"_{out}_part_{i}"
+        df = df.withColumn(part, F.substring(F.col(limits[i]), reached + 1, F.length(limits[i])))
         match = f"_{out}_match_{i}"
-        df = df.withColumn(match, extract(part, found, 0))
-        df = df.withColumn(f"_{out}_at_{i}", reached + F.length(match))
+        if i == _CARRIER_CITY:
+            # A text that matches does so wherever it stands, so this is its first place.
+            df = df.withColumn(match, first_place(F.col(part), _CARRIER_PLACE))
+            ends = F.when(F.col(match) == "", 0).otherwise(F.instr(F.col(part), F.col(match)) + F.length(match) - 1)
+            df = df.withColumn(f"_{out}_at_{i}", reached + ends)
+            found = _CITY_VALUES
+        else:
+            found = Pattern(rf"\A.*?{step}", dot_all=True)
+            df = df.withColumn(match, extract(F.col(part), found, 0))
+            df = df.withColumn(f"_{out}_at_{i}", reached + F.length(match))
         reached = F.col(f"_{out}_at_{i}")
-        groups += [extract(F.col(match), found, g) for g in range(1, n + 1)]
+        groups += [extract(F.col(match), found, g) for g in range(1, Pattern(step).groups + 1)]
     rest = F.substring(F.col(scope), reached + 1, F.length(scope))
-    groups.append(extract(rest, Pattern(_CARRIER_END)))
+    groups.append(first_text(extract_all(rest, _CONTACT)))
     # Limits are empty if any step is missing, but for the first, which its own match tells.
     whole = F.col(f"_{out}_match_0") != ""
     return df.withColumn(out, F.when(whole, F.array(*groups)).otherwise(F.array(*[F.lit("")] * len(groups))))
@@ -173,8 +287,8 @@ def clean_block(block: Column, marked: Column) -> Column:
 
 
 _STOP_PATTERNS = {
-    "pickup": (P.PICKUP_CUSTOMER, P.PICKUP_ADDRESS, P.PICKUP_DATE, P.PICKUP_WINDOW),
-    "delivery": (P.DELIVERY_CUSTOMER, P.DELIVERY_ADDRESS, P.DELIVERY_DATE, P.DELIVERY_WINDOW),
+    "pickup": (P.PICKUP_CUSTOMER, P.PICKUP_DATE, P.PICKUP_WINDOW),
+    "delivery": (P.DELIVERY_CUSTOMER, P.DELIVERY_DATE, P.DELIVERY_WINDOW),
 }
 
 
@@ -184,38 +298,48 @@ _CUSTOMERS = {
     t: customer._replace(
         text=customer.text + r"|Customer[:\s]*(?:(?!Customer[ ]*+[:\s])[A-Z0-9 &\.\-])*+"
     )
-    for t, (customer, _, _, _) in _STOP_PATTERNS.items()
+    for t, (customer, _, _) in _STOP_PATTERNS.items()
 }
 
 
 def customer(block: Column, stop_type: str) -> Column:
     """The first customer that a label ends, in linear time."""
-    found = extract_all(block, _CUSTOMERS[stop_type])
-    return F.coalesce(F.get(F.filter(found, lambda value: value != ""), 0), F.lit(""))
+    return first_text(extract_all(block, _CUSTOMERS[stop_type]))
+
+
+def stop_place(block: Column) -> Column:
+    """City and state of a block, in linear time."""
+    return let(
+        first_place(block, _STOP_PLACE),
+        lambda place: F.array(extract(place, _CITY_VALUES), F.substring(place, -2, 2)),
+    )
+
+
+def stop_address(block: Column, stop_type: str) -> Column:
+    """The address of a block, in linear time."""
+    if stop_type == "pickup":
+        return first_text(extract_all(block, _PICKUP_ADDRESS))
+    tail, nothing = P.DELIVERY_ADDRESS_TAIL
+    return replace(extract(block, P.DELIVERY_ADDRESS), tail, nothing)
 
 
 def stop_parsed(block: Column, stop_type: str) -> dict[str, Column]:
     """Date text, window and place of one block; the last two as arrays of their groups, so that
     one search gives both."""
-    _, _, date, window = _STOP_PATTERNS[stop_type]
+    _, date, window = _STOP_PATTERNS[stop_type]
     return {
         "date": extract(block, date),
         "window": capture(block, window),
-        "place": capture(block, P.STOP_CITY),
+        "place": stop_place(block),
     }
 
 
 def stop_columns(
     block: Column, place: Column, start_parts: Column, end_parts: Column, stop_type: str
 ) -> dict[str, Column]:
-    _, address, _, _ = _STOP_PATTERNS[stop_type]
-    address_text = extract(block, address)
-    if stop_type == "delivery":
-        tail, nothing = P.DELIVERY_ADDRESS_TAIL
-        address_text = replace(address_text, tail, nothing)
     return {
         "customer": strip(customer(block, stop_type)),
-        "address": strip(address_text),
+        "address": strip(stop_address(block, stop_type)),
         "city": strip(F.get(place, 0)),
         "state": strip(F.get(place, 1)),
         "zipcode": strip(extract(block, P.STOP_ZIP)),

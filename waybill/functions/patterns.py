@@ -1,7 +1,9 @@
 """The patterns, labels and formats that decide what is extracted.
 
 Results only agree if these are exactly so; they are stated in Python ``re`` syntax and
-translated by :mod:`waybill.functions.dialect`.
+translated by :mod:`waybill.functions.dialect`.  ``fields`` reads the broker's address, the
+carrier, a stop's city and a pickup's address in steps of linear time that give what the patterns
+here say.
 """
 
 from waybill.functions.dialect import Pattern
@@ -38,17 +40,18 @@ LOAD_CONFIRMATION = Pattern(r"Trip\s*#[:\s]*([A-Z0-9\-]+)")
 TOTAL_CARRIER_PAY = Pattern(r"Total\s*(?:To\s*Pay|Carrier\s*Pay)[:\s\$]*([\d,]+\.\d{2})")
 
 # ---- carrier: one pattern, nine groups, all or nothing ----
-CARRIER = Pattern(
-    r"Trailer VIN Number.*?Carrier\s+([A-Z0-9 &\.\-]+).*?"
-    r"MC\s*#[:\s]*(\d+).*?"
-    r"Address[:\s]*([0-9A-Za-z\s#.,\-]+).*?"
-    r"City[:\s]*([A-Za-z\s]+),\s*([A-Z]{2})\s*(\d{5}).*?"
-    r"Phone[:\s]*([\d\-\s\(\)]+).*?"
-    r"Fax[:\s]*([\d\-\s\(\)]*).*?"
+CARRIER_START = "Trailer VIN Number"
+CARRIER_STEPS = (
+    r"Carrier\s+([A-Z0-9 &\.\-]+)",
+    r"MC\s*#[:\s]*(\d+)",
+    r"Address[:\s]*([0-9A-Za-z\s#.,\-]+)",
+    r"City[:\s]*([A-Za-z\s]+),\s*([A-Z]{2})\s*(\d{5})",
+    r"Phone[:\s]*([\d\-\s\(\)]+)",
+    r"Fax[:\s]*([\d\-\s\(\)]*)",
     r"Contact[:\s]*([A-Za-z\s\-\.,()]+?)"
     r"(?=\s*(?:Truck VIN Number|Trailer VIN Number|Total|Please Sign|$))",
-    dot_all=True,
 )
+CARRIER = Pattern(".*?".join((CARRIER_START, *CARRIER_STEPS)), dot_all=True)
 
 # ---- stops ----
 STOP_CUTOFF = Pattern(
