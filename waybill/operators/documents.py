@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -22,11 +22,19 @@ PLAIN, MARKDOWN = "plain", "markdown"
 PAGES_PER_PART = 4096
 
 
-def render_methods(df: DataFrame, html: str, keep: Sequence[str]) -> DataFrame:
-    """One row per document and method: ``keep, method, text``."""
+def render_methods(
+    df: DataFrame,
+    html: str,
+    keep: Sequence[str],
+    markdown: Callable[[Column], Column] = html_to_markdown,
+) -> DataFrame:
+    """One row per document and method: ``keep, method, text``.
+
+    ``markdown`` may be ``html_to_structured_markdown``, which keeps nested lists, tables and links.
+    """
     both = F.array(
         F.struct(F.lit(PLAIN).alias("method"), html_to_plain(F.col(html)).alias("text")),
-        F.struct(F.lit(MARKDOWN).alias("method"), html_to_markdown(F.col(html)).alias("text")),
+        F.struct(F.lit(MARKDOWN).alias("method"), markdown(F.col(html)).alias("text")),
     )
     return df.select(*keep, F.inline(both))
 

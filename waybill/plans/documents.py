@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from waybill.functions import html as H
+from waybill.functions.markdown import html_to_structured_markdown
 from waybill.functions.patterns import PREVIEW_CHARS, PREVIEW_SHORT_CHARS, SAMPLE_SEED, SAMPLE_SIZE
 from waybill.operators import documents as D
 from waybill.operators.status import document_status
@@ -69,6 +70,55 @@ def page_to_markdown(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _pages(spark, sf_dir).select("order_key", H.html_to_markdown(F.col("html")).alias("text"))
 
 
+_LINES_SQL = (
+    "SELECT l_orderkey, list(l_linenumber ORDER BY l_linenumber) AS lines, list(part ORDER BY l_linenumber) AS parts "
+    "FROM (SELECT l_orderkey, l_linenumber, min(l_partkey) AS part FROM lineitem GROUP BY ALL) GROUP BY l_orderkey"
+)
+
+
+def _each(text: str) -> str:
+    """``text`` for every line of an order, joined; ``$n``, ``$i`` and ``$p`` are its number, its
+    count from the first line's number, and its part."""
+    said = text.replace("$n", "' || n || '").replace("$i", "' || (lines[1] + list_position(lines, n) - 1) || '").replace("$p", "' || parts[list_position(lines, n)] || '").replace("\n", "' || chr(10) || '")
+    return f"coalesce(array_to_string(list_transform(lines, lambda n: '{said}'), ''), '')"
+
+
+@query(
+    f"WITH l AS ({_LINES_SQL}) SELECT o_orderkey AS order_key, rtrim('# Order ' || o_orderkey || repeat(chr(10), 2) "
+    "|| 'By [customer ' || o_custkey || '](/c/' || o_custkey || '?a=1&b=%282%29) & **co**' || repeat(chr(10), 2) "
+    + f"|| {_each('$i. Line\n    - part *$p*\n')} || CASE WHEN lines IS NULL THEN '' ELSE chr(10) END "
+    + "|| '| Line | Part \\| no |' || chr(10) || '| --- | --- |' || chr(10) "
+    + f"|| {_each('| $n | $p x |\n')} || chr(10) "
+    "|| '```' || chr(10) || 'a  =  ' || o_orderkey || repeat(chr(10), 2) || '  if a < ' || o_custkey || ':' || chr(10) "
+    "|| '```' || repeat(chr(10), 2) || '![n&m](i/' || o_orderkey || '.png)') AS text "
+    "FROM orders LEFT JOIN l ON l_orderkey = o_orderkey"
+)
+def page_to_structured_markdown(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One page per order, with its lines as nested lists and as a table."""
+    lines = table(spark, sf_dir, "lineitem").groupBy("l_orderkey", "l_linenumber").agg(F.min("l_partkey").alias("part"))
+    lines = lines.groupBy("l_orderkey").agg(F.sort_array(F.collect_list(F.struct("l_linenumber", "part"))).alias("lines"))
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    rows = orders.join(lines, F.col("o_orderkey") == F.col("l_orderkey"), "left")
+
+    def each(*text: str) -> Column:
+        said = [{"$n": "l_linenumber", "$p": "part"}.get(t, t) for t in text]
+        one = lambda line: F.concat(*(line[t].cast("string") if t in ("l_linenumber", "part") else F.lit(t) for t in said))
+        return F.coalesce(F.array_join(F.transform("lines", one), "\n"), F.lit(""))
+
+    key, customer = F.col("o_orderkey").cast("string"), F.col("o_custkey").cast("string")
+    first = F.coalesce(F.get("lines", 0)["l_linenumber"], F.lit(1)).cast("string")
+    page = F.concat(
+        F.lit("<html><body><H1>Order "), key, F.lit('</H1>\n<p>By <a class="c" href="/c/'), customer,
+        F.lit('?a=1&amp;b=(2)">customer '), customer, F.lit("</a> &amp; <STRONG>co</STRONG>\n<ol start='"), first, F.lit("'>\n"),
+        each("<li>Line<ul>\n <li>part <em>", "$p", "</em></ul></li>"),
+        F.lit("</ol><table><tr><th>Line<th>Part | no</tr>"), each("<tr><td>", "$n", "</td> <td>", "$p", "<br>x</td></tr>"),
+        F.lit("</table><pre>\na  =  "), key, F.lit("\n\n  if a &lt; "), customer,
+        F.lit(':\n</pre><img alt="n&amp;m" src="i/'), key, F.lit('.png"></body></html>'),
+    )
+    pages = files.spread(rows.select(F.col("o_orderkey").alias("order_key"), page.alias("html")), orders)
+    return pages.select("order_key", html_to_structured_markdown(F.col("html")).alias("text"))
+
+
 @query(
     f"SELECT page_id, method, text FROM (SELECT page_id, 'plain' AS method, "
     f"{H.plain_sql('html')} AS text FROM pages UNION ALL SELECT page_id, 'markdown', "
