@@ -241,3 +241,46 @@ def source_pruning(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = files.shared_folder(spark, "documents")
     sinks.write_partitioned(table(spark, sf_dir, "documents"), path, "source")
     return files.read_source(spark, path, PRUNED_SOURCE)
+
+
+_BAD_SOURCES = "('src3', 'src7')"
+
+
+@query(
+    f"SELECT source, CASE WHEN source IN {_BAD_SOURCES} THEN 'failed' ELSE 'ok' END AS status, "
+    f"CAST(sum(strlen(text) + CASE WHEN source IN {_BAD_SOURCES} THEN 2 ELSE 1 END) AS BIGINT) AS n_bytes, "
+    f"(SELECT count(DISTINCT source) > 0 FROM documents WHERE source IN {_BAD_SOURCES}) AS any_failed "
+    "FROM documents GROUP BY source"
+)
+def quarantined_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Text files of which some are not UTF-8: written apart in one pass, the unreadable bytes kept,
+    the counts observed by that pass."""
+    documents = table(spark, sf_dir, "documents")
+    # A byte that starts no character.
+    bad = F.when(F.col("source").isin("src3", "src7"), F.unhex(F.lit("FF")).cast("string")).otherwise("")
+    texts_at = files.shared_folder(spark, "odd-texts")
+    odd = documents.select(F.concat("text", bad).alias("text"), "source")
+    sinks.write_text(odd, texts_at, "source", records_per_file=DOCUMENTS_PER_FILE)
+    apart = files.shared_folder(spark, "by-status")
+    counts = sinks.write_by_status(files.scan_text_files(spark, texts_at, keep_unreadable=True), apart)
+    rows = spark.read.parquet(apart)
+    n_bytes = F.sum(F.coalesce(F.octet_length("unreadable"), F.octet_length("text"))).alias("n_bytes")
+    return rows.groupBy("source", "status").agg(n_bytes).withColumn("any_failed", F.lit(counts.get["n_failed"] > 0))
+
+
+@query(
+    "SELECT source, CASE WHEN source < 'src5' THEN 1 ELSE 2 END AS run, "
+    "CAST(sum(strlen(text) + 1) AS BIGINT) AS n_bytes FROM documents GROUP BY source"
+)
+def incremental_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Text files that arrive in two parts, read by two runs of one stream: the second reads only what
+    is new."""
+    documents = table(spark, sf_dir, "documents")
+    texts_at, out, checkpoint = (files.shared_folder(spark, name) for name in ("arrivals", "scanned", "progress"))
+    for run, part in ((1, F.col("source") < "src5"), (2, ~(F.col("source") < "src5"))):
+        rows = documents.filter(part)
+        sinks.write_text(rows, texts_at, "source", records_per_file=DOCUMENTS_PER_FILE, mode="append")
+        arrived = files.stream_text_files(spark, texts_at, partitions="source string")
+        sinks.append_stream(arrived.withColumn("run", F.lit(run)), out, checkpoint)
+    scanned = spark.read.parquet(out)
+    return scanned.groupBy("source", "run").agg(F.sum(F.octet_length("text")).alias("n_bytes"))

@@ -45,13 +45,31 @@ def spread(df: DataFrame, source: DataFrame | None = None) -> DataFrame:
     return df.repartition(cores) if splits < cores else df
 
 
+_FILE = "path string, modificationTime timestamp, length long, content binary"
+
+
+def _texts(files: DataFrame, keep_unreadable: bool = False) -> DataFrame:
+    partitions = [c for c in files.columns if c not in ("path", "modificationTime", "length", "content")]
+    readable = F.is_valid_utf8(F.col("content").cast("string"))
+    text = F.when(readable, F.col("content").cast("string"))
+    bytes_of = [F.when(~readable, F.col("content")).alias("unreadable")] if keep_unreadable else []
+    return files.select(
+        F.col("_metadata.file_path").alias(SOURCE_FILE), text.alias("text"), *bytes_of, *partitions
+    )
+
+
 def scan_text_files(
-    spark: SparkSession, path: str, glob: str = "*.txt", recursive: bool = False
+    spark: SparkSession,
+    path: str,
+    glob: str = "*.txt",
+    recursive: bool = False,
+    keep_unreadable: bool = False,
 ) -> DataFrame:
     """Whole text files: ``source_file, text`` and the partition columns of the path.
 
     ``source_file`` is the percent-encoded address.  A file that is not UTF-8 has NULL as
-    its text, for the status operators to set aside.
+    its text, for the status operators to set aside, and its bytes in ``unreadable`` if they
+    are asked for.  Spark's scan gives no row for a file of no bytes.
     """
     files = (
         spark.read.format("binaryFile")
@@ -59,11 +77,27 @@ def scan_text_files(
         .option("recursiveFileLookup", recursive)
         .load(path)
     )
-    partitions = [c for c in files.columns if c not in ("path", "modificationTime", "length", "content")]
-    text = F.when(F.is_valid_utf8(F.col("content").cast("string")), F.col("content").cast("string"))
-    return files.select(
-        F.col("_metadata.file_path").alias(SOURCE_FILE), text.alias("text"), *partitions
+    return _texts(files, keep_unreadable)
+
+
+def stream_text_files(
+    spark: SparkSession, path: str, glob: str = "*.txt", partitions: str = "", files_per_batch: int = 100_000
+) -> DataFrame:
+    """The same rows as a stream of the files that come to lie below ``path``.
+
+    A query on it with a checkpoint reads every file once, however often it is started anew, so
+    with the trigger ``availableNow`` each run works on what is new since the last.
+    ``partitions`` declares the columns of the path, such as ``source string``.
+    """
+    schema = ", ".join(part for part in (_FILE, partitions) if part)
+    files = (
+        spark.readStream.format("binaryFile")
+        .schema(schema)
+        .option("pathGlobFilter", glob)
+        .option("maxFilesPerTrigger", files_per_batch)
+        .load(path)
     )
+    return _texts(files)
 
 
 def display_path(source_file: Column) -> Column:
