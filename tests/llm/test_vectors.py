@@ -103,3 +103,19 @@ def test_other_width_fails(spark):
     for search in (search_neighbours, exact_top_k):
         with pytest.raises(Exception, match="components"):
             search(df, df, k=1).collect()
+
+
+def test_rows_that_share_an_id_all_count(spark):
+    rng = np.random.default_rng(6)
+    x = rng.normal(size=(30, 4)).astype(np.float32)
+    rows = [(i // 2, v) for i, v in enumerate(x.tolist())] + [(0, x[0].tolist()), (5, x[3].tolist())]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>").repartition(3)
+    got = search_neighbours(df, df.filter("vec_id % 5 = 0"), k=6)
+    found = sorted((r["query_id"], r["rank"], r["vec_id"], round(r["score"], 9)) for r in got.collect())
+    want = []
+    for i, (q, y) in enumerate(rows):
+        if q % 5 == 0:
+            y = np.array(y)
+            scored = sorted((-round(float(np.dot(y, v)), 9), j) for at, (j, v) in enumerate(rows) if at != i)[:6]
+            want += [(q, rank, j, -s) for rank, (s, j) in enumerate(scored, 1)]
+    assert found == sorted(want)
