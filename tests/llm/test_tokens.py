@@ -1,10 +1,12 @@
 """Token counts, piece encoding and packing against the libraries themselves."""
 
+import time
 import random
 import struct
 import zlib
 from collections import Counter, defaultdict
 
+import numpy as np
 import public_tokenizers
 import pytest
 import sentencepiece
@@ -154,3 +156,19 @@ def test_empty_table(spark, messy):
     assert encode_pieces(none, PIECES).count() == 0
     assert pack_documents(none, BPE).count() == 0
     assert count_tokens(messy, BPE, limit=1).filter(F.col("n_bytes").isNull()).count() == 0
+
+
+def test_packing_takes_very_long_runs(spark):
+    texts = [" " * 2_000_000, "a" + "\n" * 2_000_000, "\t" * 2_000_000 + "b", " \n" * 1_000_000, (" " * 9_999 + "x") * 30]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(5)
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    library = tokenizers.Tokenizer.from_file(path)
+    start = time.perf_counter()
+    rows = pack_documents(docs, path, capacity=1024, end_id=2).collect()
+    assert time.perf_counter() - start < 120
+    for doc_id, text in enumerate(texts):
+        ids = [*library.encode(text, add_special_tokens=False).ids, 2]
+        pieces = sorted((r["piece"], r["start"], r["length"], r["ids_crc32"]) for r in rows if r["doc_id"] == doc_id)
+        assert sum(length for _, _, length, _ in pieces) == len(ids)
+        for _, first, length, crc in pieces:
+            assert zlib.crc32(np.array(ids[first : first + length], dtype="<u4").tobytes()) == crc

@@ -7,6 +7,8 @@ ranks of a length go to which sequences; each piece finds its place by its rank.
 
 from __future__ import annotations
 
+import functools
+import re
 import zlib
 from bisect import bisect
 from collections import Counter
@@ -25,20 +27,25 @@ from waybill.llm.token_counts import WORD, byte_letters, load_vocabulary
 
 Group = tuple[tuple[int, ...], int]
 
+#: Characters of white space in a row from which tokenizers encodes a text.
+LONG_RUN = 10_000
+LONG_SPACE = re.compile(rf"(?<!\s)\s{{{LONG_RUN}}}")
+
 
 class Encoder:
     """Ids of texts as the tokenizers library gives them.
 
     If ranks follow ids, a vocabulary needs no merge list, and the faster tiktoken gives the
-    same ids; otherwise tokenizers itself is used.
+    same ids; otherwise tokenizers itself is used.  So it is for texts with very long runs of white
+    space, whose pattern exhausts the other's stack.
     """
 
     def __init__(self, path: str):
-        self.fast = self.slow = None
+        self.fast = None
+        self.path = path
         try:
             spec = load_vocabulary(path)
         except ValueError:
-            self.slow = tokenizers.Tokenizer.from_file(path)
             return
         byte_of = {c: b for b, c in enumerate(byte_letters())}
         vocab = spec["model"]["vocab"]
@@ -50,11 +57,13 @@ class Encoder:
             self.fast = tiktoken.Encoding(
                 "vocabulary", pat_str=WORD.pattern, mergeable_ranks=plain, special_tokens=added
             )
-        else:
-            self.slow = tokenizers.Tokenizer.from_file(path)
+
+    @functools.cached_property
+    def slow(self) -> tokenizers.Tokenizer:
+        return tokenizers.Tokenizer.from_file(self.path)
 
     def encode(self, text: str) -> list[int]:
-        if self.fast is None:
+        if self.fast is None or (len(text) > LONG_RUN and LONG_SPACE.search(text)):
             return self.slow.encode(text, add_special_tokens=False).ids
         return self.fast.encode(text, allowed_special="all")
 
