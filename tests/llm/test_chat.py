@@ -1,3 +1,6 @@
+import time
+
+import pytest
 from pyspark.sql import functions as F
 
 from waybill.llm.chat import END, NEXT, START, escape, format_conversations, read_loss, read_turns, unescape
@@ -67,3 +70,15 @@ def test_extra_conversation(spark):
     both = spark.createDataFrame([(-1, 0, "user", text), (-1, 1, "assistant", text)], "conv_id long, turn long, role string, text string")
     row = format_conversations(both).select(read_turns(F.col("formatted")).alias("t"), "formatted").first()
     assert [t["text"] for t in row["t"]] == [text, text]
+
+
+@pytest.mark.parametrize("turn", [7, None])
+def test_many_rows_of_one_turn_take_linear_time(spark, turn):
+    roles = ["user", "assistant"]
+    rows = [(1, turn, roles[i % 2], f"t{i:05}") for i in range(50_000)] + [(2, turn, "user", f"t{i:05}") for i in range(50_000)]
+    table = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    start = time.perf_counter()
+    chats = format_conversations(table)
+    read = chats.select("conv_id", "n_turns", F.size(read_turns(F.col("formatted"))).alias("n")).collect()
+    assert time.perf_counter() - start < 15
+    assert sorted(map(tuple, read)) == [(1, 50_000, 50_000), (2, 50_000, 50_000)]

@@ -7,6 +7,7 @@ from collections import Counter
 
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 from tests.llm.test_texts import classes, left_over
 from tokenizers import Tokenizer
 
@@ -116,3 +117,30 @@ def test_whole_pipeline_keeps_every_decision_of_its_stages(spark, docs, tmp_path
         left = spark.createDataFrame([tuple(r[c] for c in docs.columns) for r in want], docs.schema)
     got = corpus_pipeline.run(spark, FOLDER).collect()
     assert Counter((r["doc_id"], r["piece"], r["start"], r["length"], r["ids_crc32"]) for r in got) == pieces_of(want)
+
+
+@pytest.mark.parametrize("name", [name for name, _ in corpus_pipeline.STAGES])
+def test_stages_take_odd_rows_and_empty_tables(spark, messy, name):
+    stage = by_name(name)
+    odd = messy.withColumn("n_chars", F.length("text").cast("long"))
+    got = stage(spark, odd, FOLDER)
+    last = name == "best-fit packing"
+    rows = got.collect()
+    if not last:
+        assert got.columns == odd.columns
+        same = [c for c in odd.columns if c not in ("text", "n_chars")]
+        given = Counter(tuple(r[c] for c in same) for r in odd.collect())
+        assert not Counter(tuple(r[c] for c in same) for r in rows) - given
+        assert any(r["doc_id"] is None for r in rows)
+    assert {r["doc_id"] for r in rows} <= {r["doc_id"] for r in odd.collect()}
+    none = stage(spark, odd.filter("false"), FOLDER)
+    assert none.count() == 0 and none.columns == got.columns
+
+
+def test_the_choice_among_rows_with_one_id_and_text_is_defined(spark):
+    rows = [(1, "a b c d e f", "x"), (1, "a b c d e f", "y"), (1, "a b c d e f", "x"), (2, "a b c d e f", "w")]
+    seen = set()
+    for seed in range(3):
+        df = spark.createDataFrame(rows, "doc_id long, text string, lang string").orderBy(F.rand(seed)).repartition(3)
+        seen.add(tuple(map(tuple, by_name("n-gram Jaccard join")(spark, df, FOLDER).collect())))
+    assert len(seen) == 1 and len(next(iter(seen))) == 1

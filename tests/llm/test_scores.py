@@ -116,3 +116,17 @@ def test_held_out_accuracy(spark, name, label, least):
     rows = llm.QUERIES[name].run(spark, FOLDER).join(labels, "doc_id").filter("held_out").collect()
     right = np.mean([r["predicted"] == r[label] for r in rows])
     assert len(rows) > 50 and right >= least
+
+
+def test_summed_normal_equations_equal_one_fit(spark, messy):
+    rows = with_statistics(messy.repartition(5)).withColumn("label", (F.xxhash64("x") % 3 == 0).cast("int")).cache()
+    scorer = learn_quality(rows, rows, cosines=16, ridge=1e-3)
+    table = rows.select("x", "label").collect()
+    x, y = np.array([r["x"] for r in table]), np.array([r["label"] for r in table], dtype=float)
+    assert np.allclose(scorer.kernel.mean, x.mean(axis=0))
+    assert np.allclose(scorer.kernel.spread, np.maximum(x.std(axis=0), 1e-6))
+    z = scorer.kernel.cosines(x)
+    by_hand = np.clip((x - x.mean(axis=0)) / np.maximum(x.std(axis=0), 1e-6), -6, 6) @ scorer.kernel.frequencies
+    assert np.allclose(z[:, 1:], np.cos(by_hand + scorer.kernel.phases) * np.sqrt(2 / 16), atol=1e-6)
+    want = np.linalg.solve(z.T @ z + 1e-3 * len(z) * np.eye(17), z.T @ y)
+    assert np.allclose(scorer.weights, want, atol=1e-6)

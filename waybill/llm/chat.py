@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from waybill.functions.dialect import let
+
 #: The marks of the template.
 START, END, NEXT, BREAK = "<|im_start|>", "<|im_end|>", "<|im_next|>", "<|im_break|>"
 #: Turn numbers that are collected together.
@@ -26,21 +28,21 @@ def unescape(text: Column) -> Column:
 
 
 def _merged(turns: Column) -> Column:
-    """Runs ``(role, texts)`` of adjacent turns with one role."""
-    empty = F.array().cast("array<struct<role:string,texts:array<string>>>")
+    """Runs ``(role, texts)`` of adjacent turns with one role, in linear time."""
 
-    def add(runs: Column, turn: Column) -> Column:
-        last = F.try_element_at(runs, F.lit(-1))
-        more = F.struct(
-            last["role"].alias("role"), F.concat(last["texts"], F.array(turn["text"])).alias("texts")
-        )
-        new = F.struct(turn["role"].alias("role"), F.array(turn["text"]).alias("texts"))
-        same = (F.size(runs) > 0) & (last["role"] == turn["role"])
-        return F.when(same, F.concat(F.slice(runs, 1, F.size(runs) - 1), F.array(more))).otherwise(
-            F.concat(runs, F.array(new))
-        )
+    def run(start: Column, following: Column) -> Column:
+        texts = F.transform(F.slice(turns, start + 1, following - start), lambda turn: turn["text"])
+        return F.struct(F.get(turns, start)["role"].alias("role"), texts.alias("texts"))
 
-    return F.aggregate(turns, empty, add)
+    begins = F.transform(
+        turns, lambda turn, i: F.when((i == 0) | (F.get(turns, i - 1)["role"] != turn["role"]), i)
+    )
+    return let(
+        F.filter(begins, lambda i: i.isNotNull()),
+        lambda starts: F.transform(
+            starts, lambda start, j: run(start, F.coalesce(F.get(starts, j + 1), F.size(turns)))
+        ),
+    )
 
 
 def _segments(runs: Column, opens: Column, closes: Column) -> Column:
@@ -96,8 +98,8 @@ def format_conversations(
             escape(row["text"]).alias("text"),
         ),
     )
-    blocks = blocks.select("conv", "block", F.size("rows").cast("long").alias("n"), escaped.alias("turns"))
-    blocks = blocks.select("conv", "block", "n", _merged(F.col("turns")).alias("runs"))
+    n = F.size("rows").cast("long").alias("n")
+    blocks = blocks.select("conv", "block", n, let(escaped, _merged).alias("runs"))
     joined = blocks.groupBy("conv").agg(
         F.sum("n").alias("n_turns"),
         F.sort_array(F.collect_list(F.struct("block", "runs"))).alias("blocks"),

@@ -11,6 +11,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 from waybill.llm.common import carried, schema_with, texts_of
 
@@ -110,23 +111,6 @@ def with_statistics(docs: DataFrame, keep: Sequence[str] = ("doc_id",), text_col
     return found.select(*(F.col(n).alias(c) for n, c in zip(names, keep)), "x")
 
 
-def good_rows(docs: DataFrame, scorer: Scorer | None, text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that score at least 0.5 (all without a scorer), as they are."""
-    if scorer is None:
-        return docs
-    rows, names, text_name = carried(docs, docs.columns, text_col, once=True)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for start in range(0, batch.num_rows, 500):
-                part = batch.slice(start, 500)
-                x = np.array([statistics(text) for text in texts_of(part.column(text_name))])
-                yield part.select(names).filter(pa.array(scorer.score(x) >= 0.5))
-
-    kept = rows.mapInArrow(run, schema_with(rows, names, ""))
-    return kept.select(*(F.col(n).alias(c) for n, c in zip(names, docs.columns)))
-
-
 def _matrix(column: pa.Array) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), len(STATISTICS))
 
@@ -138,8 +122,9 @@ def learn_quality(
 
     Every labelled row with label 0 or 1 counts: partitions sum their normal equations, which
     are then added by row of the matrix, and the calibration adds counts per thousandth of
-    the raw score.  Only those sums, of fixed size, reach the driver.  None if no row has a
-    label.
+    the raw score.  Only those sums, of fixed size, reach the driver.  Labels that are NULL or
+    neither 0 nor 1 are left out, repeated rows count each time; None if no row has a label or
+    there are no rows.  Other columns are not read.
     """
     d = len(STATISTICS)
     scale = rows.select(
@@ -210,8 +195,11 @@ def isotonic(points: Sequence[tuple[float, float, float]]) -> list[tuple[float,
     return [(at, total / n) for start, end, n, total in blocks for at in dict.fromkeys((start, end))]
 
 
-def add_quality(rows: DataFrame, scorer: Scorer | None, keep: Sequence[str] = ("doc_id",)) -> DataFrame:
-    """The columns ``keep`` of ``rows``, then ``score, predicted``; without a scorer, 0.5 and 1."""
+def add_quality(
+    rows: DataFrame, scorer: Scorer | None, keep: Sequence[str] = ("doc_id",), like: StructType | None = None
+) -> DataFrame:
+    """The columns ``keep`` of ``rows``, then ``score, predicted``; without a scorer, 0.5 and 1.
+    ``like`` has those columns as they were before they were stored, when all became nullable."""
     names = [f"k{i}" for i in range(len(keep))]
     given = rows.select(*(F.col(f"`{c}`").alias(n) for n, c in zip(names, keep)), "x")
 
@@ -224,5 +212,7 @@ def add_quality(rows: DataFrame, scorer: Scorer | None, keep: Sequence[str] = ("
                 [*map(batch.column, names), pa.array(score), predicted], [*names, "score", "predicted"]
             )
 
-    scored = given.mapInArrow(run, schema_with(given, names, "score double, predicted int"))
+    fields = [like[c] if like else rows.schema[c] for c in keep]
+    kept = StructType([StructField(n, f.dataType, f.nullable) for n, f in zip(names, fields)])
+    scored = given.mapInArrow(run, StructType([*kept, *StructType.fromDDL("score double, predicted int")]))
     return scored.select(*(F.col(n).alias(c) for n, c in zip(names, keep)), "score", "predicted")
