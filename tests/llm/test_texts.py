@@ -7,6 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from waybill.llm import repeats
 from waybill.llm.components import components
 from waybill.llm.jaccard import (
     Family,
@@ -278,3 +279,26 @@ def test_empty_tables(spark, messy):
     assert one_of_each_class(none).count() == 0
     blank = messy.withColumn("text", F.lit(None).cast("string"))
     assert near_duplicate_classes(blank).filter("n_shingles = 0").count() == messy.count()
+
+
+def test_a_common_string_is_sent_once_a_task(monkeypatch):
+    monkeypatch.setattr(repeats, "REMEMBERED", 2000)
+    sender = repeats.Sender(2)
+    for i in range(300):
+        sender.send(1, b"a common one", b"key %05d" % i, 0, 1)
+        sender.send(2, b"string %d" % i, b"key %05d" % i, 9, 1)
+    rows = sender.take().to_pylist()
+    # The first row and one witness go to the bucket; the other rows are marked on the spot.
+    assert [r["key"] for r in rows if r["packed"] == b"a common one"] == [b"key 00000", None]
+    assert sum(r["packed"] is None for r in rows) == 299
+    assert sum(r["packed"] is not None and r["bucket"] == 2 for r in rows) == 300
+
+
+def test_components_of_a_star_a_chain_and_loops(spark):
+    edges = [(0, i) for i in range(1, 500)] + [(1000 + i, 1001 + i) for i in range(40)] + [(7, 7), (2000, 2000)]
+    edges += [(499, 1040), (3001, 3000)]
+    df = spark.createDataFrame(edges, "a long, b long").repartition(4)
+    found = {r["node"]: r["root"] for r in components(df).collect()}
+    want = {i: 0 for i in [*range(500), *range(1000, 1041)]} | {3000: 3000, 3001: 3000}
+    assert found == want
+    assert components(df.filter("a = b")).count() == 0

@@ -31,7 +31,7 @@ from waybill.llm.words import Words, ngram_hashes, sorted_groups, text_chunks
 
 #: Words of the runs whose hashes are compared.
 MINIMISER = 8
-#: Bytes of packed strings that a task remembers as sent before it starts afresh.
+#: Bytes of packed strings that a task remembers as sent before it forgets those met only once.
 REMEMBERED = 32 << 20
 
 
@@ -82,28 +82,32 @@ class Sender:
         self.window = window
         self.sent: dict[bytes, bool] = {}
         self.bytes = 0
-        self.rows: list[tuple[int, bytes | None, int | None, int, int]] = []
+        self.rows: list[tuple[int, bytes | None, bytes | None, int, int]] = []
         self.marked: int | None = None
 
-    def mark(self, key: int, first: int, n: int) -> None:
+    def mark(self, key: bytes, first: int, n: int) -> None:
         """A range to remove; one that meets the last one of the same text makes that longer.
 
         Without a string a row only passes through, by way of its text's hash.
         """
         if self.marked is not None:
-            _, _, last_key, start, length = self.rows[self.marked]
+            bucket, _, last_key, start, length = self.rows[self.marked]
             if last_key == key and start <= first <= start + length:
-                self.rows[self.marked] = (key, None, key, start, max(length, first + n - start))
+                self.rows[self.marked] = (bucket, None, key, start, max(length, first + n - start))
                 return
         self.marked = len(self.rows)
-        self.rows.append((key, None, key, first, n))
+        bucket = int.from_bytes(key[:8], "little", signed=True)
+        self.rows.append((bucket, None, key, first, n))
 
-    def send(self, bucket: int, packed: bytes, key: int, first: int, n: int) -> None:
+    def send(self, bucket: int, packed: bytes, key: bytes, first: int, n: int) -> None:
         told = self.sent.get(packed)
         if told is None:
             if self.bytes > REMEMBERED:
-                self.sent.clear()
-                self.bytes = 0
+                # Strings met again stay, so that a common one is sent once a task; too many go as well.
+                self.sent = {p: True for p, again in self.sent.items() if again}
+                self.bytes = sum(len(p) + 100 for p in self.sent)
+                if self.bytes > REMEMBERED // 2:
+                    self.sent, self.bytes = {}, 0
             self.bytes += len(packed) + 100
             self.sent[packed] = False
             self.rows.append((bucket, packed, key, first, n))
@@ -116,15 +120,15 @@ class Sender:
     def take(self) -> pa.RecordBatch:
         columns = zip(*self.rows) if self.rows else ([], [], [], [], [])
         self.rows, self.marked = [], None
-        types = (pa.int64(), pa.binary(), pa.int64(), pa.int32(), pa.int32())
+        types = (pa.int64(), pa.binary(), pa.binary(), pa.int32(), pa.int32())
         return pa.RecordBatch.from_arrays(
             [pa.array(c, t) for c, t in zip(columns, types)], ["bucket", "packed", "key", "first", "n"]
         )
 
 
-def repeated_ranges(rows: list[tuple[bytes, int | None, int]], window: int) -> Iterator[tuple[int, int, int]]:
+def repeated_ranges(rows: list[tuple[bytes, bytes | None, int]], window: int) -> Iterator[tuple[bytes, int, int]]:
     """Ranges ``(key, first word, words)`` of repeated windows among one bucket's super-k-mers."""
-    holders: dict[bytes, list[tuple[int | None, int]]] = {}
+    holders: dict[bytes, list[tuple[bytes | None, int]]] = {}
     for packed, key, first in rows:
         holders.setdefault(packed, []).append((key, first))
     windows = sorted(
@@ -170,9 +174,10 @@ def remove_repeats(
     ``keep`` is read.  An empty table gives an empty result.
     """
     rows, names, _ = carried(docs, keep, text_col)
-    # Equal texts have equal ranges, so a hash of the row's kept columns and text may stand
-    # for the row; the columns spread the rows of a hot text.
-    rows = rows.withColumn("key", F.xxhash64(*names, "text"))
+    # Equal texts have equal ranges, so 128 bits of hash of the row's kept columns and text may
+    # stand for the row; the columns spread the rows of a hot text.
+    halves = (F.lpad(F.hex(F.xxhash64(F.lit(seed), *names, "text")), 16, "0") for seed in (0, 1))
+    rows = rows.withColumn("key", F.unhex(F.concat(*halves)))
 
     def outline(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, texts in text_chunks(batches):
@@ -188,7 +193,7 @@ def remove_repeats(
             )
 
     found = stored(
-        rows.select("key", "text").mapInArrow(outline, "key long, first int, n int, minimiser long"), "super-kmers"
+        rows.select("key", "text").mapInArrow(outline, "key binary, first int, n int, minimiser long"), "super-kmers"
     )
     # Written, so that both sides of the join are dealt out for it alone and Spark may split
     # the rows of a common minimiser.
@@ -215,7 +220,7 @@ def remove_repeats(
             yield sender.take()
 
     candidates = rows.join(wanted, "key").select("key", *names, "text", "parts")
-    sent = candidates.mapInArrow(send, "bucket long, packed binary, key long, first int, n int")
+    sent = candidates.mapInArrow(send, "bucket long, packed binary, key binary, first int, n int")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for group in sorted_groups(batches, ("bucket",)):
@@ -225,12 +230,12 @@ def remove_repeats(
             marks += repeated_ranges([(p, k, f) for p, k, f in zip(packed, key, first) if p is not None], window)
             columns = zip(*marks) if marks else ([], [], [])
             yield pa.RecordBatch.from_arrays(
-                [pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int32(), pa.int32()))],
+                [pa.array(c, t) for c, t in zip(columns, (pa.binary(), pa.int32(), pa.int32()))],
                 ["key", "first", "n"],
             )
 
     marks = sent.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(
-        count, "key long, first int, n int"
+        count, "key binary, first int, n int"
     )
     ranges = marks.groupBy("key").agg(F.collect_set(F.struct("first", "n")).alias("ranges"))
 
