@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from waybill.llm.ann import search_neighbours
-from waybill.llm.exact_topk import exact_top_k, scaled, segment_statistics
+from waybill.llm.exact_topk import LEVELS, Block, exact_top_k, scaled, segment_statistics
 
 SCHEMA = "vec_id long, embedding array<float>, id string, v int, block int, party int, list int, score int, rank int"
 
@@ -60,6 +60,39 @@ def test_bounds_hold():
         assert (low <= far + 1e-6).all()
 
 
+def test_each_level_keeps_all_that_may_be_best():
+    rng = np.random.default_rng(8)
+    centres = rng.normal(size=(20, 64))
+    x = np.floor(256 * (centres[rng.integers(0, 20, 500)] + 0.1 * rng.normal(size=(500, 64))))
+    block, k = Block(np.arange(500), x), 5
+    owners = np.arange(0, 500, 50)
+    left = list(block.survivors(owners, x[owners], np.full(len(owners), -np.inf), k))
+    assert len(left) == len(LEVELS)
+    for q, owner in enumerate(owners):
+        scores = x @ x[owner]
+        scores[owner] = -np.inf
+        best = np.flatnonzero(scores >= np.sort(scores)[-k])
+        for alive in left:
+            assert alive[q, best].all() and not alive[q, owner]
+    counts = [int(alive.sum()) for alive in left]
+    assert counts == sorted(counts, reverse=True) and counts[-1] < 500
+
+
+def test_large_components(spark):
+    rng = np.random.default_rng(9)
+    x = rng.integers(-(2**29), 2**29, size=(60, 8))
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(x.tolist())], "vec_id long, embedding array<long>")
+    got = exact_top_k(df, df.filter("vec_id % 7 = 0"), k=4, block_rows=20, query_rows=3)
+    want = []
+    for q in range(0, 60, 7):
+        scored = sorted((-sum(a * b for a, b in zip(x[i].tolist(), x[q].tolist())), i) for i in range(60) if i != q)
+        want += [(q, rank, i, -s) for rank, (s, i) in enumerate(scored[:4], 1)]
+    assert sorted(map(tuple, got.collect())) == sorted(want)
+    wide = spark.createDataFrame([(0, [2.0**31, 1.0]), (1, [1.0, 1.0])], "vec_id long, embedding array<double>")
+    with pytest.raises(Exception, match="too large"):
+        exact_top_k(wide, wide, k=1).collect()
+
+
 def test_neighbours(spark, table):
     got = search_neighbours(table, table.filter("vec_id % 5 = 0"), k=7, sample_rows=64, block_rows=40)
     rows = usable(vectors(400, 24), zero=True)
