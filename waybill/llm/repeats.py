@@ -33,6 +33,9 @@ from waybill.llm.words import Words, ngram_hashes, sorted_groups, text_chunks
 MINIMISER = 8
 #: Bytes of packed strings that a task remembers as sent before it forgets those met only once.
 REMEMBERED = 32 << 20
+#: Two hashes of a row, and what stands there in a row of which nothing is to be removed.
+Key = tuple[int | None, int | None]
+WITNESS: Key = (None, None)
 
 
 def sliding_least(x: np.ndarray, width: int) -> np.ndarray:
@@ -82,10 +85,10 @@ class Sender:
         self.window = window
         self.sent: dict[bytes, bool] = {}
         self.bytes = 0
-        self.rows: list[tuple[int, bytes | None, bytes | None, int, int]] = []
+        self.rows: list[tuple[int, bytes | None, Key, int, int]] = []
         self.marked: int | None = None
 
-    def mark(self, key: bytes, first: int, n: int) -> None:
+    def mark(self, key: Key, first: int, n: int) -> None:
         """A range to remove; one that meets the last one of the same text makes that longer.
 
         Without a string a row only passes through, by way of its text's hash.
@@ -96,10 +99,9 @@ class Sender:
                 self.rows[self.marked] = (bucket, None, key, start, max(length, first + n - start))
                 return
         self.marked = len(self.rows)
-        bucket = int.from_bytes(key[:8], "little", signed=True)
-        self.rows.append((bucket, None, key, first, n))
+        self.rows.append((key[0], None, key, first, n))
 
-    def send(self, bucket: int, packed: bytes, key: bytes, first: int, n: int) -> None:
+    def send(self, bucket: int, packed: bytes, key: Key, first: int, n: int) -> None:
         told = self.sent.get(packed)
         if told is None:
             if self.bytes > REMEMBERED:
@@ -115,20 +117,21 @@ class Sender:
         self.mark(key, first, n + self.window - 1)
         if not told:
             self.sent[packed] = True
-            self.rows.append((bucket, packed, None, first, n))
+            self.rows.append((bucket, packed, WITNESS, first, n))
 
     def take(self) -> pa.RecordBatch:
-        columns = zip(*self.rows) if self.rows else ([], [], [], [], [])
+        rows = ((bucket, packed, *key, first, n) for bucket, packed, key, first, n in self.rows)
+        columns = zip(*rows) if self.rows else ([], [], [], [], [], [])
         self.rows, self.marked = [], None
-        types = (pa.int64(), pa.binary(), pa.binary(), pa.int32(), pa.int32())
+        types = (pa.int64(), pa.binary(), pa.int64(), pa.int32(), pa.int32(), pa.int32())
         return pa.RecordBatch.from_arrays(
-            [pa.array(c, t) for c, t in zip(columns, types)], ["bucket", "packed", "key", "first", "n"]
+            [pa.array(c, t) for c, t in zip(columns, types)], ["bucket", "packed", "key", "tag", "first", "n"]
         )
 
 
-def repeated_ranges(rows: list[tuple[bytes, bytes | None, int]], window: int) -> Iterator[tuple[bytes, int, int]]:
+def repeated_ranges(rows: list[tuple[bytes, Key, int]], window: int) -> Iterator[tuple[Key, int, int]]:
     """Ranges ``(key, first word, words)`` of repeated windows among one bucket's super-k-mers."""
-    holders: dict[bytes, list[tuple[bytes | None, int]]] = {}
+    holders: dict[bytes, list[tuple[Key, int]]] = {}
     for packed, key, first in rows:
         holders.setdefault(packed, []).append((key, first))
     windows = sorted(
@@ -151,7 +154,7 @@ def repeated_ranges(rows: list[tuple[bytes, bytes | None, int]], window: int) ->
             else:
                 runs.append([i, i])
         for key, first in found:
-            if key is not None:
+            if key != WITNESS:
                 for a, b in runs:
                     yield key, first + a, b - a + window
 
@@ -174,39 +177,42 @@ def remove_repeats(
     ``keep`` is read.  An empty table gives an empty result.
     """
     rows, names, _ = carried(docs, keep, text_col)
-    # Equal texts have equal ranges, so 128 bits of hash of the row's kept columns and text may
+    # Equal texts have equal ranges, so 96 bits of hash of the row's kept columns and text may
     # stand for the row; the columns spread the rows of a hot text.
-    halves = (F.lpad(F.hex(F.xxhash64(F.lit(seed), *names, "text")), 16, "0") for seed in (0, 1))
-    rows = rows.withColumn("key", F.unhex(F.concat(*halves)))
+    tag = F.shiftright(F.xxhash64(F.lit(1), *names, "text"), 32).cast("int")
+    rows = rows.select("*", F.xxhash64(*names, "text").alias("key"), tag.alias("tag"))
 
     def outline(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, texts in text_chunks(batches):
             owner, first, n, minimiser = super_kmers(Words(texts), window)
             yield pa.RecordBatch.from_arrays(
                 [
-                    part.column("key").take(pa.array(owner)),
+                    *(part.column(c).take(pa.array(owner)) for c in ("key", "tag")),
                     pa.array(first.astype(np.int32)),
                     pa.array(n.astype(np.int32)),
                     pa.array(minimiser.view(np.int64)),
                 ],
-                ["key", "first", "n", "minimiser"],
+                ["key", "tag", "first", "n", "minimiser"],
             )
 
     found = stored(
-        rows.select("key", "text").mapInArrow(outline, "key binary, first int, n int, minimiser long"), "super-kmers"
+        rows.select("key", "tag", "text").mapInArrow(outline, "key long, tag int, first int, n int, minimiser long"),
+        "super-kmers",
     )
     # Written, so that both sides of the join are dealt out for it alone and Spark may split
     # the rows of a common minimiser.
     often = found.groupBy("minimiser").agg(F.count("*").alias("times")).filter("times > 1")
     often = stored(often, "often")
-    wanted = F.struct("first", "n", "minimiser", (F.col("times") > hot).alias("hot"))
-    wanted = found.join(often, "minimiser").groupBy("key").agg(F.sort_array(F.collect_set(wanted)).alias("parts"))
+    found_part = F.struct("first", "n", "minimiser", (F.col("times") > hot).alias("hot"))
+    wanted = found.join(often, "minimiser").groupBy("key", "tag")
+    wanted = wanted.agg(F.sort_array(F.collect_set(found_part)).alias("parts"))
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sender = Sender(window)
         for part, texts in text_chunks(batches):
             lists = part.column("parts").to_pylist()
-            for key, text, parts in zip(part.column("key").to_pylist(), texts, lists):
+            keys = zip(part.column("key").to_pylist(), part.column("tag").to_pylist())
+            for key, text, parts in zip(keys, texts, lists):
                 words = text.split()
                 for p in parts:
                     first, n = p["first"], p["n"]
@@ -219,25 +225,26 @@ def remove_repeats(
                         sender.send(p["minimiser"], packed, key, first, n)
             yield sender.take()
 
-    candidates = rows.join(wanted, "key").select("key", *names, "text", "parts")
-    sent = candidates.mapInArrow(send, "bucket long, packed binary, key binary, first int, n int")
+    candidates = rows.join(wanted, ["key", "tag"]).select("key", "tag", *names, "text", "parts")
+    sent = candidates.mapInArrow(send, "bucket long, packed binary, key long, tag int, first int, n int")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for group in sorted_groups(batches, ("bucket",)):
-            packed, key = group.column("packed").to_pylist(), group.column("key").to_pylist()
+            packed = group.column("packed").to_pylist()
+            key = list(zip(group.column("key").to_pylist(), group.column("tag").to_pylist()))
             first, n = group.column("first").to_pylist(), group.column("n").to_pylist()
             marks = [(k, f, m) for p, k, f, m in zip(packed, key, first, n) if p is None]
             marks += repeated_ranges([(p, k, f) for p, k, f in zip(packed, key, first) if p is not None], window)
-            columns = zip(*marks) if marks else ([], [], [])
+            columns = zip(*((*k, f, m) for k, f, m in marks)) if marks else ([], [], [], [])
+            types = (pa.int64(), pa.int32(), pa.int32(), pa.int32())
             yield pa.RecordBatch.from_arrays(
-                [pa.array(c, t) for c, t in zip(columns, (pa.binary(), pa.int32(), pa.int32()))],
-                ["key", "first", "n"],
+                [pa.array(c, t) for c, t in zip(columns, types)], ["key", "tag", "first", "n"]
             )
 
     marks = sent.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(
-        count, "key binary, first int, n int"
+        count, "key long, tag int, first int, n int"
     )
-    ranges = marks.groupBy("key").agg(F.collect_set(F.struct("first", "n")).alias("ranges"))
+    ranges = marks.groupBy("key", "tag").agg(F.collect_set(F.struct("first", "n")).alias("ranges"))
 
     def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, texts in text_chunks(batches):
@@ -264,7 +271,7 @@ def remove_repeats(
                 [*names, "n_words", "n_removed", "kept"],
             )
 
-    marked = rows.join(ranges, "key", "left").select("key", *names, "text", "ranges")
+    marked = rows.join(ranges, ["key", "tag"], "left").select(*names, "text", "ranges")
     found = "n_words long, n_removed long, kept string"
     out = marked.mapInArrow(remove, schema_with(rows, names, found))
     return out.select(*(F.col(n).alias(c) for n, c in zip(names, keep)), "n_words", "n_removed", "kept")
