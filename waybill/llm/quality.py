@@ -21,6 +21,8 @@ STATISTICS = (
     "controls", "other", "distinct", "commonest", "short", "lines", "distinct_lines", "commonest_line",
     "shouted", "marked", "stopped", "entropy", "repeats",
 )
+#: Rows whose cosines are in memory at once.
+ROWS = 1000
 _KIND = np.zeros(256, dtype=np.int64)
 _KIND[[*range(97, 123)]] = 1
 _KIND[[*range(65, 91)]] = 2
@@ -111,6 +113,13 @@ def with_statistics(docs: DataFrame, keep: Sequence[str] = ("doc_id",), text_col
     return found.select(*(F.col(n).alias(c) for n, c in zip(names, keep)), "x")
 
 
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches of at most ``ROWS`` rows, so that few cosines are in memory at once."""
+    for batch in batches:
+        for start in range(0, batch.num_rows, ROWS):
+            yield batch.slice(start, ROWS)
+
+
 def _matrix(column: pa.Array) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), len(STATISTICS))
 
@@ -147,7 +156,7 @@ def learn_quality(
 
     def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total, n = np.zeros((side, side + 1)), 0
-        for batch in batches:
+        for batch in _slices(batches):
             z = kernel.cosines(_matrix(batch.column("x")))
             total += z.T @ np.column_stack([z, batch.column("label").to_numpy()])
             n += len(z)
@@ -168,7 +177,7 @@ def learn_quality(
     weights = np.linalg.solve(normal[:, :-1] + ridge * normal[0, 0] * np.eye(side), normal[:, -1])
 
     def raw(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _slices(batches):
             score = kernel.cosines(_matrix(batch.column("x"))) @ weights
             bins = np.clip(np.floor(score * 1000), -500, 1500).astype(np.int32)
             yield pa.RecordBatch.from_arrays([pa.array(bins), batch.column("label")], ["bin", "label"])
@@ -204,7 +213,7 @@ def add_quality(
     given = rows.select(*(F.col(f"`{c}`").alias(n) for n, c in zip(names, keep)), "x")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _slices(batches):
             x = _matrix(batch.column("x"))
             score = scorer.score(x) if scorer else np.full(len(x), 0.5)
             predicted = pa.array((score >= 0.5).astype(np.int32))
