@@ -385,12 +385,15 @@ def for_duckdb(sql: str) -> str:
     return sql.format(lineitem="lineitem", orders="orders", supplier="supplier")
 
 
-def truth_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Golden records for every order, with known alterations (see ``truth_sql``).
+def truth_rows(spark: SparkSession, sf_dir: str, wanted: Column | None = None) -> DataFrame:
+    """Golden records for every order, or those ``wanted`` by ``order_key``, with known alterations
+    (see ``truth_sql``).
 
     Read off the order's own values, in the same plan that renders the documents.
     """
     rows = order_rows(spark, sf_dir)
+    if wanted is not None:
+        rows = rows.filter(wanted)
     style, key = F.col("style"), F.col("order_key")
     stops = F.col("stops")
     values = {

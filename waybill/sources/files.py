@@ -100,6 +100,56 @@ def stream_text_files(
     return _texts(files)
 
 
+#: Stands after every text of a packed file; a character no text may hold.
+SEPARATOR = "\f"
+
+
+def _packed(lines: DataFrame) -> DataFrame:
+    partitions = [c for c in lines.columns if c != "value"]
+    readable = F.is_valid_utf8(F.col("value"))
+    return lines.select(
+        F.col("_metadata.file_path").alias(SOURCE_FILE),
+        F.when(readable, F.col("value")).alias("text"),
+        F.when(~readable, F.col("value").cast("binary")).alias("unreadable"),
+        *partitions,
+    )
+
+
+def scan_packed_texts(
+    spark: SparkSession, path: str, separator: str = SEPARATOR, glob: str = "*.txt"
+) -> DataFrame:
+    """Texts of files that hold many: ``source_file, text, unreadable`` and the path's partition columns.
+
+    A large file is read by several tasks, and a table of many small texts needs few files.  Texts of
+    one file share its address.  One that is not UTF-8 has NULL as its text and its bytes in
+    ``unreadable``; the others of its file are as they are.  An empty text is a row, a file of no
+    bytes gives none, and a byte order mark at the start of a file belongs to no text.
+    """
+    lines = spark.read.format("text").option("lineSep", separator).option("pathGlobFilter", glob)
+    return _packed(lines.load(path))
+
+
+def stream_packed_texts(
+    spark: SparkSession,
+    path: str,
+    separator: str = SEPARATOR,
+    glob: str = "*.txt",
+    partitions: str = "",
+    files_per_batch: int = 10_000,
+) -> DataFrame:
+    """The same rows as a stream of the files that come to lie below ``path``, as with
+    :func:`stream_text_files`."""
+    schema = ", ".join(part for part in ("value string", partitions) if part)
+    lines = (
+        spark.readStream.format("text")
+        .schema(schema)
+        .option("lineSep", separator)
+        .option("pathGlobFilter", glob)
+        .option("maxFilesPerTrigger", files_per_batch)
+    )
+    return _packed(lines.load(path))
+
+
 def display_path(source_file: Column) -> Column:
     """A source file's address with its percent codes read; ``+`` stays a plus."""
     return F.url_decode(F.replace(source_file, F.lit("+"), F.lit("%2B")))

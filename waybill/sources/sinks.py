@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from waybill.operators.status import document_status, observe_status
-
+from waybill.sources.files import SEPARATOR
 from waybill.sources.schema import load_schema
 
 MAX_RECORDS_PER_FILE = 1_000_000
@@ -172,6 +172,29 @@ def write_text(
     writer.text(path)
 
 
+def write_packed_texts(
+    df: DataFrame,
+    path: str,
+    *partitions: str,
+    text: str = "text",
+    separator: str = SEPARATOR,
+    mode: str = "overwrite",
+) -> None:
+    """Texts as few files below ``path``, the separator after each; a text that holds it is refused.
+
+    Rows go to files of about an advisory partition's size, a hot partition to several.  NULL is
+    written as an empty text.
+    """
+    value = F.col(text).cast("binary")
+    torn = F.contains(value, F.lit(separator).cast("binary"))
+    whole = F.when(torn, F.raise_error(F.lit("a text holds the separator"))).otherwise(F.col(text))
+    rows = df.select(whole.alias("value"), *partitions)
+    writer = _by_partition(rows, *partitions).write.mode(mode).option("lineSep", separator)
+    if partitions:
+        writer = writer.partitionBy(*partitions)
+    writer.text(path)
+
+
 def write_csv(df: DataFrame, path: str) -> None:
     """A report with a header, in UTF-8."""
     df.write.mode("overwrite").option("header", True).option("encoding", "UTF-8").csv(path)
