@@ -158,3 +158,14 @@ def test_spread_moves_only_inputs_of_few_splits(spark):
     assert files.spread(small).rdd.getNumPartitions() == cores
     assert files.spread(many).rdd.getNumPartitions() == cores + 3
     assert files.spread(small, source=many).rdd.getNumPartitions() == 1
+
+
+def test_pages_of_orders_are_dealt_finer_than_splits(spark, tmp_path):
+    from waybill.plans.documents import page_to_plain
+
+    rows = spark.range(0, 1000, 1, 16).selectExpr("id AS o_orderkey", "id AS o_custkey", "'O' AS o_orderstatus", "'1-U' AS o_orderpriority")
+    rows.write.parquet(f"{tmp_path}/orders.parquet")
+    splits = spark.read.parquet(f"{tmp_path}/orders.parquet").rdd.getNumPartitions()
+    pages = page_to_plain(spark, str(tmp_path))
+    assert splits >= spark.sparkContext.defaultParallelism
+    assert pages.rdd.getNumPartitions() == 8 * splits and pages.count() == 1000

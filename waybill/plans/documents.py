@@ -57,7 +57,9 @@ def _page_text(heading: str, part: str, bold: str, first: str, item: str) -> str
 
 
 def _pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return texts(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("order_key"), F.expr(_PAGE).alias("html"))
+    # A row of some bytes becomes a page, so a split holds many of them.
+    orders = files.spread(table(spark, sf_dir, "orders"), finer=8)
+    return orders.select(F.col("o_orderkey").alias("order_key"), F.expr(_PAGE).alias("html"))
 
 
 @query(_page_text("", "\n", "", "\n", "\n"))

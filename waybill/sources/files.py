@@ -34,14 +34,17 @@ def shared_folder(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def spread(df: DataFrame, source: DataFrame | None = None) -> DataFrame:
+def spread(df: DataFrame, source: DataFrame | None = None, finer: int = 1) -> DataFrame:
     """Rows of an input of fewer splits than cores over all cores; others stay where they are.
 
     Text work costs far more than its bytes suggest.  The splits are those of ``source``, a
-    plain scan, if ``df`` is derived from it.
+    plain scan, if ``df`` is derived from it.  Thin rows that become long texts are dealt into
+    ``finer`` times as many parts as there are splits, so that no task is long at any size.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
     splits = (df if source is None else source).rdd.getNumPartitions()
+    if finer > 1:
+        return df.repartition(max(cores, finer * splits))
     return df.repartition(cores) if splits < cores else df
 
 
