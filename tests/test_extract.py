@@ -88,6 +88,21 @@ def test_normalize_agrees_with_line_splitting(spark):
     assert normalized(spark, *sample) == expected
 
 
+def test_normalize_leaves_out_passes_that_change_nothing(spark):
+    cases = {
+        "Pickup P\u0130CKUP pic\u212aup pickup_ Pick\nup": "Pickup Pickup Pickup pickup_ Pick\nup",
+        "a\n\n\n\n\nB\n\n": "a\nB",
+        "l**.  Date, \x1f": "l. Date,",
+        "a \nb\x0b\u2029c\n \u2028\n": "a\nb\nc",
+        "**\n": "",
+    }
+    assert normalized(spark, *cases) == list(cases.values())
+    plan = normalize_text(docs(spark, "a"), "text")._jdf.queryExecution().optimizedPlan().toString()
+    # All guards stand behind one pass, and runs of breaks are replaced once.
+    assert plan.count("Contains(text#") > 9 and "{3,}" not in plan
+    assert len(re.findall(r"CASE WHEN \(_text_needy#\d+ AND", plan)) == 5
+
+
 def test_broker_scope_ends_before_carrier(spark):
     text = (
         "Fax: 111-111-1111\nSend Invoice to:\nUSA Truck Brokers Inc\n12 NW 3 Ave, #4\n"
