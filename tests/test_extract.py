@@ -348,6 +348,12 @@ def test_stops_without_markers(spark):
     ]
 
 
+def test_combine_datetime_reads_each_text_once(spark):
+    df = spark.createDataFrame([("1/2/2024", "8:00")], "d string, t string")
+    plan = df.select(combine_datetime(F.col("d"), F.col("t")))._jdf.queryExecution().optimizedPlan()
+    assert plan.toString().count("regexp_replace(") == 1
+
+
 def test_combine_datetime(spark):
     cases = {
         ("1/2/2024", "8:05"): "2024-01-02T08:05:00",

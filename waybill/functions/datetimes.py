@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from waybill.functions.dialect import Pattern, capture
+from waybill.functions.dialect import Pattern, capture, let
 
 # month/day/four-digit year, then a 24-hour clock, or a 12-hour clock with AM
 # or PM in any case; seconds are optional, and any white space may part date, time and AM/PM.
@@ -44,6 +44,5 @@ def iso_from_parts(parts: Column) -> Column:
 
 def combine_datetime(date: Column, time: Column) -> Column:
     """Date text and time text as one ISO text; blank or NULL parts give ``''``."""
-    return iso_from_parts(
-        date_time_parts(F.coalesce(date, F.lit("")), F.coalesce(time, F.lit("")))
-    )
+    parts = date_time_parts(F.coalesce(date, F.lit("")), F.coalesce(time, F.lit("")))
+    return let(parts, iso_from_parts)
