@@ -350,7 +350,8 @@ def test_stops_without_markers(spark):
 
 def test_combine_datetime_reads_each_text_once(spark):
     df = spark.createDataFrame([("1/2/2024", "8:00")], "d string, t string")
-    plan = df.select(combine_datetime(F.col("d"), F.col("t")))._jdf.queryExecution().optimizedPlan()
+    iso = combine_datetime(F.col("d"), F.col("t")).alias("iso")
+    plan = df.select(iso)._jdf.queryExecution().optimizedPlan()
     assert plan.toString().count("regexp_replace(") == 1
 
 
