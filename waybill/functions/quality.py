@@ -26,26 +26,37 @@ _CITY_RUN = Pattern(
 _STATE_ZIP = Pattern(
     r",(?<=[A-Za-z\s],)\s+([A-Z]{2})\s+(\d{5}(?:-\d{4})?)", ignore_case=False
 )
-# No weekday starts with another letter.
-_WEEKDAY_DATE = P.WEEKDAY_DATE._replace(text=r"(?=[FMSTW])" + P.WEEKDAY_DATE.text)
+# The same matches, led by a class of few characters and without groups: a group or a list of words
+# at the start would be begun at every character.
+_WEEKDAY_DATE = Pattern(
+    r"[FMSTW][AEHORU][DEINTU](?<=Mon|Tue|Wed|Thu|Fri|Sat|Sun)\s+\d{2}/\d{2}/\d{4}"
+)
+# A line's mark behind its own spaces: as many as there are items, since an item's blank lines
+# before its mark hold no other mark.
+_LIST_LINE = Pattern(rf"^[{SPACE_CLASS}&&[^\n]]*+[-*+]\s", ignore_case=False, multiline=True)
+_ELEMENT = Pattern("[" + "".join(f"\\{mark}" for mark in P.MARKDOWN_ELEMENTS) + "]", ignore_case=False)
 
 
 def load_number(text: Column) -> Column:
     """The first pattern, in order of priority, that occurs anywhere in the text."""
-    found = [F.nullif(extract(text, p), F.lit("")) for p in P.LOAD_NUMBER_BY_PRIORITY]
-    return F.coalesce(*found, F.lit(P.LOAD_NUMBER_MISSING))
+    # Each match takes the rest of the text with it, so there is one or none.
+    first = [p._replace(text=rf"{p.text}.*+", dot_all=True) for p in P.LOAD_NUMBER_BY_PRIORITY]
+    return F.coalesce(*[F.get(extract_all(text, p), 0) for p in first], F.lit(P.LOAD_NUMBER_MISSING))
+
 
+def _found(text: Column, pattern: Pattern, replacement: str, search: Pattern | None = None) -> Column:
+    """Every match, rewritten from its groups, from one pass over the text.
 
-def _found(text: Column, pattern: Pattern, replacement: str) -> Column:
-    """Every match, rewritten from its groups, from one pass over the text."""
+    ``search``, if given, finds the same matches sooner.
+    """
     return F.transform(
-        extract_all(text, pattern, 0), lambda match: replace(match, pattern, replacement)
+        extract_all(text, search or pattern, 0), lambda match: replace(match, pattern, replacement)
     )
 
 
 def dates(text: Column) -> Column:
     """``Mon 01/02/2024`` for each weekday and date, in text order."""
-    return _found(text, _WEEKDAY_DATE, "$1 $2")
+    return _found(text, P.WEEKDAY_DATE, "$1 $2", _WEEKDAY_DATE)
 
 
 def time_windows(text: Column) -> Column:
@@ -82,18 +93,8 @@ def count_addresses(text: Column) -> Column:
 
 
 def markdown_elements(text: Column) -> Column:
-    """How many Markdown marks the text holds, as the length that goes with them."""
-    bare = text
-    for mark in P.MARKDOWN_ELEMENTS:
-        bare = F.replace(bare, F.lit(mark), F.lit(""))
-    return F.length(text) - F.length(bare)
-
-
-def _short_breaks(text: Column) -> Column:
-    """White space with a line break in it as one line break, which changes no item's count:
-    an item may start anywhere in such a run.  Only the starts of runs are tried."""
-    run = rf"(?<![{SPACE_CLASS}])(?=[{SPACE_CLASS}&&[^\n]]*+\n)[{SPACE_CLASS}]++"
-    return F.regexp_replace(text, run, "\n")
+    """How many Markdown marks the text holds."""
+    return count_matches(text, _ELEMENT)
 
 
 def markdown_counts(text: Column, is_markdown: Column) -> dict[str, Column]:
@@ -102,7 +103,7 @@ def markdown_counts(text: Column, is_markdown: Column) -> dict[str, Column]:
     return {
         "markdown_elements": F.when(is_markdown, markdown_elements(text)).otherwise(0),
         "markdown_headers": F.when(headers, count_matches(text, P.MARKDOWN_HEADER)).otherwise(0),
-        "markdown_lists": F.when(is_markdown, count_matches(_short_breaks(text), P.MARKDOWN_LIST)).otherwise(0),
+        "markdown_lists": F.when(is_markdown, count_matches(text, _LIST_LINE)).otherwise(0),
     }
 
 
