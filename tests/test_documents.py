@@ -169,3 +169,19 @@ def test_pages_of_orders_are_dealt_finer_than_splits(spark, tmp_path):
     pages = page_to_plain(spark, str(tmp_path))
     assert splits >= spark.sparkContext.defaultParallelism
     assert pages.rdd.getNumPartitions() == 8 * splits and pages.count() == 1000
+
+
+def test_documents_of_orders_are_dealt_finer_than_splits(spark, tmp_path):
+    from waybill.plans.documents import page_to_structured_markdown
+    from waybill.plans.load_docs import load_docs
+
+    order = ["id AS o_orderkey", "id AS o_custkey", "'O' AS o_orderstatus", "CAST(9.5 AS DOUBLE) AS o_totalprice"]
+    line = ["id AS l_orderkey", "1 AS l_linenumber", "DATE'2024-01-02' AS l_shipdate", "id % 3 AS l_suppkey", "id AS l_partkey"]
+    spark.range(0, 400, 1, 16).selectExpr(*order).write.parquet(f"{tmp_path}/orders.parquet")
+    spark.range(0, 400, 1, 2).selectExpr(*line).write.parquet(f"{tmp_path}/lineitem.parquet")
+    spark.range(3).selectExpr("id AS s_suppkey", "'S' AS s_name").write.parquet(f"{tmp_path}/supplier.parquet")
+    splits = spark.read.parquet(f"{tmp_path}/orders.parquet").rdd.getNumPartitions()
+    assert splits >= spark.sparkContext.defaultParallelism
+    for rows in (load_docs, page_to_structured_markdown):
+        docs = rows(spark, str(tmp_path)).select("order_key")
+        assert docs.rdd.getNumPartitions() == 8 * splits and docs.distinct().count() == 400
